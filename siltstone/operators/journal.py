@@ -14,18 +14,22 @@ JOURNAL_SCHEMA = "table_name string, update_dt timestamp_ntz"
 
 def record_load(journal: DataFrame, table: str, load_ts: str | datetime) -> DataFrame:
     """EXT-2: the journal with one more row. The load time is given, never the clock."""
-    row = journal.sparkSession.range(1).select(F.lit(table).alias("table_name"), timestamp(load_ts).alias("update_dt"))
-    return journal.unionByName(row)
+    return record_loads(journal, [table], load_ts)
 
 
-def _wanted(spark: SparkSession, tables: list[str]) -> DataFrame:
-    return spark.createDataFrame([(t,) for t in tables], "table_name string")
+def record_loads(journal: DataFrame, tables: list[str], load_ts: str | datetime) -> DataFrame:
+    return journal.unionByName(table_rows(journal.sparkSession, tables).withColumn("update_dt", timestamp(load_ts)))
+
+
+def table_rows(spark: SparkSession, tables: list[str]) -> DataFrame:
+    """One row per table name, as literals."""
+    return spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in tables])).alias("table_name"))
 
 
 def high_water_marks(journal: DataFrame, tables: list[str], default: str = CHANGE_FLOOR) -> DataFrame:
     """EXT-1: newest load of each table, the default for one never loaded."""
     newest = journal.filter(F.col("table_name").isin(tables)).groupBy("table_name").agg(F.max("update_dt").alias("newest"))
-    return _wanted(journal.sparkSession, tables).join(newest, "table_name", "left").select(
+    return table_rows(journal.sparkSession, tables).join(newest, "table_name", "left").select(
         "table_name", F.coalesce("newest", timestamp(default)).alias("update_dt"))
 
 

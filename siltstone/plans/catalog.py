@@ -41,7 +41,8 @@ CORPORATE_COLUMNS = {
 
 
 def both(spark: SparkSession, folder: str) -> tuple[RetailSource, RetailSource]:
-    return RetailSource(spark, folder, 1), RetailSource(spark, folder, 2)
+    first = RetailSource(spark, folder, 1)
+    return first, first.other_batch()
 
 
 # ---------------------------------------------------------------- extraction and upserts
@@ -73,7 +74,7 @@ def extract_incremental(name, spark, folder):
 
 def extract_incremental_payment(spark, folder):
     source = RetailSource(spark, folder)
-    return op.extract_incremental_enriched(source("payment"), source("rental"), "rental_id", ["inventory_id", "last_update"],
+    return op.extract_incremental_enriched(source("payment"), source("rental"), "rental_id", ["inventory_id"],
                                            list(columns(STAR, "staging.payment")), FIRST_LOAD)
 
 
@@ -103,7 +104,10 @@ def _closure(names: list[str]) -> list[str]:
 
 def corporate_state(spark: SparkSession, folder: str, names: list[str], upto: str, save: Save = materialize) -> State:
     """State after both batches, loaded as far as `upto` and only for the named entities."""
-    state, needed = reset(spark, CORPORATE), _closure(names)
+    needed = _closure(names)
+    state = reset(spark, CORPORATE, tables=[JOURNAL, *[f"{layer}.{n}" for n in needed for layer in ("ods", "ref")],
+                                            *[t for n in names for t in (f"integ.{n}", f"dds.dim_{n}", f"dds.fact_{n}")
+                                              if t in CORPORATE]])
     for source, load_ts in zip(both(spark, folder), (FIRST_LOAD, SECOND_LOAD), strict=True):
         state = state | corporate.stage(source, state[JOURNAL], load_ts, lazily, needed)
         state = state | corporate.load_ods(state, save, needed)
@@ -117,7 +121,7 @@ def corporate_state(spark: SparkSession, folder: str, names: list[str], upto: st
 
 def sync_keys(name, spark, folder):
     first, second = both(spark, folder)
-    empty = reset(spark, CORPORATE, ["ref"])[f"ref.{name}"]
+    empty = reset(spark, CORPORATE, tables=[f"ref.{name}"])[f"ref.{name}"]
     key, sk, nk = f"{name}_id", f"{name}_sk", f"{name}_nk"
     # natural keys of the operational store; rentals and payments gone from the source stay in it
     before = op.sync_keys(empty, first(name).select(key), sk, nk)
@@ -205,7 +209,7 @@ def row_hash_changed_film(spark, folder):
 def _dims_before(spark, folder, save: Save = lazily) -> tuple[State, State]:
     """Dimensions after the first load, and the staged second load."""
     first, second = both(spark, folder)
-    state = reset(spark, STAR)
+    state = reset(spark, STAR, tables=[JOURNAL, "core.dim_inventory", "core.dim_staff"])
     names = ["film", "inventory", "staff", "address", "city", "store"]
     state = state | star.stage(first, state[JOURNAL], FIRST_LOAD, lazily, names)
     state = state | star.load_dims(state, save)
@@ -278,8 +282,8 @@ def as_of_join_boundary(spark, folder):
 
 def star_state(spark: SparkSession, folder: str, fact: str, save: Save = materialize) -> State:
     """Dimensions and one fact table after both batches."""
-    state = reset(spark, STAR)
-    state["core.dim_date"] = save(op.calendar(spark, CALENDAR_START, CALENDAR_DAYS), "core.dim_date")
+    state = reset(spark, STAR, tables=[JOURNAL, "core.dim_inventory", "core.dim_staff", f"core.fact_{fact}"])
+    state["core.dim_date"] = op.calendar(spark, CALENDAR_START, CALENDAR_DAYS)
     names = ["film", "inventory", "staff", "address", "city", "store", fact]
     for source, load_ts in zip(both(spark, folder), (FIRST_LOAD, SECOND_LOAD), strict=True):
         keep = lambda df, name: save(df, name) if name == f"staging.{fact}" else df
@@ -348,7 +352,8 @@ def calendar_short(spark, folder):
 
 def vault_state(spark: SparkSession, folder: str, tables: list[str], hubs: list[str] = (), links: list[str] = (),
                 sats: list[str] = (), save: Save = lazily) -> State:
-    state = reset(spark, VAULT)
+    state = reset(spark, VAULT, tables=[JOURNAL, *[f"edw.{kind}_{n}" for kind, names in
+                                                   (("hub", hubs), ("link", links), ("sat", sats)) for n in names]])
     for source, load_ts in zip(both(spark, folder), (FIRST_LOAD, SECOND_LOAD), strict=True):
         state = state | vault.stage(source, state[JOURNAL], load_ts, save, tables)
         if hubs:

@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.dates import CHANGE_FLOOR, timestamp
-from siltstone.operators.journal import high_water_marks
+from siltstone.operators.journal import high_water_marks, record_loads
 from siltstone.schemas import columns
 from siltstone.sources.remote import Source, align_columns
 
 State = dict[str, DataFrame]
 Save = Callable[[DataFrame, str], DataFrame]
 
+__all__ = ["JOURNAL", "Save", "State", "declared", "lazily", "marks", "record_loads", "refuse_reuse"]
+
 JOURNAL = "staging.last_update_data"
 
 
@@ -35,12 +37,6 @@ def marks(journal: DataFrame, tables: list[str]) -> dict[str, str]:
     return {r[0]: r[1] for r in rows}
 
 
-def record_loads(journal: DataFrame, tables: list[str], load_ts: str) -> DataFrame:
-    rows = journal.sparkSession.createDataFrame([(t,) for t in tables], "table_name string").withColumn(
-        "update_dt", timestamp(load_ts))
-    return journal.unionByName(rows)
-
-
 def refuse_reuse(journal: DataFrame, load_ts: str) -> None:
     """A load time must be newer than all before; a reused one would repeat version keys."""
     if not journal.filter(F.col("update_dt") >= timestamp(load_ts)).isEmpty():

@@ -29,7 +29,7 @@ def stage(source: Source, journal: DataFrame, load_ts: str, save: Save, only: li
         table = f"staging.{name}"
         if name == "payment":
             fact = align_columns(source(name), {"last_update": "timestamp_ntz", "deleted": "timestamp_ntz"})
-            rows = extract_incremental_enriched(fact, source("rental"), "rental_id", ["inventory_id", "last_update"],
+            rows = extract_incremental_enriched(fact, source("rental"), "rental_id", ["inventory_id"],
                                                 list(columns(STAR, table)), since[table])
         else:
             rows, names = declared(source, STAR, table)

@@ -6,6 +6,8 @@ text lengths are declarations for the checks (Parquet does not enforce them).
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -141,19 +143,28 @@ RATINGS = ["G", "PG", "PG-13", "R", "NC-17"]
 YEARS = (1901, 2155)
 
 
+@lru_cache(maxsize=None)
+def _parsed(ddl: str) -> StructType:
+    return StructType.fromDDL(ddl)
+
+
 def columns(tables: dict[str, str], name: str) -> dict[str, str]:
     """Declared columns of a table: name → type."""
-    return {f.name: f.dataType.simpleString() for f in StructType.fromDDL(tables[name])}
+    return {f.name: f.dataType.simpleString() for f in _parsed(tables[name])}
 
 
 def empty(spark: SparkSession, tables: dict[str, str], name: str) -> DataFrame:
-    return spark.createDataFrame([], StructType.fromDDL(tables[name]))
+    """Known to the optimizer as empty, so that a first load plans no join with it."""
+    return spark.sql("SELECT " + ", ".join(f"CAST(NULL AS {t}) AS {c}" for c, t in columns(tables, name).items())
+                     + " WHERE FALSE")
 
 
-def reset(spark: SparkSession, tables: dict[str, str], layers: list[str] | None = None) -> dict[str, DataFrame]:
+def reset(spark: SparkSession, declared: dict[str, str], layers: list[str] | None = None,
+          tables: list[str] | None = None) -> dict[str, DataFrame]:
     """PIPE-0: empty typed tables of all or some layers. A calendar has to be filled again afterwards."""
-    return {n: empty(spark, tables, n) for n in tables if layers is None or n.split(".")[0] in layers}
+    wanted = tables if tables is not None else [n for n in declared if layers is None or n.split(".")[0] in layers]
+    return {n: empty(spark, declared, n) for n in wanted}
 
 
 def not_null(tables: dict[str, str], name: str) -> list[str]:
-    return [f.name for f in StructType.fromDDL(tables[name]) if not f.nullable]
+    return [f.name for f in _parsed(tables[name]) if not f.nullable]

@@ -6,161 +6,135 @@ changed, soft-deleted, hard-deleted or merely touched in the second batch.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from siltstone.functions.dates import timestamp
+from pyspark.sql import DataFrame, SparkSession
 
 FIRST_LOAD = "2002-01-01 00:00:00"
 SECOND_LOAD = "2002-02-01 00:00:00"
 
-_DIMS_BORN = "2001-12-01 00:00:00"
-_FACTS_BORN = "2001-12-15 00:00:00"
-_DIMS_CHANGED = "2002-01-10 00:00:00"
-_FILMS_CHANGED = "2002-01-12 00:00:00"
-_FACTS_CHANGED = "2002-01-20 00:00:00"
-_GONE = "2002-01-15 00:00:00"
-
-
-def _stamp(key: Column, born: str, changed: str, classes: tuple[int, ...] = (3, 13, 19), touched: bool = True) -> Column:
-    stamp = F.when((key % 20).isin(*classes), timestamp(changed))
-    if touched:
-        stamp = stamp.when(key % 50 == 1, timestamp(FIRST_LOAD))
-    return stamp.otherwise(timestamp(born))
-
-
-def _gone(key: Column) -> Column:
-    return F.when(key % 25 == 4, timestamp(_GONE))
+_NO_STAMP = "CAST(NULL AS TIMESTAMP_NTZ)"
+_BORN = {"dim": "TIMESTAMP_NTZ '2001-12-01 00:00:00'", "fact": "TIMESTAMP_NTZ '2001-12-15 00:00:00'"}
+_CHANGED = {"dim": "TIMESTAMP_NTZ '2002-01-10 00:00:00'", "film": "TIMESTAMP_NTZ '2002-01-12 00:00:00'",
+            "fact": "TIMESTAMP_NTZ '2002-01-20 00:00:00'"}
+_GONE = "TIMESTAMP_NTZ '2002-01-15 00:00:00'"
+
+_FILM = ["CAST(FLOOR(p_partkey / 10) AS BIGINT) AS film_id", "p_name AS title", "p_type AS description",
+         "CAST(1990 + p_size % 30 AS INT) AS release_year", "CAST(p_size * 3 AS INT) AS length",
+         "p_size AS rental_duration", "CAST(p_retailprice AS DECIMAL(12,2)) AS rental_rate",
+         "CAST(p_retailprice * 2 AS DECIMAL(12,2)) AS replacement_cost", "p_brand AS rating"]
+_INVENTORY = ["p_partkey AS inventory_id", "CAST(FLOOR(p_partkey / 10) AS BIGINT) AS film_id",
+              "CAST(p_partkey % 25 AS BIGINT) AS store_id"]
+_STAFF = ["s_suppkey AS staff_id", "s_name AS first_name", "s_name AS last_name",
+          "CAST(s_nationkey AS BIGINT) AS address_id", "CAST(s_nationkey AS BIGINT) AS store_id"]
+_ADDRESS = ["CAST(n_nationkey AS BIGINT) AS address_id", "n_name AS address", "n_name AS district",
+            "CAST(n_regionkey AS BIGINT) AS city_id"]
+_CITY = ["CAST(r_regionkey AS BIGINT) AS city_id", "r_name AS city"]
+_STORE = ["CAST(n_nationkey AS BIGINT) AS store_id", "CAST(n_nationkey % 10 AS BIGINT) AS manager_staff_id",
+          "CAST(n_nationkey AS BIGINT) AS address_id"]
 
 
 class RetailSource:
     """`RetailSource(spark, folder, batch)("film")` is the film table as of that batch."""
 
-    def __init__(self, spark: SparkSession, folder: str, batch: int = 2):
+    def __init__(self, spark: SparkSession, folder: str, batch: int = 2, opened: dict[str, DataFrame] | None = None):
         self.spark, self.folder, self.batch = spark, folder, batch
+        self._opened = {} if opened is None else opened
+
+    def other_batch(self) -> RetailSource:
+        """The other batch over the same opened tables (each table's footer is read once)."""
+        return RetailSource(self.spark, self.folder, 3 - self.batch, self._opened)
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._opened[name]
 
     def __call__(self, name: str) -> DataFrame:
         return getattr(self, f"_{name}")()
 
-    def _first(self, df: DataFrame, key: Column, born: str, deletable: bool) -> DataFrame:
-        df = df.filter(key % 20 != 19).withColumn("last_update", timestamp(born))
-        return df.withColumn("deleted", F.lit(None).cast("timestamp_ntz")) if deletable else df
+    def _batch(self, base: DataFrame, key: str, kind: str, changes: dict[str, str], stamped: str | None = None,
+               classes: str = "3, 13, 19", touched: bool = True, deletable: bool = True,
+               first: dict[str, str] | None = None) -> DataFrame:
+        """The rows of a batch. `key` decides the class of a row, `changes` are the second
+        batch's column expressions, `first` those of the first batch."""
+        if self.batch == 1:
+            rows, replaced = base.where(f"{key} % 20 <> 19"), first or {}
+            last_update, deleted = _BORN[kind], _NO_STAMP
+        else:
+            rows, replaced = base.where(f"{key} % 40 <> 6"), changes
+            touch = f"WHEN {key} % 50 = 1 THEN TIMESTAMP_NTZ '{FIRST_LOAD}' " if touched else ""
+            last_update = f"CASE WHEN {key} % 20 IN ({classes}) THEN {_CHANGED[stamped or kind]} {touch}ELSE {_BORN[kind]} END"
+            deleted = f"CASE WHEN {key} % 25 = 4 THEN {_GONE} END"
+        stamps = [f"{last_update} AS last_update"] + ([f"{deleted} AS deleted"] if deletable else [])
+        return rows.selectExpr(*[f"{replaced[c]} AS {c}" if c in replaced else c for c in base.columns], *stamps)
 
     # -- base rows, before any batch rule
 
     def film_base(self) -> DataFrame:
-        return self.raw("part").filter("p_partkey % 10 = 0").select(
-            F.floor(F.col("p_partkey") / 10).cast("bigint").alias("film_id"),
-            F.col("p_name").alias("title"), F.col("p_type").alias("description"),
-            (1990 + F.col("p_size") % 30).cast("int").alias("release_year"),
-            (F.col("p_size") * 3).cast("int").alias("length"), F.col("p_size").alias("rental_duration"),
-            F.col("p_retailprice").cast("decimal(12,2)").alias("rental_rate"),
-            (F.col("p_retailprice") * 2).cast("decimal(12,2)").alias("replacement_cost"),
-            F.col("p_brand").alias("rating"))
+        return self.raw("part").where("p_partkey % 10 = 0").selectExpr(*_FILM)
 
     def inventory_base(self) -> DataFrame:
-        return self.raw("part").select(
-            F.col("p_partkey").alias("inventory_id"),
-            F.floor(F.col("p_partkey") / 10).cast("bigint").alias("film_id"),
-            (F.col("p_partkey") % 25).cast("bigint").alias("store_id"))
+        return self.raw("part").selectExpr(*_INVENTORY)
+
+    def _by_order(self, *columns: str) -> DataFrame:
+        """Line items reduced to one row per order, before they are joined."""
+        lines = self.raw("lineitem").groupBy("l_orderkey").agg({c: "max" for c in columns})
+        return lines.selectExpr("l_orderkey AS o_orderkey", *[f"`max({c})` AS {c}" for c in columns])
 
     def rental_base(self) -> DataFrame:
-        lines = self.raw("lineitem").groupBy(F.col("l_orderkey").alias("rental_id")).agg(
-            F.max("l_partkey").alias("inventory_id"), F.max("l_suppkey").alias("staff_id"),
-            F.max("l_shipdate").alias("return_date"))
-        orders = self.raw("orders").select(F.col("o_orderkey").alias("rental_id"), F.col("o_orderdate").alias("rental_date"),
-                                           F.col("o_custkey").alias("customer_id"))
-        return orders.join(lines, "rental_id").select("rental_id", "rental_date", "inventory_id", "customer_id",
-                                                      "return_date", "staff_id")
+        return self.raw("orders").join(self._by_order("l_partkey", "l_suppkey", "l_shipdate"), "o_orderkey").selectExpr(
+            "o_orderkey AS rental_id", "o_orderdate AS rental_date", "l_partkey AS inventory_id",
+            "o_custkey AS customer_id", "l_shipdate AS return_date", "l_suppkey AS staff_id")
 
     def payment_base(self) -> DataFrame:
-        lines = self.raw("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-            F.max("l_suppkey").alias("staff_id"))
-        return self.raw("orders").join(lines, "o_orderkey", "left").select(
-            F.col("o_orderkey").alias("payment_id"), F.col("o_custkey").alias("customer_id"),
-            F.coalesce("staff_id", F.lit(0).cast("bigint")).alias("staff_id"), F.col("o_orderkey").alias("rental_id"),
-            F.col("o_totalprice").cast("decimal(12,2)").alias("amount"), F.col("o_orderdate").alias("payment_date"))
+        return self.raw("orders").join(self._by_order("l_suppkey"), "o_orderkey", "left").selectExpr(
+            "o_orderkey AS payment_id", "o_custkey AS customer_id", "COALESCE(l_suppkey, 0L) AS staff_id",
+            "o_orderkey AS rental_id", "CAST(o_totalprice AS DECIMAL(12,2)) AS amount", "o_orderdate AS payment_date")
 
     # -- tables of a batch
 
     def _film(self) -> DataFrame:
-        base, key = self.film_base(), F.col("film_id")
-        if self.batch == 1:
-            return self._first(base, key, _DIMS_BORN, deletable=False)
-        return base.filter(key % 40 != 6).withColumns({
-            "rental_rate": F.when(key % 20 == 3, F.col("rental_rate") + 1).otherwise(F.col("rental_rate"))
-            .cast("decimal(12,2)"),
-            "rating": F.when(key % 20 == 13, F.concat("rating", F.lit("*"))).otherwise(F.col("rating")),
-            "last_update": _stamp(key, _DIMS_BORN, _FILMS_CHANGED)})
+        return self._batch(self.film_base(), "film_id", "dim", {
+            "rental_rate": "CAST(CASE WHEN film_id % 20 = 3 THEN rental_rate + 1 ELSE rental_rate END AS DECIMAL(12,2))",
+            "rating": "CASE WHEN film_id % 20 = 13 THEN CONCAT(rating, '*') ELSE rating END"},
+            stamped="film", deletable=False)
 
     def _inventory(self) -> DataFrame:
-        base, key = self.inventory_base(), F.col("inventory_id")
+        base = self.inventory_base()
         if self.batch == 1:
-            return self._first(base, key, _DIMS_BORN, deletable=True)
-        last_film = self.film_base().agg(F.max("film_id")).scalar()
-        return base.filter(key % 40 != 6).withColumns({
-            "film_id": F.when((key % 20 == 3) & (F.col("film_id") + 1 <= last_film), F.col("film_id") + 1)
-            .otherwise(F.col("film_id")),
-            "store_id": F.when(key % 20 == 13, (F.col("store_id") + 1) % 25).otherwise(F.col("store_id")),
-            "last_update": _stamp(key, _DIMS_BORN, _DIMS_CHANGED), "deleted": _gone(key)})
+            return self._batch(base, "inventory_id", "dim", {})
+        last = self.film_base().groupBy().max("film_id").toDF("last").scalar()
+        rows = self._batch(base.withColumn("last_film", last), "inventory_id", "dim", {
+            "film_id": "CASE WHEN inventory_id % 20 = 3 AND film_id + 1 <= last_film THEN film_id + 1 ELSE film_id END",
+            "store_id": "CASE WHEN inventory_id % 20 = 13 THEN (store_id + 1) % 25 ELSE store_id END"})
+        return rows.drop("last_film")
 
     def _staff(self) -> DataFrame:
-        key = F.col("staff_id")
-        base = self.raw("supplier").select(
-            F.col("s_suppkey").alias("staff_id"), F.col("s_name").alias("first_name"), F.col("s_name").alias("last_name"),
-            F.col("s_nationkey").cast("bigint").alias("address_id"), F.col("s_nationkey").cast("bigint").alias("store_id"))
-        if self.batch == 1:
-            return self._first(base, key, _DIMS_BORN, deletable=True)
-        return base.filter(key % 40 != 6).withColumns({
-            "first_name": F.when(key % 20 == 3, F.concat("first_name", F.lit(" II"))).otherwise(F.col("first_name")),
-            "store_id": F.when(key % 20 == 13, (F.col("store_id") + 1) % 25).otherwise(F.col("store_id")),
-            "last_update": _stamp(key, _DIMS_BORN, _DIMS_CHANGED), "deleted": _gone(key)})
+        return self._batch(self.raw("supplier").selectExpr(*_STAFF), "staff_id", "dim", {
+            "first_name": "CASE WHEN staff_id % 20 = 3 THEN CONCAT(first_name, ' II') ELSE first_name END",
+            "store_id": "CASE WHEN staff_id % 20 = 13 THEN (store_id + 1) % 25 ELSE store_id END"})
 
     def _rental(self) -> DataFrame:
-        base, key = self.rental_base(), F.col("rental_id") + 7
-        if self.batch == 1:
-            back = F.when(key % 20 != 3, F.col("return_date"))
-            return self._first(base.withColumn("return_date", back), key, _FACTS_BORN, deletable=True)
-        return base.filter(key % 40 != 6).withColumns({
-            "inventory_id": F.when(key % 20 == 13, F.lit(1).cast("bigint")).otherwise(F.col("inventory_id")),
-            "last_update": _stamp(key, _FACTS_BORN, _FACTS_CHANGED), "deleted": _gone(key)})
+        return self._batch(self.rental_base(), "(rental_id + 7)", "fact", {
+            "inventory_id": "CASE WHEN (rental_id + 7) % 20 = 13 THEN 1L ELSE inventory_id END"},
+            first={"return_date": "CASE WHEN (rental_id + 7) % 20 <> 3 THEN return_date END"})
 
     def _payment(self) -> DataFrame:
-        base, key = self.payment_base(), F.col("payment_id")
-        if self.batch == 1:
-            return self._first(base, key, _FACTS_BORN, deletable=True)
-        return base.filter(key % 40 != 6).withColumns({
-            "staff_id": F.when(key % 20 == 13, F.lit(5).cast("bigint")).otherwise(F.col("staff_id")),
-            "amount": F.when(key % 20 == 3, F.col("amount") + 1).otherwise(F.col("amount")).cast("decimal(12,2)"),
-            "last_update": _stamp(key, _FACTS_BORN, _FACTS_CHANGED), "deleted": _gone(key)})
-
-    def _small(self, df: DataFrame, key: str, column: str, change: Column) -> DataFrame:
-        k = F.col(key)
-        if self.batch == 1:
-            return self._first(df, k, _DIMS_BORN, deletable=False)
-        return df.filter(k % 40 != 6).withColumns({
-            column: F.when(k % 20 == 3, change).otherwise(F.col(column)),
-            "last_update": _stamp(k, _DIMS_BORN, _DIMS_CHANGED, classes=(3, 19), touched=False)})
+        return self._batch(self.payment_base(), "payment_id", "fact", {
+            "staff_id": "CASE WHEN payment_id % 20 = 13 THEN 5L ELSE staff_id END",
+            "amount": "CAST(CASE WHEN payment_id % 20 = 3 THEN amount + 1 ELSE amount END AS DECIMAL(12,2))"})
+
+    def _small(self, df: DataFrame, key: str, column: str, change: str) -> DataFrame:
+        return self._batch(df, key, "dim", {column: f"CASE WHEN {key} % 20 = 3 THEN {change} ELSE {column} END"},
+                           classes="3, 19", touched=False, deletable=False)
 
     def _address(self) -> DataFrame:
-        base = self.raw("nation").select(
-            F.col("n_nationkey").cast("bigint").alias("address_id"), F.col("n_name").alias("address"),
-            F.col("n_name").alias("district"), F.col("n_regionkey").cast("bigint").alias("city_id"))
-        return self._small(base, "address_id", "address", F.concat("address", F.lit(" *")))
+        return self._small(self.raw("nation").selectExpr(*_ADDRESS), "address_id", "address", "CONCAT(address, ' *')")
 
     def _city(self) -> DataFrame:
-        base = self.raw("region").select(F.col("r_regionkey").cast("bigint").alias("city_id"), F.col("r_name").alias("city"))
-        return self._small(base, "city_id", "city", F.concat("city", F.lit(" *")))
+        return self._small(self.raw("region").selectExpr(*_CITY), "city_id", "city", "CONCAT(city, ' *')")
 
     def _store(self) -> DataFrame:
-        base = self.raw("nation").select(
-            F.col("n_nationkey").cast("bigint").alias("store_id"),
-            (F.col("n_nationkey") % 10).cast("bigint").alias("manager_staff_id"),
-            F.col("n_nationkey").cast("bigint").alias("address_id"))
-        return self._small(base, "store_id", "manager_staff_id", F.lit(5).cast("bigint"))
+        return self._small(self.raw("nation").selectExpr(*_STORE), "store_id", "manager_staff_id", "5L")
 
     def _customer(self) -> DataFrame:
-        return self.raw("customer").select(F.col("c_custkey").alias("customer_id"))
+        return self.raw("customer").selectExpr("c_custkey AS customer_id")
