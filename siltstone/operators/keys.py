@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.session import materialize
@@ -22,24 +22,24 @@ class Registry:
     nk: str
 
 
-def number_rows(rows: DataFrame, order: str, name: str, first: int) -> DataFrame:
-    """Dense numbers from `first` in the order of `order`, without a one-task window.
+def number_rows(rows: DataFrame, order: str, name: str, after: Column) -> DataFrame:
+    """Dense numbers above `after` in the order of `order`, without a one-task window.
 
     The rows are range-sorted over all tasks and written once with their place in
     their partition. What then passes the driver is one count per partition.
     """
     placed = materialize(rows.sort(order).withColumn("_place", F.monotonically_increasing_id()), "numbering")
     part = F.shiftright("_place", _PARTITION_BITS)
-    counts = {r["part"]: r["n"] for r in placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    starts, start = [], first
+    counts = dict(placed.groupBy(part).agg(F.count(F.lit(1))).collect())
+    if not counts:
+        return placed.withColumnRenamed("_place", name)
+    before, total = [], 0
     for p in sorted(counts):
-        starts.append((p, start))
-        start += counts[p]
-    offsets = rows.sparkSession.createDataFrame(starts, "_part bigint, _start bigint")
+        before += [F.lit(p), F.lit(total)]
+        total += counts[p]
     in_part = F.col("_place") - F.shiftleft(part, _PARTITION_BITS)
-    # one row per shuffle partition, so its size is bounded
-    return placed.withColumn("_part", part).join(F.broadcast(offsets), "_part").withColumn(
-        name, F.col("_start") + in_part).drop("_place", "_part", "_start")
+    # one entry per shuffle partition, so the map's size is bounded
+    return placed.withColumn(name, (after + F.element_at(F.create_map(*before), part) + in_part + 1).cast("bigint")).drop("_place")
 
 
 def sync_keys(registry: DataFrame, natural_keys: DataFrame, sk: str, nk: str) -> DataFrame:
@@ -49,8 +49,8 @@ def sync_keys(registry: DataFrame, natural_keys: DataFrame, sk: str, nk: str) ->
     """
     unseen = natural_keys.select(F.col(natural_keys.columns[0]).alias(nk)).filter(F.col(nk).isNotNull()).distinct().join(
         registry.select(nk), nk, "left_anti")
-    top = registry.agg(F.coalesce(F.max(sk), F.lit(0))).first()[0]
-    added = number_rows(unseen, nk, sk, top + 1)
+    top = registry.agg(F.coalesce(F.max(sk), F.lit(0).cast("bigint"))).scalar()
+    added = number_rows(unseen, nk, sk, top)
     return registry.unionByName(added.select(*registry.columns))
 
 

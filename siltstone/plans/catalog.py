@@ -111,7 +111,8 @@ def corporate_state(spark: SparkSession, folder: str, names: list[str], upto: st
     for source, load_ts in zip(both(spark, folder), (FIRST_LOAD, SECOND_LOAD), strict=True):
         state = state | corporate.stage(source, state[JOURNAL], load_ts, lazily, needed)
         state = state | corporate.load_ods(state, save, needed)
-        state = state | corporate.load_registries(state, save, needed)
+        # the new keys of a registry are written by its numbering, so nothing is written twice
+        state = state | corporate.load_registries(state, lazily, needed)
         if upto in ("integ", "dds"):
             state = state | corporate.integrate(state, save, names)
         if upto == "dds":
@@ -269,11 +270,10 @@ def as_of_join_payment_inventory(spark, folder):
 
 def as_of_join_boundary(spark, folder):
     dim = materialize(scd2_dim_inventory(spark, folder), "discs")
-    facts = materialize(_paid_rentals(spark, folder), "payments")
-    counts = None
+    facts, cuts, counts = _paid_rentals(spark, folder), op.version_cuts(dim, "inventory_id"), None
     for closed in ("both", "left"):
         hits = op.as_of_join(facts, dim, "inventory_id", "last_update", {"effective_date_from": "version"}, closed,
-                             cuts=op.version_cuts(dim, "inventory_id")).select("payment_id", F.lit(closed).alias("closed"))
+                             cuts=cuts).select("payment_id", F.lit(closed).alias("closed"))
         counts = hits if counts is None else counts.unionByName(hits)
     return counts.groupBy("payment_id").agg(
         F.count(F.when(F.col("closed") == "both", 1)).alias("matches_both"),
@@ -366,13 +366,11 @@ def vault_state(spark: SparkSession, folder: str, tables: list[str], hubs: list[
 
 
 def hub(name, spark, folder):
-    feeds = {"film": ["film", "inventory"], "inventory": ["inventory", "rental"], "rental": ["rental"]}[name]
-    return vault_state(spark, folder, feeds, hubs=[name])[f"edw.hub_{name}"]
+    return vault_state(spark, folder, vault.HUB_FEEDS[name], hubs=[name])[f"edw.hub_{name}"]
 
 
 def link(name, spark, folder):
-    staged = "inventory" if name == "film_inventory" else "rental"
-    return vault_state(spark, folder, [staged], links=[name])[f"edw.link_{name}"]
+    return vault_state(spark, folder, [vault.LINK_ENDS[name][0]], links=[name])[f"edw.link_{name}"]
 
 
 def satellite(name, spark, folder):

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from siltstone.sources.remote import Source, align_columns
 State = dict[str, DataFrame]
 Save = Callable[[DataFrame, str], DataFrame]
 
-__all__ = ["JOURNAL", "Save", "State", "declared", "lazily", "marks", "record_loads", "refuse_reuse"]
+__all__ = ["JOURNAL", "Save", "State", "declared", "each", "lazily", "marks", "record_loads", "refuse_reuse"]
 
 JOURNAL = "staging.last_update_data"
 
@@ -25,6 +26,13 @@ def lazily(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def each(names: Iterable[str], load: Callable[[str], tuple[str, DataFrame]]) -> State:
+    """Tables that do not depend on each other, loaded side by side, so that the small
+    ones do not each hold up the cluster."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        return dict(pool.map(load, names))
+
+
 def declared(source: Source, tables: dict[str, str], layer_table: str) -> tuple[DataFrame, list[str]]:
     """The source table with the declared columns it lacks added as NULL, and their names."""
     wanted = columns(tables, layer_table)

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from siltstone.operators.extract import extract_full, extract_incremental
 from siltstone.operators.keys import Registry, replace_keys, sync_keys
 from siltstone.operators.scd import scd2_hash
 from siltstone.operators.upsert import changes_since_target, upsert, upsert_since
-from siltstone.plans.common import JOURNAL, Save, State, declared, marks, record_loads, refuse_reuse
+from siltstone.plans.common import JOURNAL, Save, State, declared, each, marks, record_loads, refuse_reuse
 from siltstone.plans.marts import corporate_sales_by_date, corporate_sales_by_film
 from siltstone.schemas import CORPORATE
 from siltstone.session import materialize
@@ -44,24 +43,33 @@ def stage(source: Source, journal: DataFrame, load_ts: str, save: Save, only: li
     """Extract: changes of rentals, full copies of the rest."""
     names = only or ENTITIES
     since = marks(journal, ["staging.rental"])["staging.rental"]
-    staged: State = {}
-    for name in names:
+
+    def extract(name: str) -> tuple[str, DataFrame]:
         rows, cols = declared(source, CORPORATE, f"staging.{name}")
         rows = extract_incremental(rows, cols, since) if name == "rental" else extract_full(rows, cols)
-        staged[f"staging.{name}"] = save(rows, f"staging.{name}")
+        return f"staging.{name}", save(rows, f"staging.{name}")
+
+    staged = each(names, extract)
     staged[JOURNAL] = save(record_loads(journal, [f"staging.{n}" for n in names], load_ts), JOURNAL)
     return staged
 
 
 def load_ods(state: State, save: Save, only: list[str] | None = None) -> State:
     """Facts are upserted, so that a row gone from the source survives; the rest is replaced."""
-    return {f"ods.{n}": save(upsert(state[f"ods.{n}"], state[f"staging.{n}"], f"{n}_id"), f"ods.{n}") if n in FACTS
-            else state[f"staging.{n}"] for n in only or ENTITIES}
+    def load(name: str) -> tuple[str, DataFrame]:
+        table, staged = f"ods.{name}", state[f"staging.{name}"]
+        return table, save(upsert(state[table], staged, f"{name}_id"), table) if name in FACTS else staged
+
+    return each(only or ENTITIES, load)
 
 
 def load_registries(state: State, save: Save, only: list[str] | None = None) -> State:
-    return {f"ref.{n}": save(sync_keys(state[f"ref.{n}"], state[f"ods.{n}"].select(f"{n}_id"), f"{n}_sk", f"{n}_nk"), f"ref.{n}")
-            for n in only or ENTITIES}
+    def load(name: str) -> tuple[str, DataFrame]:
+        table = f"ref.{name}"
+        rows = sync_keys(state[table], state[f"ods.{name}"].select(f"{name}_id"), f"{name}_sk", f"{name}_nk")
+        return table, save(rows, table)
+
+    return each(only or ENTITIES, load)
 
 
 def integrate_fact(target: DataFrame, source: DataFrame, name: str, state: State) -> DataFrame:
@@ -76,27 +84,25 @@ def integrate_fact(target: DataFrame, source: DataFrame, name: str, state: State
 
 
 def integrate(state: State, save: Save, only: list[str] | None = None) -> State:
-    loaded: State = {}
-    for name in only or ENTITIES:
-        rows = state[f"ods.{name}"]
-        rows = (integrate_fact(state[f"integ.{name}"], rows, name, state) if name in FACTS
+    def load(name: str) -> tuple[str, DataFrame]:
+        table, rows = f"integ.{name}", state[f"ods.{name}"]
+        rows = (integrate_fact(state[table], rows, name, state) if name in FACTS
                 else replace_keys(rows, registries(state, name)))
-        loaded[f"integ.{name}"] = save(rows, f"integ.{name}")
-    return loaded
+        return table, save(rows, table)
+
+    return each(only or ENTITIES, load)
 
 
 def load_dds(state: State, load_ts: str, save: Save, only: list[str] | None = None) -> State:
-    loaded: State = {}
-    for name in only or ENTITIES:
+    def load(name: str) -> tuple[str, DataFrame]:
         snapshot = state[f"integ.{name}"]
         if name in FACTS:
             table = f"dds.fact_{name}"
-            rows = upsert_since(state[table], snapshot, f"{name}_id")
-        else:
-            table = f"dds.dim_{name}"
-            rows = scd2_hash(state[table], snapshot, f"{name}_id", load_ts)
-        loaded[table] = save(rows, table)
-    return loaded
+            return table, save(upsert_since(state[table], snapshot, f"{name}_id"), table)
+        table = f"dds.dim_{name}"
+        return table, save(scd2_hash(state[table], snapshot, f"{name}_id", load_ts), table)
+
+    return each(only or ENTITIES, load)
 
 
 def load_marts(state: State, save: Save) -> State:

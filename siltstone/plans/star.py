@@ -11,7 +11,7 @@ from siltstone.operators.facts import load_fact_payment, load_fact_rental
 from siltstone.operators.journal import previous_load_time
 from siltstone.operators.keys import fill_keys
 from siltstone.operators.scd import Lookup, scd2_merge, scd2_split
-from siltstone.plans.common import JOURNAL, Save, State, declared, marks, record_loads, refuse_reuse
+from siltstone.plans.common import JOURNAL, Save, State, declared, each, marks, record_loads, refuse_reuse
 from siltstone.plans.marts import star_sales_by_date, star_sales_by_film
 from siltstone.schemas import STAR, columns
 from siltstone.session import materialize
@@ -24,8 +24,8 @@ _JOURNALED = ["staging.film", "staging.inventory", "staging.staff", "staging.ren
 def stage(source: Source, journal: DataFrame, load_ts: str, save: Save, only: list[str] | None = None) -> State:
     """Extract: changes of discs, staff, rentals and payments, full copies of the rest."""
     since = marks(journal, _JOURNALED)
-    staged: State = {}
-    for name in only or ["film", "inventory", "staff", "rental", "payment", "address", "city", "store"]:
+
+    def extract(name: str) -> tuple[str, DataFrame]:
         table = f"staging.{name}"
         if name == "payment":
             fact = align_columns(source(name), {"last_update": "timestamp_ntz", "deleted": "timestamp_ntz"})
@@ -35,7 +35,9 @@ def stage(source: Source, journal: DataFrame, load_ts: str, save: Save, only: li
             rows, names = declared(source, STAR, table)
             rows = (extract_incremental(rows, names, since[table]) if name in ("inventory", "staff", "rental")
                     else extract_full(rows, names))
-        staged[table] = save(rows, table)
+        return table, save(rows, table)
+
+    staged = each(only or ["film", "inventory", "staff", "rental", "payment", "address", "city", "store"], extract)
     staged[JOURNAL] = save(record_loads(journal, _JOURNALED, load_ts), JOURNAL)
     return staged
 
@@ -68,23 +70,28 @@ def load_dim_staff(dim: DataFrame, staged: DataFrame, store: DataFrame, address:
 
 
 def load_dims(state: State, save: Save) -> State:
-    previous = previous_load_time(state[JOURNAL], "staging.film")
-    return {
-        "core.dim_inventory": save(load_dim_inventory(state["core.dim_inventory"], state["staging.inventory"],
-                                                      state["staging.film"], previous), "core.dim_inventory"),
-        "core.dim_staff": save(load_dim_staff(state["core.dim_staff"], state["staging.staff"], state["staging.store"],
-                                              state["staging.address"], state["staging.city"]), "core.dim_staff")}
+    def load(name: str) -> tuple[str, DataFrame]:
+        dim, staged = state[f"core.dim_{name}"], state[f"staging.{name}"]
+        if name == "inventory":
+            previous = previous_load_time(state[JOURNAL], "staging.film")
+            rows = load_dim_inventory(dim, staged, state["staging.film"], previous)
+        else:
+            rows = load_dim_staff(dim, staged, state["staging.store"], state["staging.address"], state["staging.city"])
+        return f"core.dim_{name}", save(rows, f"core.dim_{name}")
+
+    return each(["inventory", "staff"], load)
 
 
 def load_facts(state: State, save: Save, only: list[str] | None = None) -> State:
     loaders = {"payment": load_fact_payment, "rental": load_fact_rental}
-    facts: State = {}
-    for name in only or list(loaders):
+
+    def load(name: str) -> tuple[str, DataFrame]:
         table = f"core.fact_{name}"
         rows = loaders[name](state[table], state[f"staging.{name}"], state["core.dim_inventory"], state["core.dim_staff"],
                              state["core.dim_date"])
-        facts[table] = save(fill_keys(rows, f"{name}_pk", state[table]), table)
-    return facts
+        return table, save(fill_keys(rows, f"{name}_pk", state[table]), table)
+
+    return each(only or loaders, load)
 
 
 def load_marts(state: State, save: Save) -> State:

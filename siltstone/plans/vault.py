@@ -9,7 +9,7 @@ from siltstone.functions.dates import timestamp
 from siltstone.functions.hashing import hash_diff, hash_key, link_key
 from siltstone.operators.extract import extract_full, extract_incremental
 from siltstone.operators.vault import load_hub, load_link, load_plain_satellite, load_satellite
-from siltstone.plans.common import JOURNAL, Save, State, declared, marks, record_loads, refuse_reuse
+from siltstone.plans.common import JOURNAL, Save, State, declared, each, marks, record_loads, refuse_reuse
 from siltstone.plans.marts import rented_film
 from siltstone.schemas import _FILM, _INVENTORY, _RENTAL
 from siltstone.session import materialize
@@ -38,28 +38,38 @@ def stage(source: Source, journal: DataFrame, load_ts: str, save: Save, only: li
     """Extract and hash: changes of rentals, full copies of films and discs."""
     names = only or ["film", "inventory", "rental"]
     since = marks(journal, ["staging.rental"])["staging.rental"]
-    staged: State = {}
-    for name in names:
+
+    def extract(name: str) -> tuple[str, DataFrame]:
         table = f"staging.{name}"
         rows, cols = declared(source, _SOURCES, table)
         rows = extract_incremental(rows, cols, since) if name == "rental" else extract_full(rows, cols)
-        staged[table] = save(rows.withColumns(hashes(name) | {
+        return table, save(rows.withColumns(hashes(name) | {
             "load_date": timestamp(load_ts), "record_source": F.lit(record_source)}), table)
+
+    staged = each(names, extract)
     staged[JOURNAL] = save(record_loads(journal, [f"staging.{n}" for n in names], load_ts), JOURNAL)
     return staged
 
 
+HUB_FEEDS = {"film": ["film", "inventory"], "inventory": ["inventory", "rental"], "rental": ["rental"]}
+LINK_ENDS = {"film_inventory": ("inventory", "film"), "rental_inventory": ("rental", "rental")}
+
+
 def load_hubs(state: State, save: Save, only: list[str] | None = None) -> State:
-    feeds = {"film": ["film", "inventory"], "inventory": ["inventory", "rental"], "rental": ["rental"]}
-    return {f"edw.hub_{n}": save(load_hub(state[f"edw.hub_{n}"], [state[f"staging.{s}"] for s in feeds[n]],
-                                          f"hub_{n}_hash_key", f"{n}_id"), f"edw.hub_{n}") for n in only or feeds}
+    def load(name: str) -> tuple[str, DataFrame]:
+        table, feeds = f"edw.hub_{name}", [state[f"staging.{s}"] for s in HUB_FEEDS[name]]
+        return table, save(load_hub(state[table], feeds, f"hub_{name}_hash_key", f"{name}_id"), table)
+
+    return each(only or HUB_FEEDS, load)
 
 
 def load_links(state: State, save: Save, only: list[str] | None = None) -> State:
-    ends = {"film_inventory": ("inventory", "film"), "rental_inventory": ("rental", "rental")}
-    return {f"edw.link_{n}": save(load_link(state[f"edw.link_{n}"], state[f"staging.{ends[n][0]}"], f"link_{n}_hash_key",
-                                            [f"hub_{ends[n][1]}_hash_key", "hub_inventory_hash_key"]), f"edw.link_{n}")
-            for n in only or ends}
+    def load(name: str) -> tuple[str, DataFrame]:
+        table, (staged, parent) = f"edw.link_{name}", LINK_ENDS[name]
+        return table, save(load_link(state[table], state[f"staging.{staged}"], f"link_{name}_hash_key",
+                                     [f"hub_{parent}_hash_key", "hub_inventory_hash_key"]), table)
+
+    return each(only or LINK_ENDS, load)
 
 
 # satellite → staged table, key, stored diff (None: computed), payload, whether the staged rows are a snapshot
@@ -75,14 +85,14 @@ SATELLITES = {
 
 
 def load_satellites(state: State, load_ts: str, save: Save, only: list[str] | None = None) -> State:
-    loaded: State = {}
-    for name in only or SATELLITES:
+    def load(name: str) -> tuple[str, DataFrame]:
         staged, key, diff, payload, full = SATELLITES[name]
         table, rows = f"edw.sat_{name}", state[f"staging.{staged}"]
-        loaded[table] = save(
+        return table, save(
             load_satellite(state[table], rows, key, diff, payload, load_ts, full) if diff
             else load_plain_satellite(state[table], rows, key, payload, load_ts, full), table)
-    return loaded
+
+    return each(only or SATELLITES, load)
 
 
 def load_marts(state: State, save: Save) -> State:
