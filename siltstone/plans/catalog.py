@@ -105,12 +105,13 @@ def _closure(names: list[str]) -> list[str]:
 def corporate_state(spark: SparkSession, folder: str, names: list[str], upto: str, save: Save = materialize) -> State:
     """State after both batches, loaded as far as `upto` and only for the named entities."""
     needed = _closure(names)
+    facts_only = lambda df, table: save(df, table) if table.endswith(("payment", "rental")) else df
     state = reset(spark, CORPORATE, tables=[JOURNAL, *[f"{layer}.{n}" for n in needed for layer in ("ods", "ref")],
                                             *[t for n in names for t in (f"integ.{n}", f"dds.dim_{n}", f"dds.fact_{n}")
                                               if t in CORPORATE]])
     for source, load_ts in zip(both(spark, folder), (FIRST_LOAD, SECOND_LOAD), strict=True):
         state = state | corporate.stage(source, state[JOURNAL], load_ts, lazily, needed)
-        state = state | corporate.load_ods(state, save, needed)
+        state = state | corporate.load_ods(state, facts_only, needed)
         # the new keys of a registry are written by its numbering, so nothing is written twice
         state = state | corporate.load_registries(state, lazily, needed)
         if upto in ("integ", "dds"):

@@ -16,7 +16,7 @@ from siltstone.sources.remote import Source, align_columns
 State = dict[str, DataFrame]
 Save = Callable[[DataFrame, str], DataFrame]
 
-__all__ = ["JOURNAL", "Save", "State", "declared", "each", "lazily", "marks", "record_loads", "refuse_reuse"]
+__all__ = ["JOURNAL", "Save", "State", "declared", "each", "in_reach", "lazily", "marks", "record_loads", "refuse_reuse"]
 
 JOURNAL = "staging.last_update_data"
 
@@ -33,6 +33,12 @@ def each(names: Iterable[str], load: Callable[[str], tuple[str, DataFrame]]) ->
         return dict(pool.map(load, names))
 
 
+def in_reach(save: Save, target: DataFrame, table: str, delta: DataFrame) -> DataFrame:
+    """The part of a target that a delta can change: what the store says, else all of it."""
+    narrow = getattr(save, "narrow", None)
+    return narrow(target, table, delta) if narrow else target
+
+
 def declared(source: Source, tables: dict[str, str], layer_table: str) -> tuple[DataFrame, list[str]]:
     """The source table with the declared columns it lacks added as NULL, and their names."""
     wanted = columns(tables, layer_table)

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from siltstone.operators.extract import extract_full, extract_incremental
 from siltstone.operators.keys import Registry, replace_keys, sync_keys
 from siltstone.operators.scd import scd2_hash
-from siltstone.operators.upsert import changes_since_target, upsert, upsert_since
-from siltstone.plans.common import JOURNAL, Save, State, declared, each, marks, record_loads, refuse_reuse
+from siltstone.operators.upsert import changes_since_target, upsert
+from siltstone.plans.common import JOURNAL, Save, State, declared, each, in_reach, marks, record_loads, refuse_reuse
 from siltstone.plans.marts import corporate_sales_by_date, corporate_sales_by_film
 from siltstone.schemas import CORPORATE
 from siltstone.session import materialize
@@ -58,7 +58,9 @@ def load_ods(state: State, save: Save, only: list[str] | None = None) -> State:
     """Facts are upserted, so that a row gone from the source survives; the rest is replaced."""
     def load(name: str) -> tuple[str, DataFrame]:
         table, staged = f"ods.{name}", state[f"staging.{name}"]
-        return table, save(upsert(state[table], staged, f"{name}_id"), table) if name in FACTS else staged
+        if name not in FACTS:
+            return table, save(staged, table)
+        return table, save(upsert(in_reach(save, state[table], table, staged), staged, f"{name}_id"), table)
 
     return each(only or ENTITIES, load)
 
@@ -72,7 +74,7 @@ def load_registries(state: State, save: Save, only: list[str] | None = None) ->
     return each(only or ENTITIES, load)
 
 
-def integrate_fact(target: DataFrame, source: DataFrame, name: str, state: State) -> DataFrame:
+def integrate_fact(target: DataFrame, source: DataFrame, name: str, state: State, save: Save) -> DataFrame:
     """Upsert of the rows newer than the target, with surrogate keys.
 
     The keys to remove are translated to surrogates before they are compared with the
@@ -80,13 +82,14 @@ def integrate_fact(target: DataFrame, source: DataFrame, name: str, state: State
     """
     delta = changes_since_target(target, source)
     gone = replace_keys(delta.select(f"{name}_id"), {f"{name}_id": registry(state, name)})
-    return upsert(target, replace_keys(delta, registries(state, name)), f"{name}_id", gone)
+    reached = in_reach(save, target, f"integ.{name}", gone)
+    return upsert(reached, replace_keys(delta, registries(state, name)), f"{name}_id", gone)
 
 
 def integrate(state: State, save: Save, only: list[str] | None = None) -> State:
     def load(name: str) -> tuple[str, DataFrame]:
         table, rows = f"integ.{name}", state[f"ods.{name}"]
-        rows = (integrate_fact(state[table], rows, name, state) if name in FACTS
+        rows = (integrate_fact(state[table], rows, name, state, save) if name in FACTS
                 else replace_keys(rows, registries(state, name)))
         return table, save(rows, table)
 
@@ -98,7 +101,8 @@ def load_dds(state: State, load_ts: str, save: Save, only: list[str] | None = No
         snapshot = state[f"integ.{name}"]
         if name in FACTS:
             table = f"dds.fact_{name}"
-            return table, save(upsert_since(state[table], snapshot, f"{name}_id"), table)
+            delta = changes_since_target(state[table], snapshot)
+            return table, save(upsert(in_reach(save, state[table], table, delta), delta, f"{name}_id"), table)
         table = f"dds.dim_{name}"
         return table, save(scd2_hash(state[table], snapshot, f"{name}_id", load_ts), table)
 

@@ -11,7 +11,7 @@ from siltstone.operators.facts import load_fact_payment, load_fact_rental
 from siltstone.operators.journal import previous_load_time
 from siltstone.operators.keys import fill_keys
 from siltstone.operators.scd import Lookup, scd2_merge, scd2_split
-from siltstone.plans.common import JOURNAL, Save, State, declared, each, marks, record_loads, refuse_reuse
+from siltstone.plans.common import JOURNAL, Save, State, declared, each, in_reach, marks, record_loads, refuse_reuse
 from siltstone.plans.marts import star_sales_by_date, star_sales_by_film
 from siltstone.schemas import STAR, columns
 from siltstone.session import materialize
@@ -87,7 +87,8 @@ def load_facts(state: State, save: Save, only: list[str] | None = None) -> State
 
     def load(name: str) -> tuple[str, DataFrame]:
         table = f"core.fact_{name}"
-        rows = loaders[name](state[table], state[f"staging.{name}"], state["core.dim_inventory"], state["core.dim_staff"],
+        staged = state[f"staging.{name}"]
+        rows = loaders[name](in_reach(save, state[table], table, staged), staged, state["core.dim_inventory"], state["core.dim_staff"],
                              state["core.dim_date"])
         return table, save(fill_keys(rows, f"{name}_pk", state[table]), table)
 
