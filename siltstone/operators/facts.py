@@ -17,14 +17,22 @@ from siltstone.operators.asof import as_of_join, version_cuts
 from siltstone.operators.scd import STAR_SPAN, Span, _fit, _seen, is_live
 from siltstone.session import materialize
 
+Cuts = tuple[DataFrame | None, DataFrame | None]
 
-def _resolve(staged: DataFrame, dim_inventory: DataFrame, dim_staff: DataFrame, closed: str, span: Span) -> DataFrame:
+
+def dimension_cuts(dim_inventory: DataFrame, dim_staff: DataFrame, span: Span = STAR_SPAN) -> Cuts:
+    """Time cuts of both dimensions, measured once for all facts of a load."""
+    return version_cuts(dim_inventory, "inventory_id", span), version_cuts(dim_staff, "staff_id", span)
+
+
+def _resolve(staged: DataFrame, dim_inventory: DataFrame, dim_staff: DataFrame, closed: str, span: Span,
+             cuts: Cuts | None) -> DataFrame:
     """Staged facts with the row keys of the disc and staff versions valid at their last update."""
+    inventory_cuts, staff_cuts = cuts or dimension_cuts(dim_inventory, dim_staff, span)
     rows = as_of_join(staged, dim_inventory, "inventory_id", "last_update",
-                      {"inventory_pk": "inventory_fk", span.start: "_inventory_from"}, closed, span,
-                      version_cuts(dim_inventory, "inventory_id", span))
+                      {"inventory_pk": "inventory_fk", span.start: "_inventory_from"}, closed, span, inventory_cuts)
     return as_of_join(rows, dim_staff, "staff_id", "last_update", {"staff_pk": "staff_fk", span.start: "_staff_from"},
-                      closed, span, version_cuts(dim_staff, "staff_id", span))
+                      closed, span, staff_cuts)
 
 
 def _versioned(rows: DataFrame, first: Column, span: Span) -> DataFrame:
@@ -35,7 +43,7 @@ def _versioned(rows: DataFrame, first: Column, span: Span) -> DataFrame:
 
 def load_fact_payment(fact: DataFrame, staged: DataFrame, dim_inventory: DataFrame, dim_staff: DataFrame,
                       calendar: DataFrame, closed: str = "both", span: Span = STAR_SPAN,
-                      save: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
+                      cuts: Cuts | None = None, save: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
     """FCT-1: amount, payment date and rental are historised; disc and staff are not.
 
     A staged payment equal in the historised columns to the version valid at its last
@@ -57,7 +65,7 @@ def load_fact_payment(fact: DataFrame, staged: DataFrame, dim_inventory: DataFra
     state = save(staged.join(known, key, "left").withColumns({
         "_first": F.col("_equal").isNull(), "_in_place": F.coalesce("_equal", F.lit(False))}).drop("_equal"), "payments")
 
-    resolved = _resolve(state, dim_inventory, dim_staff, closed, span)
+    resolved = _resolve(state, dim_inventory, dim_staff, closed, span, cuts)
     same_payment = Window.partitionBy(key)
     last_inventory = F.max(F.struct("_inventory_from", "inventory_fk")).over(same_payment)
     last_staff = F.max(F.struct("_staff_from", "staff_fk")).over(same_payment)
@@ -88,11 +96,9 @@ def load_fact_payment(fact: DataFrame, staged: DataFrame, dim_inventory: DataFra
 
 def load_fact_rental(fact: DataFrame, staged: DataFrame, dim_inventory: DataFrame, dim_staff: DataFrame,
                      calendar: DataFrame, closed: str = "both", span: Span = STAR_SPAN,
-                     save: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
+                     cuts: Cuts | None = None, save: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
     """FCT-2: a return date that merely arrives is written in place; any other change is historised."""
     key = "rental_id"
-    soft = is_live(span) & F.col("_gone_at").isNotNull()
-
     marks = staged.filter(F.col("return_date").isNotNull() & F.col("deleted").isNull()).select(
         key, "inventory_id", "staff_id", date_key(F.col("rental_date")).alias("rental_date_fk"))
     discs = dim_inventory.select(F.col("inventory_pk").alias("inventory_fk"), "inventory_id")
@@ -112,17 +118,18 @@ def load_fact_rental(fact: DataFrame, staged: DataFrame, dim_inventory: DataFram
 
     added = state.filter(first | (~in_place & F.col("deleted").isNull())).withColumn(
         "rental_date_fk", date_key(F.col("rental_date")))
-    added = _resolve(added, dim_inventory, dim_staff, closed, span).join(
+    added = _resolve(added, dim_inventory, dim_staff, closed, span, cuts).join(
         days.withColumnRenamed("date_pk", "rental_date_fk"), "rental_date_fk")
     added = _versioned(added, first, span)
 
+    # Only live rows can change, so history is not joined.
     actions = state.filter(~first).select(key, F.col("deleted").alias("_gone_at"), F.col("last_update").alias("_at"),
                                           "_in_place", F.col("return_date_fk").alias("_return_fk"))
-    fills = is_live(span) & in_place & F.col("_return_fk").isNotNull()
-    closes = is_live(span) & F.col("_gone_at").isNull() & ~in_place
-    updated = fact.join(actions, key, "left").select(*[{
-        "return_date_fk": F.when(fills, F.col("_return_fk")).otherwise(F.col("return_date_fk")),
-        span.end: F.when(soft, F.col("_gone_at")).when(closes, F.col("_at")).otherwise(F.col(span.end)),
-        span.active: F.when(soft | closes, F.lit(False)).otherwise(F.col(span.active)),
+    gone = F.col("_gone_at").isNotNull()
+    closes = F.col("_gone_at").isNull() & ~in_place
+    updated = fact.filter(is_live(span)).join(actions, key, "left").select(*[{
+        "return_date_fk": F.when(in_place, F.coalesce("_return_fk", "return_date_fk")).otherwise(F.col("return_date_fk")),
+        span.end: F.when(gone, F.col("_gone_at")).when(closes, F.col("_at")).otherwise(F.col(span.end)),
+        span.active: F.when(gone | closes, F.lit(False)).otherwise(F.lit(True)),
     }.get(c, F.col(c)).alias(c) for c in fact.columns])
-    return updated.unionByName(_fit(added, fact))
+    return fact.filter(~is_live(span)).unionByName(updated).unionByName(_fit(added, fact))

@@ -34,12 +34,13 @@ def number_rows(rows: DataFrame, order: str, name: str, after: Column) -> DataFr
     if not counts:
         return placed.withColumnRenamed("_place", name)
     before, total = [], 0
-    for p in sorted(counts):
-        before += [F.lit(p), F.lit(total)]
-        total += counts[p]
+    for p in range(max(counts) + 1):
+        before.append(f"{total}L")
+        total += counts.get(p, 0)
+    # one entry per shuffle partition, so the array's size is bounded; its lookup is by position
+    offset = F.element_at(F.expr(f"array({', '.join(before)})"), (part + 1).cast("int"))
     in_part = F.col("_place") - F.shiftleft(part, _PARTITION_BITS)
-    # one entry per shuffle partition, so the map's size is bounded
-    return placed.withColumn(name, (after + F.element_at(F.create_map(*before), part) + in_part + 1).cast("bigint")).drop("_place")
+    return placed.withColumn(name, (after + offset + in_part + 1).cast("bigint")).drop("_place")
 
 
 def sync_keys(registry: DataFrame, natural_keys: DataFrame, sk: str, nk: str) -> DataFrame:

@@ -52,11 +52,15 @@ def _seen(dim: DataFrame, staged: DataFrame, key: str) -> DataFrame:
 
 
 def close_versions(dim: DataFrame, marks: DataFrame, key: str, at: Column, span: Span = STAR_SPAN) -> DataFrame:
-    """Live versions of the marked keys end at `at` (where it is not NULL)."""
-    hit = is_live(span) & at.isNotNull()
-    return dim.join(marks, key, "left").withColumns({
-        span.end: F.when(hit, at).otherwise(F.col(span.end)),
-        span.active: F.when(hit, F.lit(False)).otherwise(F.col(span.active))}).select(*dim.columns)
+    """Live versions of the marked keys end at `at` (where it is not NULL).
+
+    Only the live versions are joined; history, which grows with every load, is passed
+    on without a shuffle.
+    """
+    hit = at.isNotNull()
+    live = dim.filter(is_live(span)).join(marks, key, "left").withColumns({
+        span.end: F.when(hit, at).otherwise(F.col(span.end)), span.active: ~hit}).select(*dim.columns)
+    return dim.filter(~is_live(span)).unionByName(live)
 
 
 def _fit(rows: DataFrame, dim: DataFrame) -> DataFrame:

@@ -40,8 +40,8 @@ CORPORATE_COLUMNS = {
 }
 
 
-def both(spark: SparkSession, folder: str) -> tuple[RetailSource, RetailSource]:
-    first = RetailSource(spark, folder, 1)
+def both(spark: SparkSession, folder: str, *stored: str) -> tuple[RetailSource, RetailSource]:
+    first = RetailSource(spark, folder, 1).with_stored_facts(*stored)
     return first, first.other_batch()
 
 
@@ -109,7 +109,8 @@ def corporate_state(spark: SparkSession, folder: str, names: list[str], upto: st
     state = reset(spark, CORPORATE, tables=[JOURNAL, *[f"{layer}.{n}" for n in needed for layer in ("ods", "ref")],
                                             *[t for n in names for t in (f"integ.{n}", f"dds.dim_{n}", f"dds.fact_{n}")
                                               if t in CORPORATE]])
-    for source, load_ts in zip(both(spark, folder), (FIRST_LOAD, SECOND_LOAD), strict=True):
+    for source, load_ts in zip(both(spark, folder, *[n for n in needed if n in corporate.FACTS]), (FIRST_LOAD, SECOND_LOAD),
+                               strict=True):
         state = state | corporate.stage(source, state[JOURNAL], load_ts, lazily, needed)
         state = state | corporate.load_ods(state, facts_only, needed)
         # the new keys of a registry are written by its numbering, so nothing is written twice
@@ -286,7 +287,8 @@ def star_state(spark: SparkSession, folder: str, fact: str, save: Save = materia
     state = reset(spark, STAR, tables=[JOURNAL, "core.dim_inventory", "core.dim_staff", f"core.fact_{fact}"])
     state["core.dim_date"] = op.calendar(spark, CALENDAR_START, CALENDAR_DAYS)
     names = ["film", "inventory", "staff", "address", "city", "store", fact]
-    for source, load_ts in zip(both(spark, folder), (FIRST_LOAD, SECOND_LOAD), strict=True):
+    stored = ["payment", "rental"] if fact == "payment" else ["rental"]
+    for source, load_ts in zip(both(spark, folder, *stored), (FIRST_LOAD, SECOND_LOAD), strict=True):
         keep = lambda df, name: save(df, name) if name == f"staging.{fact}" else df
         state = state | star.stage(source, state[JOURNAL], load_ts, keep, names)
         state = state | star.load_dims(state, save)
@@ -355,7 +357,8 @@ def vault_state(spark: SparkSession, folder: str, tables: list[str], hubs: list[
                 sats: list[str] = (), save: Save = lazily) -> State:
     state = reset(spark, VAULT, tables=[JOURNAL, *[f"edw.{kind}_{n}" for kind, names in
                                                    (("hub", hubs), ("link", links), ("sat", sats)) for n in names]])
-    for source, load_ts in zip(both(spark, folder), (FIRST_LOAD, SECOND_LOAD), strict=True):
+    stored = ["rental"] if "rental" in tables and save is not lazily else []
+    for source, load_ts in zip(both(spark, folder, *stored), (FIRST_LOAD, SECOND_LOAD), strict=True):
         state = state | vault.stage(source, state[JOURNAL], load_ts, save, tables)
         if hubs:
             state = state | vault.load_hubs(state, save, list(hubs))

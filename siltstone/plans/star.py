@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.dates import timestamp
 from siltstone.operators.extract import extract_full, extract_incremental, extract_incremental_enriched
-from siltstone.operators.facts import load_fact_payment, load_fact_rental
+from siltstone.operators.facts import dimension_cuts, load_fact_payment, load_fact_rental
 from siltstone.operators.journal import previous_load_time
 from siltstone.operators.keys import fill_keys
 from siltstone.operators.scd import Lookup, scd2_merge, scd2_split
@@ -84,12 +84,13 @@ def load_dims(state: State, save: Save) -> State:
 
 def load_facts(state: State, save: Save, only: list[str] | None = None) -> State:
     loaders = {"payment": load_fact_payment, "rental": load_fact_rental}
+    cuts = dimension_cuts(state["core.dim_inventory"], state["core.dim_staff"])
 
     def load(name: str) -> tuple[str, DataFrame]:
         table = f"core.fact_{name}"
         staged = state[f"staging.{name}"]
         rows = loaders[name](in_reach(save, state[table], table, staged), staged, state["core.dim_inventory"], state["core.dim_staff"],
-                             state["core.dim_date"])
+                             state["core.dim_date"], cuts=cuts)
         return table, save(fill_keys(rows, f"{name}_pk", state[table]), table)
 
     return each(only or loaders, load)

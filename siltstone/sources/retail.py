@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from siltstone.session import materialize
+
 FIRST_LOAD = "2002-01-01 00:00:00"
 SECOND_LOAD = "2002-02-01 00:00:00"
 
@@ -43,6 +45,12 @@ class RetailSource:
         """The other batch over the same opened tables (each table's footer is read once)."""
         return RetailSource(self.spark, self.folder, 3 - self.batch, self._opened)
 
+    def with_stored_facts(self, *names: str) -> RetailSource:
+        """The facts as stored tables, as a real source has them, for use in several loads."""
+        for name in names:
+            self._opened[f"{name}_base"] = materialize(getattr(self, f"{name}_base")(), f"{name}_base")
+        return self
+
     def raw(self, name: str) -> DataFrame:
         if name not in self._opened:
             self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -81,11 +89,15 @@ class RetailSource:
         return lines.selectExpr("l_orderkey AS o_orderkey", *[f"`max({c})` AS {c}" for c in columns])
 
     def rental_base(self) -> DataFrame:
+        if "rental_base" in self._opened:
+            return self._opened["rental_base"]
         return self.raw("orders").join(self._by_order("l_partkey", "l_suppkey", "l_shipdate"), "o_orderkey").selectExpr(
             "o_orderkey AS rental_id", "o_orderdate AS rental_date", "l_partkey AS inventory_id",
             "o_custkey AS customer_id", "l_shipdate AS return_date", "l_suppkey AS staff_id")
 
     def payment_base(self) -> DataFrame:
+        if "payment_base" in self._opened:
+            return self._opened["payment_base"]
         return self.raw("orders").join(self._by_order("l_suppkey"), "o_orderkey", "left").selectExpr(
             "o_orderkey AS payment_id", "o_custkey AS customer_id", "COALESCE(l_suppkey, 0L) AS staff_id",
             "o_orderkey AS rental_id", "CAST(o_totalprice AS DECIMAL(12,2)) AS amount", "o_orderdate AS payment_date")
