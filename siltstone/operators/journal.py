@@ -17,15 +17,20 @@ def record_load(journal: DataFrame, table: str, load_ts: str | datetime) -> Data
     return record_loads(journal, [table], load_ts)
 
 
-def record_loads(journal: DataFrame, tables: list[str], load_ts: str | datetime) -> DataFrame:
-    return journal.unionByName(table_rows(journal.sparkSession, tables).withColumn("update_dt", timestamp(load_ts)))
-
-
 def table_rows(spark: SparkSession, tables: list[str]) -> DataFrame:
     """One row per table name, as literals."""
     return spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in tables])).alias("table_name"))
 
 
+def load_records(spark: SparkSession, tables: list[str], load_ts: str | datetime) -> DataFrame:
+    """Journal rows of one load."""
+    return table_rows(spark, tables).withColumn("update_dt", timestamp(load_ts))
+
+
+def record_loads(journal: DataFrame, tables: list[str], load_ts: str | datetime) -> DataFrame:
+    return journal.unionByName(load_records(journal.sparkSession, tables, load_ts))
+
+
 def high_water_marks(journal: DataFrame, tables: list[str], default: str = CHANGE_FLOOR) -> DataFrame:
     """EXT-1: newest load of each table, the default for one never loaded."""
     newest = journal.filter(F.col("table_name").isin(tables)).groupBy("table_name").agg(F.max("update_dt").alias("newest"))

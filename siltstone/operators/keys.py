@@ -43,16 +43,20 @@ def number_rows(rows: DataFrame, order: str, name: str, after: Column) -> DataFr
     return placed.withColumn(name, (after + offset + in_part + 1).cast("bigint")).drop("_place")
 
 
+def new_keys(registry: DataFrame, natural_keys: DataFrame, sk: str, nk: str) -> DataFrame:
+    """Registry rows for the natural keys that have none, numbered in key order."""
+    unseen = natural_keys.select(F.col(natural_keys.columns[0]).alias(nk)).filter(F.col(nk).isNotNull()).distinct().join(
+        registry.select(nk), nk, "left_anti")
+    top = registry.agg(F.coalesce(F.max(sk), F.lit(0).cast("bigint"))).scalar()
+    return number_rows(unseen, nk, sk, top).select(*registry.columns)
+
+
 def sync_keys(registry: DataFrame, natural_keys: DataFrame, sk: str, nk: str) -> DataFrame:
     """KEY-1: unseen natural keys are appended with the next surrogates in key order.
 
     Known surrogates never change.
     """
-    unseen = natural_keys.select(F.col(natural_keys.columns[0]).alias(nk)).filter(F.col(nk).isNotNull()).distinct().join(
-        registry.select(nk), nk, "left_anti")
-    top = registry.agg(F.coalesce(F.max(sk), F.lit(0).cast("bigint"))).scalar()
-    added = number_rows(unseen, nk, sk, top)
-    return registry.unionByName(added.select(*registry.columns))
+    return registry.unionByName(new_keys(registry, natural_keys, sk, nk))
 
 
 def replace_keys(df: DataFrame, registries: Mapping[str, Registry]) -> DataFrame:

@@ -11,61 +11,84 @@ from siltstone.functions.dates import timestamp
 from siltstone.functions.hashing import hash_diff
 
 
-def load_hub(hub: DataFrame, sources: Sequence[DataFrame], hash_key: str, business_key: str) -> DataFrame:
-    """DV-1: unseen business keys of one or more sources.
+def hub_additions(hub: DataFrame, sources: Sequence[DataFrame], hash_key: str, business_key: str) -> DataFrame:
+    """Rows for the business keys that the hub does not know yet.
 
-    A key may arrive with a child before its own row does. Each source is reduced to
-    its distinct keys before anything is shuffled by key, so a key that most rows
-    carry costs no more than any other.
+    Each source is reduced to its distinct keys before anything is shuffled by key, so a
+    key that most rows carry costs no more than any other.
     """
     columns = [hash_key, "load_date", "record_source", business_key]
     keys = None
     for source in sources:
         part = source.select(*columns).filter(F.col(business_key).isNotNull())
         keys = part if keys is None else keys.unionByName(part)
-    fresh = keys.distinct().join(hub.select(business_key), business_key, "left_anti")
-    return hub.unionByName(fresh.select(*hub.columns))
+    return keys.distinct().join(hub.select(business_key), business_key, "left_anti").select(*hub.columns)
+
+
+def load_hub(hub: DataFrame, sources: Sequence[DataFrame], hash_key: str, business_key: str) -> DataFrame:
+    """DV-1: the hub with the unseen business keys of one or more sources. A key may
+    arrive with a child before its own row does."""
+    return hub.unionByName(hub_additions(hub, sources, hash_key, business_key))
+
+
+def link_additions(link: DataFrame, staged: DataFrame, hash_key: str, hub_keys: Sequence[str]) -> DataFrame:
+    """Rows for the relationships that the link does not know yet."""
+    return staged.select(hash_key, "load_date", "record_source", *hub_keys).join(
+        link.select(hash_key), hash_key, "left_anti").select(*link.columns)
 
 
 def load_link(link: DataFrame, staged: DataFrame, hash_key: str, hub_keys: Sequence[str]) -> DataFrame:
-    """DV-2: unseen relationships; they are never ended."""
-    fresh = staged.select(hash_key, "load_date", "record_source", *hub_keys).join(link.select(hash_key), hash_key, "left_anti")
-    return link.unionByName(fresh.select(*link.columns))
+    """DV-2: the link with unseen relationships; they are never ended."""
+    return link.unionByName(link_additions(link, staged, hash_key, hub_keys))
+
+
+def _ended(satellite: DataFrame, staged: DataFrame, key: str, diff: str, load_ts: str, full: bool) -> DataFrame:
+    """The open rows with the time at which this load ends them (NULL: they stay open)."""
+    incoming = staged.select(key, F.col("load_date").alias("_start"), F.col(diff).alias("_diff"))
+    end = F.when((F.col("hash_diff") != F.col("_diff")) & (F.col("_start") > F.col("load_date")), F.col("_start"))
+    if full:
+        end = end.when(F.col("_start").isNull(), timestamp(load_ts))
+    opened = satellite.filter(F.col("load_end_date").isNull())
+    return opened.join(incoming, key, "left").withColumn("load_end_date", end).select(*satellite.columns)
+
+
+def ending_rows(satellite: DataFrame, staged: DataFrame, key: str, diff: str, load_ts: str, full: bool = True) -> DataFrame:
+    """The open rows that a load will end."""
+    return _ended(satellite, staged, key, diff, load_ts, full).filter(F.col("load_end_date").isNotNull())
 
 
 def load_satellite(satellite: DataFrame, staged: DataFrame, key: str, diff: str, payload: Sequence[str], load_ts: str,
-                   full: bool = True) -> DataFrame:
+                   full: bool = True, known: DataFrame | None = None) -> DataFrame:
     """DV-3: a row per change of the payload.
 
     Appends where the key has no open row or another hash diff; ends the older open row
     where the newer one starts; with `full` (the staged rows are a whole snapshot) ends
     open rows whose key is gone at the load time. Ended rows are not joined. The open
     row of a key meets at most one staged row, so no self-join or window is needed.
+    `known` is the whole satellite where the first argument is only the part with rows
+    to end.
     """
-    incoming = staged.select(key, F.col("load_date").alias("_start"), F.col(diff).alias("_diff"))
-    opened = satellite.filter(F.col("load_end_date").isNull())
-    changed = (F.col("hash_diff") != F.col("_diff")) & (F.col("_start") > F.col("load_date"))
-    end = F.when(changed, F.col("_start"))
-    if full:
-        end = end.when(F.col("_start").isNull(), timestamp(load_ts))
-    kept = opened.join(incoming, key, "left").withColumn("load_end_date", end).select(*satellite.columns)
-
-    current = opened.select(key, F.col("hash_diff").alias("_diff"))
+    everything = satellite if known is None else known
+    current = everything.filter(F.col("load_end_date").isNull()).select(key, F.col("hash_diff").alias("_diff"))
     added = staged.join(current, key, "left").filter(F.col("_diff").isNull() | (F.col("_diff") != F.col(diff))).select(
         key, "load_date", F.lit(None).cast("timestamp_ntz").alias("load_end_date"), "record_source",
         F.col(diff).alias("hash_diff"), *payload)
-    ended = satellite.filter(F.col("load_end_date").isNotNull())
-    return ended.unionByName(kept).unionByName(added.select(*satellite.columns))
+    past = satellite.filter(F.col("load_end_date").isNotNull())
+    return past.unionByName(_ended(satellite, staged, key, diff, load_ts, full)).unionByName(added.select(*satellite.columns))
 
 
-def load_plain_satellite(satellite: DataFrame, staged: DataFrame, key: str, payload: Sequence[str], load_ts: str,
-                         full: bool = True) -> DataFrame:
-    """DV-4: the same for a satellite that stores no hash diff.
-
-    The diff is computed on both sides. With an empty payload only the presence of the
-    key counts (a satellite of a link, or of a hub without attributes).
-    """
+def with_computed_diff(satellite: DataFrame, staged: DataFrame, payload: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a satellite without a stored diff, with a diff over the payload. With
+    an empty payload only the presence of the key counts."""
     diff = hash_diff(*payload) if payload else F.lit("")
-    loaded = load_satellite(satellite.withColumn("hash_diff", diff), staged.withColumn("_staged_diff", diff), key,
-                            "_staged_diff", payload, load_ts, full)
-    return loaded.select(*satellite.columns)
+    return satellite.withColumn("hash_diff", diff), staged.withColumn("_staged_diff", diff)
+
+
+def load_plain_satellite(satellite: DataFrame, staged: DataFrame, key: str, payload: Sequence[str], load_ts: str,
+                         full: bool = True, known: DataFrame | None = None) -> DataFrame:
+    """DV-4: the same for a satellite that stores no hash diff."""
+    columns = satellite.columns
+    satellite, staged_diff = with_computed_diff(satellite, staged, payload)
+    if known is not None:
+        known, _ = with_computed_diff(known, staged, payload)
+    return load_satellite(satellite, staged_diff, key, "_staged_diff", payload, load_ts, full, known).select(*columns)

@@ -9,14 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.dates import CHANGE_FLOOR, timestamp
-from siltstone.operators.journal import high_water_marks, record_loads
+from siltstone.operators.journal import high_water_marks, load_records
 from siltstone.schemas import columns
 from siltstone.sources.remote import Source, align_columns
 
 State = dict[str, DataFrame]
 Save = Callable[[DataFrame, str], DataFrame]
 
-__all__ = ["JOURNAL", "Save", "State", "declared", "each", "in_reach", "lazily", "marks", "record_loads", "refuse_reuse"]
+__all__ = ["JOURNAL", "Save", "State", "declared", "each", "extend", "in_reach", "lazily", "load_records", "marks", "refuse_reuse"]
 
 JOURNAL = "staging.last_update_data"
 
@@ -39,6 +39,12 @@ def in_reach(save: Save, target: DataFrame, table: str, delta: DataFrame) -> Dat
     return narrow(target, table, delta) if narrow else target
 
 
+def extend(save: Save, target: DataFrame, added: DataFrame, table: str) -> DataFrame:
+    """An append-only table with more rows; a store writes just these."""
+    append = getattr(save, "append", None)
+    return append(added, table) if append else save(target.unionByName(added), table)
+
+
 def declared(source: Source, tables: dict[str, str], layer_table: str) -> tuple[DataFrame, list[str]]:
     """The source table with the declared columns it lacks added as NULL, and their names."""
     wanted = columns(tables, layer_table)

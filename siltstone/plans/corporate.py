@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from siltstone.operators.extract import extract_full, extract_incremental
-from siltstone.operators.keys import Registry, replace_keys, sync_keys
+from siltstone.operators.keys import Registry, new_keys, replace_keys
 from siltstone.operators.scd import scd2_hash
 from siltstone.operators.upsert import changes_since_target, upsert
-from siltstone.plans.common import JOURNAL, Save, State, declared, each, in_reach, marks, record_loads, refuse_reuse
+from siltstone.plans.common import JOURNAL, Save, State, declared, each, extend, in_reach, load_records, marks, refuse_reuse
 from siltstone.plans.marts import corporate_sales_by_date, corporate_sales_by_film
 from siltstone.schemas import CORPORATE
 from siltstone.session import materialize
@@ -50,7 +50,7 @@ def stage(source: Source, journal: DataFrame, load_ts: str, save: Save, only: li
         return f"staging.{name}", save(rows, f"staging.{name}")
 
     staged = each(names, extract)
-    staged[JOURNAL] = save(record_loads(journal, [f"staging.{n}" for n in names], load_ts), JOURNAL)
+    staged[JOURNAL] = extend(save, journal, load_records(journal.sparkSession, [f"staging.{n}" for n in names], load_ts), JOURNAL)
     return staged
 
 
@@ -68,8 +68,8 @@ def load_ods(state: State, save: Save, only: list[str] | None = None) -> State:
 def load_registries(state: State, save: Save, only: list[str] | None = None) -> State:
     def load(name: str) -> tuple[str, DataFrame]:
         table = f"ref.{name}"
-        rows = sync_keys(state[table], state[f"ods.{name}"].select(f"{name}_id"), f"{name}_sk", f"{name}_nk")
-        return table, save(rows, table)
+        added = new_keys(state[table], state[f"ods.{name}"].select(f"{name}_id"), f"{name}_sk", f"{name}_nk")
+        return table, extend(save, state[table], added, table)
 
     return each(only or ENTITIES, load)
 

@@ -11,7 +11,7 @@ from siltstone.operators.facts import dimension_cuts, load_fact_payment, load_fa
 from siltstone.operators.journal import previous_load_time
 from siltstone.operators.keys import fill_keys
 from siltstone.operators.scd import Lookup, scd2_merge, scd2_split
-from siltstone.plans.common import JOURNAL, Save, State, declared, each, in_reach, marks, record_loads, refuse_reuse
+from siltstone.plans.common import JOURNAL, Save, State, declared, each, extend, in_reach, load_records, marks, refuse_reuse
 from siltstone.plans.marts import star_sales_by_date, star_sales_by_film
 from siltstone.schemas import STAR, columns
 from siltstone.session import materialize
@@ -38,7 +38,7 @@ def stage(source: Source, journal: DataFrame, load_ts: str, save: Save, only: li
         return table, save(rows, table)
 
     staged = each(only or ["film", "inventory", "staff", "rental", "payment", "address", "city", "store"], extract)
-    staged[JOURNAL] = save(record_loads(journal, _JOURNALED, load_ts), JOURNAL)
+    staged[JOURNAL] = extend(save, journal, load_records(journal.sparkSession, _JOURNALED, load_ts), JOURNAL)
     return staged
 
 

@@ -4,28 +4,32 @@ Parquet tables cannot be changed in place, so a load writes new files and then o
 commit that lists, for every table, the folders that now make it up. A load that
 fails before its commit leaves nothing visible.
 
-Large keyed tables are kept in ranges of their key. A load can only change the ranges
-that its delta has keys in; it reads and rewrites those and lists the others again.
+Large tables are kept in parts: facts by ranges of their key, satellites by the load that
+wrote a row. A load reads and rewrites the parts that its delta can change and lists the
+others again. Append-only tables (hubs, links, key registries, the journal) get one more
+folder with the new rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from siltstone.plans.common import State
 from siltstone.schemas import columns, reset
 
-_RANGE = "_range"
+_PART = "_part"
 _COMMIT = "load_ts string, table_name string, part bigint, folder string"
 
-# Which tables are kept in ranges, and of which key.
-KEYED = {
+# Which tables are kept in parts, and by which column: a key in ranges, or a load date.
+PARTED = {
     "core.fact_payment": "payment_id", "core.fact_rental": "rental_id",
     "ods.payment": "payment_id", "ods.rental": "rental_id",
     "integ.payment": "payment_id", "integ.rental": "rental_id",
     "dds.fact_payment": "payment_id", "dds.fact_rental": "rental_id",
+    **{f"edw.sat_{n}": "load_date" for n in ("film_static", "film_dynamic", "film_inventory", "inventory", "rental_inventory",
+                                             "rental_static", "rental_dynamic")},
 }
 
 
@@ -33,9 +37,9 @@ class WarehouseStore:
     """`state()` gives the tables of the last commit; `load()` starts a load on top of it."""
 
     def __init__(self, spark: SparkSession, root: str, tables: dict[str, str], keys_per_range: int = 50_000_000,
-                 keyed: dict[str, str] | None = None):
+                 parted: dict[str, str] | None = None):
         self.spark, self.root, self.tables, self.keys_per_range = spark, root.rstrip("/"), tables, keys_per_range
-        self.keyed = {t: k for t, k in (KEYED if keyed is None else keyed).items() if t in tables}
+        self.parted = {t: k for t, k in (PARTED if parted is None else parted).items() if t in tables}
 
     def folders(self, path: str) -> list[str]:
         """Names of the folders below a path; none if there is no such path."""
@@ -79,44 +83,61 @@ class Load:
     def __init__(self, store: WarehouseStore, load_ts: str):
         self.store, self.load_ts = store, load_ts
         self.parts = store.last_commit()
-        self._touched: dict[str, list[int]] = {}
-
-    def _range_of(self, key: str):
-        return F.floor(F.col(key) / self.store.keys_per_range).cast("bigint")
+        self.number = "".join(c for c in load_ts if c.isdigit())
+        self._touched: dict[str, set[int]] = {}
+
+    def _part_of(self, table: str) -> Column:
+        """The number of the part a row belongs to."""
+        column = self.store.parted[table]
+        if columns(self.store.tables, table)[column] == "timestamp_ntz":
+            day = F.year(column) * 10000 + F.month(column) * 100 + F.dayofmonth(column)
+            clock = F.hour(column) * 10000 + F.minute(column) * 100 + F.second(column)
+            return day.cast("bigint") * 1000000 + clock
+        return F.floor(F.col(column) / self.store.keys_per_range).cast("bigint")
+
+    def _read(self, table: str, folders: list[str]) -> DataFrame:
+        if folders:
+            return self.store.read(table, folders)
+        return reset(self.store.spark, self.store.tables, tables=[table])[table]
 
     def narrow(self, target: DataFrame, table: str, delta: DataFrame) -> DataFrame:
-        """The part of a target that a delta can change. The next save of the table replaces
-        just that part. At most one value per range passes the driver."""
-        key = self.store.keyed.get(table)
-        if key is None:
+        """The parts of a target that a delta can change. The next save of the table replaces
+        just these. At most one value per part passes the driver."""
+        if table not in self.store.parted:
             return target
-        touched = sorted(r[0] for r in delta.select(self._range_of(key)).distinct().collect())
+        touched = {r[0] for r in delta.select(self._part_of(table)).distinct().collect()}
         self._touched[table] = touched
-        folders = [f for p, f in self.parts.get(table, {}).items() if p in set(touched)]
-        if folders:
-            return self.store.read(table, folders)
-        return reset(self.store.spark, self.store.tables, tables=[table])[table]
+        return self._read(table, [f for p, f in self.parts.get(table, {}).items() if p in touched])
 
-    def __call__(self, df: DataFrame, table: str) -> DataFrame:
+    def _folder(self, table: str) -> str:
         if table not in self.store.tables:
             raise KeyError(f"{table} is not a declared table")
-        folder = f"{table.replace('.', '/')}/{''.join(c for c in self.load_ts if c.isdigit())}"
-        path = f"{self.store.root}/{folder}"
-        rows = df.select(*columns(self.store.tables, table))
-        if table in self.store.keyed:
-            rows.withColumn(_RANGE, self._range_of(self.store.keyed[table])).hint("rebalance", _RANGE).write.partitionBy(
-                _RANGE).parquet(path)
-            written = {int(f.split("=")[1]) for f in self.store.folders(path) if f.startswith(f"{_RANGE}=")}
-            touched = set(self._touched.pop(table, self.parts.get(table, {})))
+        return f"{table.replace('.', '/')}/{self.number}"
+
+    def __call__(self, df: DataFrame, table: str) -> DataFrame:
+        folder = self._folder(table)
+        path, rows = f"{self.store.root}/{folder}", df.select(*columns(self.store.tables, table))
+        if table in self.store.parted:
+            rows.withColumn(_PART, self._part_of(table)).hint("rebalance", _PART).write.partitionBy(_PART).parquet(path)
+            written = {int(f.split("=")[1]) for f in self.store.folders(path) if f.startswith(f"{_PART}=")}
+            touched = self._touched.pop(table, set(self.parts.get(table, {})))
             kept = {p: f for p, f in self.parts.get(table, {}).items() if p not in touched}
-            self.parts[table] = kept | {p: f"{folder}/{_RANGE}={p}" for p in written}
+            if kept.keys() & written:
+                raise ValueError(f"{table}: this load writes parts that it has not read")
+            self.parts[table] = kept | {p: f"{folder}/{_PART}={p}" for p in written}
         else:
             rows.write.parquet(path)
             self.parts[table] = {None: folder}
-        folders = list(self.parts[table].values())
-        return self.store.read(table, folders) if folders else reset(self.store.spark, self.store.tables, tables=[table])[table]
+        return self._read(table, list(self.parts[table].values()))
+
+    def append(self, added: DataFrame, table: str) -> DataFrame:
+        """An append-only table with one more folder."""
+        folder = self._folder(table)
+        added.select(*columns(self.store.tables, table)).write.parquet(f"{self.store.root}/{folder}")
+        self.parts[table] = self.parts.get(table, {}) | {int(self.number): folder}
+        return self._read(table, list(self.parts[table].values()))
 
     def commit(self) -> None:
         rows = [(self.load_ts, t, p, f) for t, parts in self.parts.items() for p, f in parts.items()]
-        name = "".join(c for c in self.load_ts if c.isdigit())
-        self.store.spark.createDataFrame(rows, _COMMIT).coalesce(1).write.parquet(f"{self.store.root}/_commits/load={name}")
+        self.store.spark.createDataFrame(rows, _COMMIT).coalesce(1).write.parquet(
+            f"{self.store.root}/_commits/load={self.number}")

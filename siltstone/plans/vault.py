@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from siltstone.functions.dates import timestamp
 from siltstone.functions.hashing import hash_diff, hash_key, link_key
 from siltstone.operators.extract import extract_full, extract_incremental
-from siltstone.operators.vault import load_hub, load_link, load_plain_satellite, load_satellite
-from siltstone.plans.common import JOURNAL, Save, State, declared, each, marks, record_loads, refuse_reuse
+from siltstone.operators.vault import (ending_rows, hub_additions, link_additions, load_plain_satellite, load_satellite,
+                                       with_computed_diff)
+from siltstone.plans.common import JOURNAL, Save, State, declared, each, extend, in_reach, load_records, marks, refuse_reuse
 from siltstone.plans.marts import rented_film
 from siltstone.schemas import _FILM, _INVENTORY, _RENTAL
 from siltstone.session import materialize
@@ -47,7 +48,7 @@ def stage(source: Source, journal: DataFrame, load_ts: str, save: Save, only: li
             "load_date": timestamp(load_ts), "record_source": F.lit(record_source)}), table)
 
     staged = each(names, extract)
-    staged[JOURNAL] = save(record_loads(journal, [f"staging.{n}" for n in names], load_ts), JOURNAL)
+    staged[JOURNAL] = extend(save, journal, load_records(journal.sparkSession, [f"staging.{n}" for n in names], load_ts), JOURNAL)
     return staged
 
 
@@ -58,7 +59,7 @@ LINK_ENDS = {"film_inventory": ("inventory", "film"), "rental_inventory": ("rent
 def load_hubs(state: State, save: Save, only: list[str] | None = None) -> State:
     def load(name: str) -> tuple[str, DataFrame]:
         table, feeds = f"edw.hub_{name}", [state[f"staging.{s}"] for s in HUB_FEEDS[name]]
-        return table, save(load_hub(state[table], feeds, f"hub_{name}_hash_key", f"{name}_id"), table)
+        return table, extend(save, state[table], hub_additions(state[table], feeds, f"hub_{name}_hash_key", f"{name}_id"), table)
 
     return each(only or HUB_FEEDS, load)
 
@@ -66,8 +67,9 @@ def load_hubs(state: State, save: Save, only: list[str] | None = None) -> State:
 def load_links(state: State, save: Save, only: list[str] | None = None) -> State:
     def load(name: str) -> tuple[str, DataFrame]:
         table, (staged, parent) = f"edw.link_{name}", LINK_ENDS[name]
-        return table, save(load_link(state[table], state[f"staging.{staged}"], f"link_{name}_hash_key",
-                                     [f"hub_{parent}_hash_key", "hub_inventory_hash_key"]), table)
+        added = link_additions(state[table], state[f"staging.{staged}"], f"link_{name}_hash_key",
+                               [f"hub_{parent}_hash_key", "hub_inventory_hash_key"])
+        return table, extend(save, state[table], added, table)
 
     return each(only or LINK_ENDS, load)
 
@@ -88,9 +90,13 @@ def load_satellites(state: State, load_ts: str, save: Save, only: list[str] | No
     def load(name: str) -> tuple[str, DataFrame]:
         staged, key, diff, payload, full = SATELLITES[name]
         table, rows = f"edw.sat_{name}", state[f"staging.{staged}"]
-        return table, save(
-            load_satellite(state[table], rows, key, diff, payload, load_ts, full) if diff
-            else load_plain_satellite(state[table], rows, key, payload, load_ts, full), table)
+        known = state[table]
+        if diff:
+            part = in_reach(save, known, table, ending_rows(known, rows, key, diff, load_ts, full))
+            return table, save(load_satellite(part, rows, key, diff, payload, load_ts, full, known), table)
+        computed, incoming = with_computed_diff(known, rows, payload)
+        part = in_reach(save, known, table, ending_rows(computed, incoming, key, "_staged_diff", load_ts, full))
+        return table, save(load_plain_satellite(part, rows, key, payload, load_ts, full, known), table)
 
     return each(only or SATELLITES, load)
 
