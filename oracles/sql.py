@@ -408,7 +408,7 @@ def _statements() -> dict[str, str]:
         "SELECT p.payment_id, p.inventory_id, p.last_update, di.title, di.rental_rate, di.effective_date_from AS "
         "inventory_from " + join.format(op="<="))
     s["as_of_join_boundary"] = (
-        f"SELECT payment_id, SUM(b) AS matches_both, SUM(l) AS matches_left FROM (SELECT p.payment_id, 1 AS b, 0 AS l "
+        f"SELECT payment_id, CAST(SUM(b) AS BIGINT) AS matches_both, CAST(SUM(l) AS BIGINT) AS matches_left FROM (SELECT p.payment_id, 1 AS b, 0 AS l "
         f"{join.format(op='<=')} UNION ALL SELECT p.payment_id, 0, 1 {join.format(op='<')}) GROUP BY payment_id "
         "HAVING SUM(b) <> SUM(l)")
     s["fact_payment_star"] = "SELECT * FROM fp_post"
