@@ -7,6 +7,7 @@ from siltstone import operators as op
 from siltstone.functions import timestamp
 from siltstone.plans import WarehouseStore, run_corporate, run_star, run_vault
 from siltstone.plans.catalog import CALENDAR_DAYS, CALENDAR_START, fact_payment_star, fact_rental_star
+from siltstone.plans.checks import check_state
 from siltstone.schemas import CORPORATE, STAR, VAULT, not_null
 from siltstone.sources import RetailSource
 
@@ -68,6 +69,12 @@ def test_star_invariants(star):
             assert op.check_reference(state[table], fk, state[dim], pk).first().violations == 0
 
 
+def test_declared_constraints_hold(star, vault):
+    for store, tables, layers in ((star, STAR, ["core", "mart"]), (vault, VAULT, ["edw", "mart"])):
+        report = check_state(store.state(), tables, layers).collect()
+        assert len(report) > 60 and [r for r in report if r.violations] == []
+
+
 def test_untouched_ranges_are_not_rewritten(spark, folder, tmp_path):
     """A delta with few keys leaves the folders of the other ranges as they are."""
     store = WarehouseStore(spark, str(tmp_path), CORPORATE, keys_per_range=100)
