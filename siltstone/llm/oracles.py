@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siltstone.llm import quality_rules
+from siltstone.llm import line_chunks, quality_rules
 from siltstone.llm.common import LOWER, UPPER
 
 _RULES = quality_rules.Rules()
@@ -59,4 +59,19 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
    round(class_distance, 6) AS class_distance, round(word_distance, 6) AS word_distance FROM failed
 """
 
-ORACLES = {"op2_divergence_rules": OP2}
+OP5 = rf"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, ls[i] AS line, i - 1 AS i, ('0x' || md5(ls[i])[1:8])::BIGINT AS h FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS i FROM d)),
+b AS (SELECT *, i = 0 OR (lag(h, 2, 0) OVER w * {line_chunks.FACTOR} + lag(h, 1, 0) OVER w) % {line_chunks.DIVISOR} = 0 AS starts
+      FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+n AS (SELECT *, sum(starts::INT) OVER (PARTITION BY doc_id ORDER BY i) AS c FROM b),
+chunks AS (SELECT doc_id, c, min(i) AS start, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS t,
+           count(*) FILTER (WHERE regexp_matches(line, '[^\x20\x09-\x0D]')) >= 2 AS multi FROM n GROUP BY doc_id, c),
+judged AS (SELECT *, multi AND row_number() OVER (PARTITION BY multi, t ORDER BY doc_id, start) > 1 AS gone FROM chunks)
+SELECT doc_id, sum(n)::BIGINT AS n_lines, count(*)::BIGINT AS n_chunks, count(*) FILTER (WHERE gone)::BIGINT AS n_removed_chunks,
+   coalesce(sum(n) FILTER (WHERE gone), 0)::BIGINT AS n_removed_lines,
+   md5(coalesce(string_agg(t, chr(10) ORDER BY c) FILTER (WHERE NOT gone), '')) AS kept_md5
+FROM judged GROUP BY doc_id
+"""
+
+ORACLES = {"op2_divergence_rules": OP2, "op5_line_chunks": OP5}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import quality_rules, simhash_pigeonring
+from siltstone.llm import line_chunks, quality_rules, simhash_pigeonring
 from siltstone.llm.common import table
 from siltstone.llm.oracles import ORACLES
 
@@ -21,8 +21,13 @@ def op4_simhash_pigeonring(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_pigeonring.near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
+    out = line_chunks.deduplicate(table(spark, folder, "documents"))
+    return out.select("doc_id", *line_chunks.COUNTS, F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("kept_md5"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_divergence_rules, op4_simhash_pigeonring)}
+    return {f.__name__: f for f in (op2_divergence_rules, op4_simhash_pigeonring, op5_line_chunks)}
 
 
 def statements() -> dict[str, str]:
