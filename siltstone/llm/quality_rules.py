@@ -138,10 +138,11 @@ def judge(docs: DataFrame, rules: Rules = Rules(), keep: list[str] | None = None
 
     Null texts have no words and fail by length. A null language is a language of its own; a language
     below `min_share` has no reference and is judged by the base rules alone. The distances are null
-    where a guard holds. Repeated rows are judged alike. `docs` needs doc_id, text and lang.
+    where a guard holds. Repeated rows are judged alike. A column of `keep` named as in RESULT is replaced. `docs` needs doc_id, text and lang.
     """
     prepared(docs.sparkSession)
-    keep = ["doc_id"] if keep is None else keep
+    taken = {x.split()[0] for x in RESULT.split(", ")}
+    keep = [c for c in (["doc_id"] if keep is None else keep) if c not in taken]
     words: dict[str, dict[bytes, int]] = defaultdict(dict)
     hists: dict[str, dict[str, list[float]]] = defaultdict(lambda: {"word": [0.0] * (rules.common_words + 1), "class": [0.0] * _NONE})
     # At most 1/min_share languages of common_words + 9 rows.

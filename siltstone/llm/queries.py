@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm import line_chunks, quality_rules, simhash_pigeonring
+import corpus_pipeline
+from siltstone.llm import cgk_decontamination, line_chunks, quality_rules, sentencepiece_backend, simhash_pigeonring
 from siltstone.llm.common import table
 from siltstone.llm.oracles import ORACLES
 
@@ -18,7 +19,7 @@ def op2_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_simhash_pigeonring(spark: SparkSession, folder: str) -> DataFrame:
-    return simhash_pigeonring.near_duplicates(table(spark, folder, "documents"))
+    return simhash_pigeonring.near_duplicates(table(spark, folder, "documents")).drop("_root")
 
 
 def op5_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
@@ -26,8 +27,22 @@ def op5_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", *line_chunks.COUNTS, F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("kept_md5"))
 
 
+def op9_cgk_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return cgk_decontamination.contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op10_sentencepiece_backend(spark: SparkSession, folder: str) -> DataFrame:
+    out = sentencepiece_backend.tokenize(table(spark, folder, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_tokens", "round_trip", "parity", F.md5(F.array_join("ids", ",").cast("binary")).alias("ids_md5"))
+
+
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_divergence_rules, op4_simhash_pigeonring, op5_line_chunks)}
+    return {f.__name__: f for f in (op2_divergence_rules, op4_simhash_pigeonring, op5_line_chunks, op9_cgk_decontamination,
+                                    op10_sentencepiece_backend, pipeline)}
 
 
 def statements() -> dict[str, str]:

@@ -120,7 +120,8 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, keep: list[str] | None = None, shingle: int = 3) -> DataFrame:
-    """The columns `keep` (default doc_id), `fingerprint` (16 hex digits) and `component_id` of every document.
+    """The columns `keep` (default doc_id), `fingerprint` (16 hex digits), `component_id` of every document,
+    and the component's own key, a fingerprint, as `_root`.
 
     component_id is the smallest doc_id that can be reached over fingerprints at most two bits
     apart, the document's own included; null if none there has one. Null, empty and blank texts have the fingerprint zero and are
@@ -136,6 +137,22 @@ def near_duplicates(docs: DataFrame, keep: list[str] | None = None, shingle: int
     rooted = classes.join(roots, F.col("_fp") == F.col("node"), "left").select("_fp", "_least", F.coalesce("root", "_fp").alias("_root"))
     rooted = materialize(rooted, "op4-roots")
     least = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    named = materialize(rooted.join(least, "_root").select("_fp", "component_id"), "op4-named")
-    out = marked.join(named, "_fp").select(*names, F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = materialize(rooted.join(least, "_root").select("_fp", "_root", "component_id"), "op4-named")
+    out = marked.join(named, "_fp").select(*names, F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id", "_root")
     return out.withColumnsRenamed(dict(zip(names, keep, strict=True)))
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """The rows of `docs` that stay: of each component the one with the smallest doc_id (null is smaller
+    than any), and with the smaller hash of the text if several have it; of rows that agree in both, one.
+
+    Only ids and hashes take part in the search; texts move once, to meet the chosen ids.
+    """
+    th = F.xxhash64(F.coalesce("text", F.lit("")))
+    marked = near_duplicates(docs.select("doc_id", "text", th.alias("_th")), ["doc_id", "_th"], shingle)
+    chosen = marked.groupBy("_root").agg(F.min(F.struct("doc_id", "_th")).alias("c")).select(
+        F.col("c.doc_id").alias("id_"), F.col("c._th").alias("th_")).distinct()
+    chosen = materialize(chosen, "op4-chosen")
+    rows = docs.select(F.struct("*").alias("d"), F.col("doc_id").alias("id"), th.alias("th"))
+    rows = rows.join(chosen, F.col("id").eqNullSafe(F.col("id_")) & (F.col("th") == F.col("th_")), "left_semi")
+    return rows.dropDuplicates(["id", "th"]).select("d.*")
