@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siltstone.llm import line_chunks, quality_rules
+from siltstone.llm import license_join, line_chunks, quality_rules
 from siltstone.llm.common import LOWER, UPPER
 
 _RULES = quality_rules.Rules()
@@ -74,4 +74,34 @@ SELECT doc_id, sum(n)::BIGINT AS n_lines, count(*)::BIGINT AS n_chunks, count(*)
 FROM judged GROUP BY doc_id
 """
 
-ORACLES = {"op2_divergence_rules": OP2, "op5_line_chunks": OP5}
+_CODES = ", ".join(f"('{label}', {sorted(set(text.split()))})" for label, text in license_join.TEMPLATES.items())
+_GAPLESS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+
+def _phrases() -> str:
+    each = []
+    for phrase, label in license_join.PHRASES.items():
+        parts = phrase.split()
+        same = " AND ".join(f"ws[i + {k}] = '{p}'" for k, p in enumerate(parts))
+        each.append(f"SELECT doc_id, '{label}' AS label, i - 1 AS place FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w) WHERE {same}")
+    return " UNION ALL ".join(each)
+
+
+OP6 = f"""
+WITH d AS (SELECT doc_id, coalesce({_LOW}, '') AS text FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(text, {_GAPLESS}) AS ws FROM d),
+base AS ({_phrases()}),
+b AS (SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, list(DISTINCT label) AS labels FROM base GROUP BY doc_id),
+templates(label, ts) AS (VALUES {_CODES}),
+lines AS (SELECT doc_id, list_distinct(regexp_extract_all(unnest(string_split(text, chr(10))), {_GAPLESS})) AS x FROM d),
+m AS (SELECT doc_id, label, len(list_intersect(x, ts)) / len(ts) AS score FROM lines, templates
+      WHERE len(list_intersect(x, ts)) >= ceil({license_join.CONTAINMENT} * len(ts) - 1e-9)),
+f AS (SELECT doc_id, list(DISTINCT label) AS labels, max(score) AS score FROM m GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word, hi::BIGINT AS last_word,
+   array_to_string(list_sort(coalesce(b.labels, [])), ',') AS base_labels,
+   array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ',') AS labels,
+   coalesce(score, 0)::DOUBLE AS score
+FROM w LEFT JOIN b USING (doc_id) LEFT JOIN f USING (doc_id)
+"""
+
+ORACLES = {"op2_divergence_rules": OP2, "op5_line_chunks": OP5, "op6_license_join": OP6}

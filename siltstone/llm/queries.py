@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from siltstone.llm import cgk_decontamination, line_chunks, quality_rules, sentencepiece_backend, simhash_pigeonring
+from siltstone.llm import (
+    cgk_decontamination,
+    license_join,
+    line_chunks,
+    quality_rules,
+    sentencepiece_backend,
+    simhash_pigeonring,
+    splitter_shards,
+)
 from siltstone.llm.common import table
 from siltstone.llm.oracles import ORACLES
 
@@ -18,6 +26,10 @@ def op2_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumns({c: F.round(c, 6) for c in ("class_distance", "word_distance")})
 
 
+def op3_splitter_shards(spark: SparkSession, folder: str) -> DataFrame:
+    return splitter_shards.shard(table(spark, folder, "documents"))
+
+
 def op4_simhash_pigeonring(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_pigeonring.near_duplicates(table(spark, folder, "documents")).drop("_root")
 
@@ -27,6 +39,10 @@ def op5_line_chunks(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", *line_chunks.COUNTS, F.md5(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("kept_md5"))
 
 
+def op6_license_join(spark: SparkSession, folder: str) -> DataFrame:
+    return license_join.scan(table(spark, folder, "documents"))
+
+
 def op9_cgk_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return cgk_decontamination.contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -41,8 +57,9 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_divergence_rules, op4_simhash_pigeonring, op5_line_chunks, op9_cgk_decontamination,
-                                    op10_sentencepiece_backend, pipeline)}
+    return {f.__name__: f for f in (
+        op2_divergence_rules, op3_splitter_shards, op4_simhash_pigeonring, op5_line_chunks, op6_license_join,
+        op9_cgk_decontamination, op10_sentencepiece_backend, pipeline)}
 
 
 def statements() -> dict[str, str]:
