@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from siltstone.llm import (
     cgk_decontamination,
+    classifier_chain,
     license_join,
     line_chunks,
     quality_rules,
@@ -21,6 +22,12 @@ from siltstone.llm.common import table
 from siltstone.llm.oracles import ORACLES
 
 
+def op1_classifier_chain(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    texts = docs.join(labels.select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic"), "doc_id")
+    return classifier_chain.score(docs, classifier_chain.fit(texts, ["junk", "toxic"]))
+
+
 def op2_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
     out = quality_rules.judge(table(spark, folder, "documents"))
     return out.withColumns({c: F.round(c, 6) for c in ("class_distance", "word_distance")})
@@ -58,7 +65,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op2_divergence_rules, op3_splitter_shards, op4_simhash_pigeonring, op5_line_chunks, op6_license_join,
+        op1_classifier_chain, op2_divergence_rules, op3_splitter_shards, op4_simhash_pigeonring, op5_line_chunks, op6_license_join,
         op9_cgk_decontamination, op10_sentencepiece_backend, pipeline)}
 
 
