@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from siltstone.llm import (
+    bloom_lm,
     cgk_decontamination,
     classifier_chain,
     license_join,
@@ -50,6 +51,10 @@ def op6_license_join(spark: SparkSession, folder: str) -> DataFrame:
     return license_join.scan(table(spark, folder, "documents"))
 
 
+def op8_bloom_lm(spark: SparkSession, folder: str) -> DataFrame:
+    return bloom_lm.score(table(spark, folder, "documents"))
+
+
 def op9_cgk_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return cgk_decontamination.contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -66,7 +71,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_classifier_chain, op2_divergence_rules, op3_splitter_shards, op4_simhash_pigeonring, op5_line_chunks, op6_license_join,
-        op9_cgk_decontamination, op10_sentencepiece_backend, pipeline)}
+        op8_bloom_lm, op9_cgk_decontamination, op10_sentencepiece_backend, pipeline)}
 
 
 def statements() -> dict[str, str]:
