@@ -18,6 +18,7 @@ from siltstone.llm import (
     sentencepiece_backend,
     simhash_pigeonring,
     splitter_shards,
+    suffix_dedup,
 )
 from siltstone.llm.common import table
 from siltstone.llm.oracles import ORACLES
@@ -51,6 +52,10 @@ def op6_license_join(spark: SparkSession, folder: str) -> DataFrame:
     return license_join.scan(table(spark, folder, "documents"))
 
 
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.deduplicate(table(spark, folder, "documents")).drop("kept")
+
+
 def op8_bloom_lm(spark: SparkSession, folder: str) -> DataFrame:
     return bloom_lm.score(table(spark, folder, "documents"))
 
@@ -71,7 +76,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_classifier_chain, op2_divergence_rules, op3_splitter_shards, op4_simhash_pigeonring, op5_line_chunks, op6_license_join,
-        op8_bloom_lm, op9_cgk_decontamination, op10_sentencepiece_backend, pipeline)}
+        op7_suffix_dedup, op8_bloom_lm, op9_cgk_decontamination, op10_sentencepiece_backend, pipeline)}
 
 
 def statements() -> dict[str, str]:
