@@ -13,8 +13,8 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -88,42 +88,53 @@ def build(data: bytes) -> Tokenizer:
 
 
 class Encoder:
-    """Encodes texts by both libraries: ids of the tokenizers library, and whether sentencepiece gives the same.
+    """Encodes texts by the tokenizers library, decodes them again, and compares with sentencepiece.
 
-    Where pieces are encoded independently, each distinct one is encoded once for a batch and remembered;
-    up to MEMORY pieces are kept from one batch to the next.
+    Where pieces are encoded independently, each distinct one is encoded, decoded and compared once and remembered;
+    a text is what its pieces are. If more than MEMORY are known, those of the last texts alone stay known. The library
+    gets AT_ONCE pieces at a time.
     """
 
-    MEMORY = 300_000
+    MEMORY = 600_000
+    AT_ONCE = 10_000
 
     def __init__(self, data: bytes, tokenizer: str) -> None:
         self.tokenizer, self.model = Tokenizer.from_str(tokenizer), sentencepiece.SentencePieceProcessor(model_proto=data)
         self.tokenizer.encode_special_tokens = True
         self.by_piece = splittable(read_model(data))
-        if self.by_piece:
-            self.bare = Tokenizer.from_str(tokenizer)  # for pieces, which are normalised already
-            self.bare.normalizer, self.bare.encode_special_tokens = normalizers.Sequence([]), True
+        if self.by_piece:  # pieces are normalised already
+            self.tokenizer.normalizer = normalizers.Sequence([])
         self.find, self.known = re.compile(_PIECE).findall, {}
+        self.other, self.lossy = set(), set()  # pieces that sentencepiece encodes otherwise; that decode to something else
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[bool]]:
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool], list[bool]]:
+        """For each text the ids as 32-bit numbers, whether decoding gives it back, and parity."""
         if not self.by_piece:
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-            return ids, [a == b for a, b in zip(ids, self.model.encode(texts, num_threads=1), strict=True)]
-        if len(self.known) > self.MEMORY:
-            self.known.clear()
+            back = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+            return ([np.array(i, "<i4").tobytes() for i in ids], [a == b for a, b in zip(back, texts, strict=True)],
+                    [a == b for a, b in zip(ids, self.model.encode(texts, num_threads=1), strict=True)])
         pieces = [self.find((MARK + t).replace(" ", MARK)) if t else [] for t in texts]
-        new = list({p for ps in pieces for p in ps if p not in self.known})
-        ours = [e.ids for e in self.bare.encode_batch_fast(new, add_special_tokens=False)]
-        theirs = self.model.encode([p[1:] for p in new], num_threads=1)  # it puts the first marker there itself
-        for piece, a, b in zip(new, ours, theirs, strict=True):
-            same = a == (b if piece != MARK else [self.model.piece_to_id(MARK)])
-            self.known[piece] = a if same else _Other(a)
-        found = [[self.known[p] for p in ps] for ps in pieces]
-        return [list(chain.from_iterable(f)) for f in found], [not any(type(x) is _Other for x in f) for f in found]
-
-
-class _Other(list):
-    """Ids that sentencepiece doesn't give."""
+        found = {p for ps in pieces for p in ps}
+        self._learn([p for p in found if p not in self.known])
+        ids = [b"".join(map(self.known.__getitem__, ps)) for ps in pieces]
+        back = [MARK not in t and (not self.lossy or self.lossy.isdisjoint(ps)) for t, ps in zip(texts, pieces, strict=True)]
+        same = [not self.other or self.other.isdisjoint(ps) for ps in pieces]
+        if len(self.known) > self.MEMORY:
+            self.known = {p: self.known[p] for p in found}
+            self.other, self.lossy = self.other & found, self.lossy & found
+        return ids, back, same
+
+    def _learn(self, new: list[str]) -> None:
+        for start in range(0, len(new), self.AT_ONCE):
+            part = new[start:start + self.AT_ONCE]
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            texts = [p[1:].replace(MARK, " ") for p in part]  # the decoder takes the first space away, sentencepiece puts it there
+            self.lossy.update(p for p, a, b in zip(part, self.tokenizer.decode_batch(ids, skip_special_tokens=False), texts, strict=True) if a != b)
+            for p, a, b in zip(part, ids, self.model.encode(texts, num_threads=1), strict=True):
+                if a != (b if p != MARK else [self.model.piece_to_id(MARK)]):  # alone: a text's last space
+                    self.other.add(p)
+                self.known[p] = np.array(a, "<i4").tobytes()
 
 
 def tokenize(docs: DataFrame, model: str = MODEL, threads: int = 2) -> DataFrame:
@@ -146,13 +157,12 @@ def tokenize(docs: DataFrame, model: str = MODEL, threads: int = 2) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["RAYON_NUM_THREADS"], os.environ["TOKENIZERS_PARALLELISM"] = str(threads), "true"
         encoder = Encoder(*shared.value)
-        for batch in by_bytes(batches, "_text"):
-            texts = batch.column("_text").to_pylist()
-            ids, same = encoder.encode(texts)
-            back = encoder.tokenizer.decode_batch(ids, skip_special_tokens=False)
-            yield pa.RecordBatch.from_arrays(
-                batch.columns[:-1] + [pa.array(ids, pa.list_(pa.int32())), pa.array([len(i) for i in ids], pa.int64()),
-                                      pa.array([a == b for a, b in zip(back, texts, strict=True)], pa.bool_()), pa.array(same, pa.bool_())],
-                names=[f"_k{i}" for i in range(len(names))] + list(COUNTS))
+        for batch in by_bytes(batches, "_text", 2 << 20):
+            ids, back, same = encoder.encode(batch.column("_text").to_pylist())
+            lengths = np.array([len(i) // 4 for i in ids], np.int64)
+            places = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(places), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1] + [lists, pa.array(lengths), pa.array(back, pa.bool_()), pa.array(same, pa.bool_())],
+                                             names=[f"_k{i}" for i in range(len(names))] + list(COUNTS))
 
     return given.mapInArrow(run, schema).withColumnsRenamed({f"_k{i}": c for i, c in enumerate(names)})
