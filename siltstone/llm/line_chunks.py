@@ -65,10 +65,11 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     again = found.join(materialize(seen, "op5-repeated"), "h", "left_semi").groupBy("id", "th").agg(F.collect_set("start").alias("which"))
     again = materialize(again.withColumnsRenamed({"id": "id_", "th": "th_"}), "op5-candidates")
 
-    # The bytes of those chunks alone, for the comparison.
+    # The bytes of those chunks alone, for the comparison. The tables of chunks grow with the corpus, so both sides are
+    # dealt by key at any size, and texts move twice.
     of_row = F.col("id").eqNullSafe(F.col("id_")) & (F.col("th") == F.col("th_"))
     texts = (docs.select("doc_id", "text").select(F.struct("*").alias("d"), F.col("doc_id").alias("id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"))
-             .join(again, of_row).select("d.*", "which").dropDuplicates(["doc_id", "text"]))
+             .join(again.hint("merge"), of_row).select("d.*", "which").dropDuplicates(["doc_id", "text"]))
     texts = _chunked(texts).select("id", "th", F.explode(F.filter(_chunks(), lambda c: F.array_contains("d.which", c["start"]))).alias("c"))
     texts = materialize(texts.select("id", "th", F.col("c.start").alias("start"), F.array_join("c.part", "\n").alias("bytes"))
                         .withColumn("h", F.xxhash64("bytes")), "op5-bytes")
@@ -78,7 +79,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     gone = materialize(gone, "op5-gone")
 
     plain = docs.select(F.struct("*").alias("d")).select(
-        "d", F.col("d.doc_id").alias("id"), F.xxhash64(F.coalesce("d.text", F.lit(""))).alias("th")).join(gone, of_row, "left").select("d", "gone")
+        "d", F.col("d.doc_id").alias("id"), F.xxhash64(F.coalesce("d.text", F.lit(""))).alias("th")).join(gone.hint("merge"), of_row, "left").select("d", "gone")
     cut = _chunked(plain.select(F.col("d").alias("row"), F.col("d.doc_id").alias("doc_id"), F.col("d.text").alias("text"), "gone"))
     kept = F.filter(_chunks(), lambda c: ~F.array_contains("d.gone", c["start"]))
     cut = cut.withColumn("kept", F.when(F.col("d.gone").isNotNull(), F.flatten(F.transform(kept, lambda c: c["part"]))).otherwise(F.col("lines")))
