@@ -67,14 +67,16 @@ def matches(blocks: DataFrame, templates: dict[str, str], containment: float) ->
     ranked = {label: sorted(rank[w] for w in s) for label, s in sets.items()}
     index = spark.createDataFrame(
         [(r, j, label, ranked[label], len(ranked[label]), need[label]) for label in ranked for j, r in enumerate(ranked[label]) if j <= len(ranked[label]) - need[label]],
-        "token int, j int, label string, other array<int>, t int, need int")
+        "_token int, _j int, label string, _t array<int>, _tn int, _need int")
     codes = F.create_map(*[F.lit(x) for w, r in rank.items() for x in (w, r)])
-    ordered = blocks.select(*keys, F.array_sort(F.transform("tokens", lambda w: F.element_at(codes, w))).alias("x")).withColumn("n", F.size("x"))
-    met = ordered.select(*keys, "x", "n", F.posexplode("x").alias("i", "token")).join(index, "token")
-    met = met.where(F.col("n") >= F.col("need")).where(F.col("i") <= F.col("n") - F.col("need"))
-    met = met.where(F.least(F.col("n") - F.col("i"), F.col("t") - F.col("j")) >= F.col("need"))
-    shared = F.size(F.array_intersect("x", "other"))
-    return met.withColumn("s", shared).where(F.col("s") >= F.col("need")).select(*keys, "label", (F.col("s") / F.col("t")).alias("score"))
+    ordered = blocks.select(*keys, F.array_sort(F.transform("tokens", lambda w: F.element_at(codes, w))).alias("_x")).withColumn("_xn", F.size("_x"))
+    met = ordered.select(*keys, "_x", "_xn", F.posexplode("_x").alias("_i", "_token")).join(index, "_token")
+    met = met.where(F.col("_xn") >= F.col("_need")).where(F.col("_i") <= F.col("_xn") - F.col("_need"))
+    met = met.where(F.least(F.col("_xn") - F.col("_i"), F.col("_tn") - F.col("_j")) >= F.col("_need"))
+    # Of the meetings of a pair the first one alone is counted.
+    shared = F.array_intersect("_x", "_t")
+    met = met.where(F.array_min(shared) == F.col("_token")).withColumn("_s", F.size(shared)).where(F.col("_s") >= F.col("_need"))
+    return met.select(*keys, "label", (F.col("_s") / F.col("_tn")).alias("score"))
 
 
 def scan(docs: DataFrame, templates: dict[str, str] = TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:

@@ -57,9 +57,9 @@ def build(data: bytes) -> Tokenizer:
     unknown = next(i for i, p in enumerate(proto.pieces) if p.type == UNKNOWN)
     fallback = proto.trainer_spec.byte_fallback
     if proto.trainer_spec.model_type == UNIGRAM:
-        # Special pieces can't be read from a text, and the score of a byte isn't used.
-        low = min(p.score for p in proto.pieces) - 1e4
-        vocab = [(p.piece, p.score if p.type in (NORMAL, USER_DEFINED) else low) for p in proto.pieces]
+        # Control and unknown pieces get names that no text holds; what isn't normal must not lower the unknown score.
+        low = min(p.score for p in proto.pieces if p.type == NORMAL)
+        vocab = [(f"\U0010FFFF{p.piece}" if p.type in (CONTROL, UNKNOWN) else p.piece, p.score if p.type in (NORMAL, USER_DEFINED) else low) for p in proto.pieces]
         model = models.Unigram(vocab, unk_id=unknown, byte_fallback=fallback)
     else:
         ids = {p.piece: i for i, p in enumerate(proto.pieces)}
@@ -72,14 +72,19 @@ def build(data: bytes) -> Tokenizer:
     if norm.precompiled_charsmap:
         steps.append(normalizers.Precompiled(norm.precompiled_charsmap))
     if norm.remove_extra_whitespaces:
-        steps += [normalizers.Replace(Regex("^ +| +$"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
+        steps += [normalizers.Replace(Regex(r"\A +| +\z"), ""), normalizers.Replace(Regex(" {2,}"), " ")]
     if norm.add_dummy_prefix:
         steps.append(normalizers.Prepend(" "))
     if norm.escape_whitespaces:
         steps.append(normalizers.Replace(" ", MARK))
     out.normalizer = normalizers.Sequence(steps)
+    cuts = []
     if not any(MARK in p.piece.lstrip(MARK) for p in proto.pieces):
-        out.pre_tokenizer = pre_tokenizers.Split(Regex(_PIECE), "isolated")
+        cuts.append(pre_tokenizers.Split(Regex(_PIECE), "isolated"))
+    if fallback and proto.trainer_spec.model_type == UNIGRAM:  # the name of a byte piece, written in a text, is ordinary text
+        cuts.append(pre_tokenizers.Split(Regex("<(?=0x[0-9A-F]{2}>)"), "isolated"))
+    if cuts:
+        out.pre_tokenizer = pre_tokenizers.Sequence(cuts)
     out.decoder = decoders.Sequence([decoders.Replace(MARK, " "), decoders.ByteFallback(), decoders.Fuse()]
                                     + ([decoders.Strip(" ", 1, 0)] if norm.add_dummy_prefix else []))
     out.add_tokens([AddedToken(p.piece, normalized=True) for p in proto.pieces if p.type == USER_DEFINED])
