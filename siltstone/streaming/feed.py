@@ -11,12 +11,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 
-def apply_feed(feed: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str) -> None:
+def apply_feed(feed: DataFrame, load: Callable[[DataFrame, int], None], checkpoint: str,
+               done: Callable[[int], bool] | None = None) -> None:
     """Hand each micro-batch of a streaming frame to `load(delta, batch_id)`.
 
-    `load` must do nothing for a batch id it has finished before: after a lost driver the
-    last batch is given again. A store refuses a load time twice, so deriving the load
-    time from the batch id is enough.
+    After a lost driver the last batch is given again. Where its load failed before its commit, it runs
+    again; where it was committed, `done(batch_id)` says so and the batch is passed over. With a store and a
+    load time derived from the batch id, `done` is `lambda i: store.is_loaded(time_of(i))`.
     """
-    query = feed.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    def once(delta: DataFrame, batch_id: int) -> None:
+        if done is None or not done(batch_id):
+            load(delta, batch_id)
+
+    query = feed.writeStream.foreachBatch(once).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -8,8 +8,9 @@ from siltstone.functions import timestamp
 from siltstone.plans import WarehouseStore, run_corporate, run_star, run_vault
 from siltstone.plans.catalog import CALENDAR_DAYS, CALENDAR_START, fact_payment_star, fact_rental_star
 from siltstone.plans.checks import check_state
-from siltstone.schemas import CORPORATE, STAR, VAULT, not_null
+from siltstone.schemas import CORPORATE, STAR, VAULT, columns, not_null
 from siltstone.sources import RetailSource
+from siltstone.streaming import apply_feed
 
 B1, B2, B3 = "2002-01-01 00:00:00", "2002-02-01 00:00:00", "2002-03-01 00:00:00"
 
@@ -170,3 +171,87 @@ def test_returning_keys(spark):
         staged = rows.withColumns({"load_date": timestamp(ts), "record_source": F.lit("x")})
         sat = op.load_plain_satellite(sat, staged, "film_id", ["title"], ts)
     assert sorted((str(r.load_date), str(r.load_end_date)) for r in sat.collect()) == [(B1, B2), (B3, "None")]
+
+
+def _payments(spark, folder):
+    return RetailSource(spark, folder, 1)("payment").select(*columns(CORPORATE, "ods.payment"))
+
+
+def _load(store, rows, load_ts, table="ods.payment"):
+    load = store.load(load_ts)
+    load(rows, table)
+    load.commit()
+
+
+def test_another_range_width_is_refused(spark, folder, tmp_path):
+    rows = _payments(spark, folder)
+    _load(WarehouseStore(spark, str(tmp_path), CORPORATE, keys_per_range=100), rows, B1)
+    with pytest.raises(ValueError, match="ranges of 100"):
+        WarehouseStore(spark, str(tmp_path), CORPORATE, keys_per_range=1000).load(B2)
+    store = WarehouseStore(spark, str(tmp_path), CORPORATE)  # the recorded width is taken
+    delta = rows.filter("payment_id between 150 and 160")
+    load, target = store.load(B2), store.state()["ods.payment"]
+    load(op.upsert(load.narrow(target, "ods.payment", delta), delta, "payment_id"), "ods.payment")
+    load.commit()
+    assert bag(store.state()["ods.payment"], *rows.columns) == bag(rows, *rows.columns)
+
+
+def test_load_times_are_moments_not_texts(spark, folder, tmp_path):
+    rows, store = _payments(spark, folder), WarehouseStore(spark, str(tmp_path), CORPORATE)
+    for n, load_ts in ((10, "2002-9-30"), (20, "2002-10-01"), (30, "2002-10-01 00:00:00.000001"), (40, "2002-10-01 00:00:00.000002")):
+        _load(store, rows.limit(n), load_ts)
+        assert store.state()["ods.payment"].count() == n
+    for used in ("2002-09-30", "2002-10-01 00:00:00.000002", "2002-10-1"):
+        assert store.is_loaded(used)
+        with pytest.raises(ValueError, match="not after"):
+            store.load(used)
+
+
+def test_satellites_take_loads_within_a_second(spark, folder, tmp_path):
+    store = WarehouseStore(spark, str(tmp_path), VAULT)
+    for batch, load_ts in ((1, "2002-01-01 00:00:00.000001"), (2, "2002-01-01 00:00:00.5")):
+        load, state = store.load(load_ts), store.state()
+        run_vault(RetailSource(spark, folder, batch), state, load_ts, load)
+        load.commit()
+    assert len(store.last_commit()["edw.sat_film_static"]) == 2
+    assert op.check_unique(store.state()["edw.sat_film_static"], ["hub_film_hash_key", "load_date"]).first().violations == 0
+
+
+def test_a_failed_load_can_be_repeated_and_cleaned_up(spark, folder, tmp_path):
+    rows, store = _payments(spark, folder), WarehouseStore(spark, str(tmp_path), CORPORATE, keys_per_range=500)
+    crashed = store.load(B1)
+    crashed(rows.limit(5), "ods.payment")  # no commit
+    (tmp_path / "_commits" / "000000000001").mkdir(parents=True)  # and one that broke off while committing
+    _load(store, rows, B1)
+    assert bag(store.state()["ods.payment"], *rows.columns) == bag(rows, *rows.columns)
+    assert store.clean() == 1 and store.clean() == 0
+    assert store.state()["ods.payment"].count() == rows.count()
+
+
+@pytest.mark.parametrize("crash", ["before", "after"])
+def test_feed_goes_on_after_a_crash(spark, folder, tmp_path, crash):
+    """A driver lost before or just after the commit: the batch given again counts once."""
+    rows, store, tries = _payments(spark, folder), WarehouseStore(spark, str(tmp_path / "store"), CORPORATE), []
+    rows.coalesce(1).write.parquet(str(tmp_path / "feed"))
+
+    def time_of(batch_id):
+        return f"2002-03-01 00:00:{batch_id:02d}"
+
+    def load(delta, batch_id):
+        tries.append(batch_id)
+        begun = store.load(time_of(batch_id))
+        begun(delta, "ods.payment")
+        if crash == "before" and len(tries) == 1:
+            raise RuntimeError("lost")
+        begun.commit()
+        if len(tries) == 1:
+            raise RuntimeError("lost")
+
+    def feed():
+        apply_feed(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "feed")), load, str(tmp_path / "checkpoint"),
+                   lambda i: store.is_loaded(time_of(i)))
+    with pytest.raises(Exception, match="lost"):
+        feed()
+    feed()
+    assert len(tries) == (2 if crash == "before" else 1)
+    assert bag(store.state()["ods.payment"], *rows.columns) == bag(rows, *rows.columns)
