@@ -64,13 +64,11 @@ SELECT {day_key('d')} AS date_pk, d AS date_actual, {DAYS}[ISODOW(d)] AS day_nam
 FROM ({days})"""
 
 
-STEPS["all_days"] = ("SELECT CAST(g AS DATE) AS d FROM GENERATE_SERIES(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', "
-                     "INTERVAL 1 DAY) AS t(g)")
 STEPS["data_days"] = ("SELECT CAST(g AS DATE) AS d FROM (SELECT UNNEST(GENERATE_SERIES(lo, hi, INTERVAL 1 DAY)) AS g FROM "
                       "(SELECT DATE_TRUNC('day', MIN(o_orderdate)) AS lo, (SELECT DATE_TRUNC('day', MAX(l_shipdate)) "
                       "FROM lineitem) AS hi FROM orders))")
 STEPS["cal"] = (f"SELECT {day_key('d')} AS date_pk, d AS date_actual, CAST(DAY(d) AS INTEGER) AS day_of_month, "
-                f"{MONTHS}[MONTH(d)] AS month_name, CAST(YEAR(d) AS INTEGER) AS year_actual FROM all_days")
+                f"{MONTHS}[MONTH(d)] AS month_name, CAST(YEAR(d) AS INTEGER) AS year_actual FROM data_days")
 
 # ---------------------------------------------------------------- star
 
@@ -395,7 +393,7 @@ def _statements() -> dict[str, str]:
 
     s["scd2_soft_delete_inventory"] = "SELECT * FROM di_1"
     s["scd2_new_inventory"] = "SELECT * FROM di_2"
-    s["scd2_version_inventory"] = "SELECT * FROM di_4"
+    s["scd2_version_inventory"] = s["scd2_merge_inventory"] = "SELECT * FROM di_4"
     s["scd2_dim_staff"] = "SELECT * FROM ds_post"
     s["scd2_dim_inventory"] = "SELECT * FROM di_post"
     s["scd2_split_film_change"] = _split("di_pre")
@@ -478,6 +476,13 @@ def _statements() -> dict[str, str]:
         f"NOT EXISTS (SELECT 1 FROM {p} y WHERE y.{k} = x.{k})"
         for c, k, p in (("inventory1", "film_id", "film1"), ("payment2", "rental_id", "rental2"),
                         ("payment2", "staff_id", "staff2")))
+    # the whole pipelines give what the steps give
+    for name, same in (("star_fact_payment", "fact_payment_star"), ("star_dim_inventory", "scd2_dim_inventory"),
+                       ("star_sales_by_film", "sales_by_film_star"), ("corporate_fact_payment", "fact_payment_corp"),
+                       ("corporate_dim_film", "scd2_hash_dim_film"), ("corporate_sales_by_film", "sales_by_film_corp"),
+                       ("vault_hub_film", "hub_film"), ("vault_sat_rental_dynamic", "sat_rental_dynamic"),
+                       ("vault_rented_film", "rented_film_vault")):
+        s[f"pipeline_{name}"] = s[same]
     return s
 
 

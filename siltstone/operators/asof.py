@@ -2,34 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.operators.scd import STAR_SPAN, Span
 
-# A key with more versions than this is cut into time slices.
-MAX_VERSIONS = 1024
-_SLICES = 256
+# Versions of a key in one time slice, at about.
+PER_SLICE = 1024
 
 
-def version_cuts(dim: DataFrame, key: str, span: Span = STAR_SPAN, max_versions: int = MAX_VERSIONS) -> DataFrame | None:
-    """Time cuts of the keys that have very many versions, or None if there are none.
+def version_cuts(dim: DataFrame, key: str, span: Span = STAR_SPAN, per_slice: int = PER_SLICE) -> DataFrame:
+    """Time cuts (`key`, `_cuts`) that leave about `per_slice` versions of a key in a slice, however many it has.
 
-    A fact of such a key would be compared with every version of it. The cuts are
-    quantiles of the version starts, so each slice holds a small share of them.
+    A fact would else be compared with every version of its key. Version starts are counted by key and hour before
+    they are shuffled, so that what is cumulated over a key is hours, not versions. Keys with fewer versions have no
+    row; nothing is computed until the cuts are used.
     """
-    fractions = F.array(*[F.lit(i / _SLICES) for i in range(1, _SLICES)])
-    crowded = dim.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_versions).select(key)
-    if crowded.isEmpty():
-        return None
-    return dim.join(crowded, key, "left_semi").groupBy(key).agg(
-        F.array_distinct(F.percentile_approx(span.start, fractions, F.lit(10000))).alias("_cuts"))
+    hours = dim.groupBy(key, F.date_trunc("hour", span.start).alias("_hour")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    slices = hours.select(key, F.col("_hour").cast("timestamp_ntz").alias("_hour"), F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / per_slice).alias("_slice"))
+    cuts = slices.filter("_slice > 0").groupBy(key, "_slice").agg(F.min("_hour").alias("_cut"))
+    return cuts.groupBy(key).agg(F.sort_array(F.collect_list("_cut")).alias("_cuts"))
 
 
 def _slice(at: Column) -> Column:
-    """Number of cuts at or before a time; 0 for keys without cuts."""
-    passed = F.filter("_cuts", lambda cut: cut <= at)
-    return F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(F.size(passed))
+    """Number of cuts at or before a time, by halving; 0 for keys without cuts."""
+    def halve(state: Column, _: Column) -> Column:
+        middle = F.shiftright(state["lo"] + state["hi"], 1)
+        after = (state["lo"] < state["hi"]) & (F.get("_cuts", middle) <= at)
+        return F.struct(F.when(after, middle + 1).otherwise(state["lo"]).alias("lo"),
+                        F.when((state["lo"] < state["hi"]) & ~F.coalesce(after, F.lit(False)), middle).otherwise(state["hi"]).alias("hi"))
+
+    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size("_cuts") + F.lit(1.0))).cast("int"))
+    start = F.struct(F.lit(0).alias("lo"), F.size("_cuts").alias("hi"))
+    return F.when(F.col("_cuts").isNull() | at.isNull(), F.lit(0)).otherwise(F.aggregate(steps, start, halve, lambda s: s["lo"]))
 
 
 def as_of_join(facts: DataFrame, dim: DataFrame, key: str, at: str, columns: dict[str, str], closed: str = "both",
@@ -38,23 +44,18 @@ def as_of_join(facts: DataFrame, dim: DataFrame, key: str, at: str, columns: dic
 
     Inner: a fact without a valid version drops. `closed="both"` counts both ends, so a
     fact exactly on the border of two versions meets both; `closed="left"` counts the
-    start only. The key is an equi-join (hash or merge join by size, hot keys split at
-    run time), the interval a condition on it. With `cuts`, facts and versions of the
-    crowded keys are also joined on their time slice; the result is the same.
+    start only. Key and time slice are an equi-join (hash or merge join by size, hot keys
+    split at run time), the interval a condition on it. A version is given to every slice that
+    it reaches into. `cuts` are those of `version_cuts(dim, key, span)`, if they are known already.
     """
+    cuts = version_cuts(dim, key, span) if cuts is None else cuts
     versions = dim.select(F.col(key), F.col(span.start).alias("_from"), F.col(span.end).alias("_to"),
                           *[F.col(c).alias(n) for c, n in columns.items()])
-    on = [key]
-    if cuts is not None:
-        facts_in = facts.join(cuts, key, "left").withColumn("_slice", _slice(F.col(at))).drop("_cuts")
-        reach = F.sequence(_slice(F.col("_from")), F.greatest(_slice(F.col("_from")), _slice(F.col("_to"))))
-        versions = versions.join(cuts, key, "left").withColumn("_slice", F.explode(reach)).drop("_cuts")
-        on = [key, "_slice"]
-    else:
-        facts_in = facts
+    facts_in = facts.join(cuts, key, "left").withColumn("_slice", _slice(F.col(at))).drop("_cuts")
+    reach = F.sequence(_slice(F.col("_from")), F.greatest(_slice(F.col("_from")), _slice(F.col("_to"))))
+    versions = versions.join(cuts, key, "left").withColumn("_slice", F.explode(reach)).drop("_cuts")
     f, v = facts_in.alias("f"), versions.alias("v")
     before_end = F.col(f"f.{at}") <= F.col("v._to") if closed == "both" else F.col(f"f.{at}") < F.col("v._to")
-    condition = (F.col(f"f.{at}") >= F.col("v._from")) & before_end
-    for c in on:
-        condition = condition & (F.col(f"f.{c}") == F.col(f"v.{c}"))
+    condition = (F.col(f"f.{key}") == F.col(f"v.{key}")) & (F.col("f._slice") == F.col("v._slice"))
+    condition = condition & (F.col(f"f.{at}") >= F.col("v._from")) & before_end
     return f.join(v, condition).select(*[F.col(f"f.{c}") for c in facts.columns], *[F.col(f"v.{n}") for n in columns.values()])

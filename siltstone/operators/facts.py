@@ -17,11 +17,11 @@ from siltstone.operators.asof import as_of_join, version_cuts
 from siltstone.operators.scd import STAR_SPAN, Span, _fit, _seen, is_live
 from siltstone.session import materialize
 
-Cuts = tuple[DataFrame | None, DataFrame | None]
+Cuts = tuple[DataFrame, DataFrame]
 
 
 def dimension_cuts(dim_inventory: DataFrame, dim_staff: DataFrame, span: Span = STAR_SPAN) -> Cuts:
-    """Time cuts of both dimensions, measured once for all facts of a load."""
+    """Time cuts of both dimensions, for all facts of a load."""
     return version_cuts(dim_inventory, "inventory_id", span), version_cuts(dim_staff, "staff_id", span)
 
 
@@ -60,10 +60,10 @@ def load_fact_payment(fact: DataFrame, staged: DataFrame, dim_inventory: DataFra
                           date_key(F.col("payment_date")).alias("_date"))
     equal = valid & (F.col("amount") == F.col("_amount")) & (F.col("payment_date_fk") == F.col("_date")) & (
         F.col("rental_id") == F.col("_rental"))
-    known = fact.join(marks, key).groupBy(key).agg(F.max(equal).alias("_equal"))
+    known = fact.join(marks, key).groupBy(key).agg(F.max(F.coalesce(equal, F.lit(False))).alias("_equal")).withColumn("_known", F.lit(True))
     first, in_place = F.col("_first"), F.col("_in_place")
     state = save(staged.join(known, key, "left").withColumns({
-        "_first": F.col("_equal").isNull(), "_in_place": F.coalesce("_equal", F.lit(False))}).drop("_equal"), "payments")
+        "_first": F.col("_known").isNull(), "_in_place": F.coalesce("_equal", F.lit(False))}).drop("_equal", "_known"), "payments")
 
     resolved = _resolve(state, dim_inventory, dim_staff, closed, span, cuts)
     same_payment = Window.partitionBy(key)

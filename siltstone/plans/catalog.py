@@ -6,6 +6,7 @@ is the state after the first batch, "after" the state after the second.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial
 
@@ -24,9 +25,6 @@ from siltstone.sources.retail import FIRST_LOAD, SECOND_LOAD, RetailSource
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The span of the order and ship dates, in whole years.
-CALENDAR_START, CALENDAR_DAYS = "1995-01-01", 2557
-
 CORPORATE_COLUMNS = {
     "film": ["film_id", "title", "description", "release_year", "rental_duration", "rental_rate", "length",
              "replacement_cost", "rating", "last_update"],
@@ -150,13 +148,13 @@ def scd2_hash_dim(name, spark, folder):
     return dim.select(*shown, "date_effective_from", "date_effective_to", "is_active")
 
 
-def _short_calendar(spark):
-    return op.calendar_short(spark, CALENDAR_START, CALENDAR_DAYS)
+def _short_calendar(spark, folder):
+    return op.describe_days_short(_data_days(spark, folder))
 
 
 def sales_by_date_corp(spark, folder):
     fact = corporate_fact("payment", spark, folder)
-    return marts.corporate_sales_by_date(fact, _short_calendar(spark))
+    return marts.corporate_sales_by_date(fact, _short_calendar(spark, folder))
 
 
 def sales_by_film_corp(spark, folder):
@@ -165,16 +163,18 @@ def sales_by_film_corp(spark, folder):
                                          state["dds.dim_film"])
 
 
+def _read_by_function(spark, mart, columns):
+    name = f"read_{uuid.uuid4().hex}"
+    marts.register_reader(spark, mart, name, columns)
+    return spark.sql(f"SELECT * FROM {name}()")
+
+
 def mart_reader_by_date(spark, folder):
-    empty = reset(spark, CORPORATE, ["mart"])
-    marts.register_readers(spark, sales_by_date_corp(spark, folder), empty["mart.sales_by_film"])
-    return spark.sql("SELECT * FROM get_data_from_sales_by_date()")
+    return _read_by_function(spark, sales_by_date_corp(spark, folder), "sales_date_id INT, sales_date_title STRING, amount DOUBLE")
 
 
 def mart_reader_by_film(spark, folder):
-    empty = reset(spark, CORPORATE, ["mart"])
-    marts.register_readers(spark, empty["mart.sales_by_date"], sales_by_film_corp(spark, folder))
-    return spark.sql("SELECT * FROM get_data_from_sales_by_film()")
+    return _read_by_function(spark, sales_by_film_corp(spark, folder), "film_title STRING, amount DOUBLE")
 
 
 # ---------------------------------------------------------------- hashes
@@ -235,6 +235,13 @@ def scd2_new_inventory(spark, folder):
 
 
 def scd2_version_inventory(spark, folder):
+    before, staged = _dims_before(spark, folder)
+    dim, lookup = _shown(before["core.dim_inventory"]), star.describe_disc(staged["staging.film"])
+    rows = op.scd2_insert_new(op.scd2_soft_delete(dim, staged["staging.inventory"], "inventory_id"), staged["staging.inventory"], "inventory_id", lookup)
+    return op.scd2_version(rows, staged["staging.inventory"], "inventory_id", lookup, seen=dim.select("inventory_id").distinct())
+
+
+def scd2_merge_inventory(spark, folder):
     before, staged = _dims_before(spark, folder)
     return op.scd2_merge(_shown(before["core.dim_inventory"]), staged["staging.inventory"], "inventory_id",
                          star.describe_disc(staged["staging.film"]))
@@ -248,7 +255,7 @@ def scd2_dim_staff(spark, folder):
 
 def scd2_dim_inventory(spark, folder):
     changes = RetailSource(spark, folder)("film").filter(F.col("last_update") >= timestamp(FIRST_LOAD))
-    return op.scd2_split(scd2_version_inventory(spark, folder), changes, "film_id", star.FILM_ATTRIBUTES)
+    return op.scd2_split(scd2_merge_inventory(spark, folder), changes, "film_id", star.FILM_ATTRIBUTES)
 
 
 def scd2_split_film_change(spark, folder):
@@ -285,7 +292,7 @@ def as_of_join_boundary(spark, folder):
 def star_state(spark: SparkSession, folder: str, fact: str, save: Save = materialize) -> State:
     """Dimensions and one fact table after both batches."""
     state = reset(spark, STAR, tables=[JOURNAL, "core.dim_inventory", "core.dim_staff", f"core.fact_{fact}"])
-    state["core.dim_date"] = op.calendar(spark, CALENDAR_START, CALENDAR_DAYS)
+    state["core.dim_date"] = op.describe_days(_data_days(spark, folder))
     names = ["film", "inventory", "staff", "address", "city", "store", fact]
     stored = ["payment", "rental"] if fact == "payment" else ["rental"]
     for source, load_ts in zip(both(spark, folder, *stored), (FIRST_LOAD, SECOND_LOAD), strict=True):
@@ -330,7 +337,7 @@ def first_load_sales_by_date(spark, folder):
     """The smallest whole slice: payments of the first batch, as facts, by calendar day."""
     payments = RetailSource(spark, folder, 1)("payment").select(
         date_key(F.col("payment_date")).alias("payment_date_fk"), "amount")
-    return marts.star_sales_by_date(payments, op.calendar(spark, CALENDAR_START, CALENDAR_DAYS))
+    return marts.star_sales_by_date(payments, op.describe_days(_data_days(spark, folder)))
 
 
 # ---------------------------------------------------------------- calendar
@@ -424,6 +431,62 @@ def dq_reference(spark, folder):
         op.check_reference(second("payment"), "staff_id", second("staff"), "staff_id"))
 
 
+# ---------------------------------------------------------------- whole pipelines
+
+_PIPELINES = {"star": (STAR, star.run_star), "corporate": (CORPORATE, corporate.run_corporate), "vault": (VAULT, vault.run_vault)}
+
+
+def pipeline_state(name: str, spark: SparkSession, folder: str) -> State:
+    """State after two whole loads by the pipeline itself."""
+    tables, run = _PIPELINES[name]
+    state = reset(spark, tables)
+    if name == "star":
+        state["core.dim_date"] = op.describe_days(_data_days(spark, folder))
+    elif name == "corporate":
+        state["mart.calendar"] = _short_calendar(spark, folder)
+    for source, load_ts in zip(both(spark, folder, "payment", "rental"), (FIRST_LOAD, SECOND_LOAD), strict=True):
+        state = state | run(source, state, load_ts)
+    return state
+
+
+def pipeline_star_fact_payment(spark, folder):
+    state = pipeline_state("star", spark, folder)
+    return _with_natural_keys(state, state["core.fact_payment"], ["payment_id", "rental_id", "amount", "payment_date_fk"])
+
+
+def pipeline_star_dim_inventory(spark, folder):
+    return _shown(pipeline_state("star", spark, folder)["core.dim_inventory"])
+
+
+def pipeline_star_sales_by_film(spark, folder):
+    return pipeline_state("star", spark, folder)["mart.sales_film"]
+
+
+def pipeline_corporate_fact_payment(spark, folder):
+    return pipeline_state("corporate", spark, folder)["dds.fact_payment"]
+
+
+def pipeline_corporate_dim_film(spark, folder):
+    shown = [c for c in CORPORATE_COLUMNS["film"] if c not in ("last_update", "deleted")]
+    return pipeline_state("corporate", spark, folder)["dds.dim_film"].select(*shown, "date_effective_from", "date_effective_to", "is_active")
+
+
+def pipeline_corporate_sales_by_film(spark, folder):
+    return pipeline_state("corporate", spark, folder)["mart.sales_by_film"]
+
+
+def pipeline_vault_hub_film(spark, folder):
+    return pipeline_state("vault", spark, folder)["edw.hub_film"]
+
+
+def pipeline_vault_sat_rental_dynamic(spark, folder):
+    return pipeline_state("vault", spark, folder)["edw.sat_rental_dynamic"]
+
+
+def pipeline_vault_rented_film(spark, folder):
+    return pipeline_state("vault", spark, folder)["mart.rented_film"]
+
+
 # ---------------------------------------------------------------- registry
 
 def _tuned(query: Query) -> Query:
@@ -440,7 +503,9 @@ def registered() -> dict[str, Query]:
         scd2_dim_staff, scd2_dim_inventory, scd2_split_film_change, as_of_join_payment_inventory, as_of_join_boundary,
         fact_payment_star, fact_rental_star, calendar_full, calendar_short, sales_by_date_corp, sales_by_film_corp,
         mart_reader_by_date, mart_reader_by_film, rented_film_vault, synthetic_rentals, dq_not_null, dq_domain, dq_length,
-        dq_unique, dq_reference)}
+        dq_unique, dq_reference, scd2_merge_inventory, pipeline_star_fact_payment, pipeline_star_dim_inventory,
+        pipeline_star_sales_by_film, pipeline_corporate_fact_payment, pipeline_corporate_dim_film,
+        pipeline_corporate_sales_by_film, pipeline_vault_hub_film, pipeline_vault_sat_rental_dynamic, pipeline_vault_rented_film)}
     for name in ("inventory", "staff", "rental"):
         found[f"extract_incremental_{name}"] = partial(extract_incremental, name)
     for name in corporate.FACTS:

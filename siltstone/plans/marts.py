@@ -3,6 +3,8 @@ film, disc or day is one row by the time it is shuffled."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,13 +73,12 @@ def rented_film(hub_film: DataFrame, sat_film_static: DataFrame, link_film_inven
         F.col("title").alias("film_title")).agg(quantity).orderBy(F.desc("quantity"))
 
 
-def register_readers(spark: SparkSession, by_date: DataFrame, by_film: DataFrame) -> None:
-    """UDF-3: table functions over the two corporate marts, for SQL users."""
-    by_date.createOrReplaceTempView("mart_sales_by_date")
-    by_film.createOrReplaceTempView("mart_sales_by_film")
-    spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION get_data_from_sales_by_date()
-                 RETURNS TABLE (sales_date_id INT, sales_date_title STRING, amount DOUBLE)
-                 RETURN SELECT sales_date_id, sales_date_title, amount FROM mart_sales_by_date""")
-    spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION get_data_from_sales_by_film()
-                 RETURNS TABLE (film_title STRING, amount DOUBLE)
-                 RETURN SELECT film_title, CAST(amount AS DOUBLE) AS amount FROM mart_sales_by_film""")
+def register_reader(spark: SparkSession, mart: DataFrame, function: str, columns: str) -> None:
+    """UDF-3: a table function of that name over a mart, for SQL users. `columns` are its names and types.
+
+    The view below it has a name of its own, so functions of other names and later loads don't touch it.
+    """
+    view = f"{function}_{uuid.uuid4().hex}"
+    mart.createOrReplaceTempView(view)
+    shown = ", ".join(f"CAST({name} AS {kind}) AS {name}" for name, kind in (c.split() for c in columns.split(", ")))
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {function}() RETURNS TABLE ({columns}) RETURN SELECT {shown} FROM {view}")

@@ -139,13 +139,13 @@ def test_as_of_join_against_brute_force(spark, closed):
     df = rows(spark, facts, "id int, k int, at timestamp_ntz")
     inside = lambda t, v: v[1] <= t and (t <= v[2] if closed == "both" else t < v[2])
     want = sorted((f[0], v[3]) for f in facts for v in versions if v[0] == f[1] and inside(f[2], v))
-    cuts = op.version_cuts(dim, "k", max_versions=50)
-    assert [r.k for r in cuts.collect()] == [0]
-    for c in (None, cuts):
+    cuts = op.version_cuts(dim, "k", per_slice=50)
+    assert [(r.k, len(r._cuts)) for r in cuts.collect()] == [(0, 3)]
+    for c in (None, cuts, op.version_cuts(dim, "k", per_slice=1)):
         got = op.as_of_join(df, dim, "k", "at", {"v": "v"}, closed, cuts=c)
         assert got.columns == ["id", "k", "at", "v"]
         assert sorted((r.id, r.v) for r in got.collect()) == want
-    assert op.version_cuts(dim, "k", max_versions=500) is None
+    assert op.version_cuts(dim, "k", per_slice=500).isEmpty()
 
 
 def test_calendar(spark):

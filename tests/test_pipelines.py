@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from siltstone import operators as op
 from siltstone.functions import timestamp
 from siltstone.plans import WarehouseStore, run_corporate, run_star, run_vault
-from siltstone.plans.catalog import CALENDAR_DAYS, CALENDAR_START, fact_payment_star, fact_rental_star
+from siltstone.plans.catalog import fact_payment_star, fact_rental_star
 from siltstone.plans.checks import check_state
 from siltstone.schemas import CORPORATE, STAR, VAULT, columns, not_null
 from siltstone.sources import RetailSource
@@ -28,13 +28,13 @@ def run(spark, folder, root, tables, pipeline, calendar, loads=((1, B1), (2, B2)
 
 @pytest.fixture(scope="module")
 def star(spark, folder, tmp_path_factory):
-    calendar = ("core.dim_date", op.calendar(spark, CALENDAR_START, CALENDAR_DAYS))
+    calendar = ("core.dim_date", op.calendar(spark, "1995-01-01", 2557))
     return run(spark, folder, tmp_path_factory.mktemp("star"), STAR, run_star, calendar)
 
 
 @pytest.fixture(scope="module")
 def corporate(spark, folder, tmp_path_factory):
-    calendar = ("mart.calendar", op.calendar_short(spark, CALENDAR_START, CALENDAR_DAYS))
+    calendar = ("mart.calendar", op.calendar_short(spark, "1995-01-01", 2557))
     return run(spark, folder, tmp_path_factory.mktemp("corp"), CORPORATE, run_corporate, calendar)
 
 
