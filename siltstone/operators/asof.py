@@ -11,18 +11,19 @@ from siltstone.operators.scd import STAR_SPAN, Span
 PER_SLICE = 1024
 
 
-def version_cuts(dim: DataFrame, key: str, span: Span = STAR_SPAN, per_slice: int = PER_SLICE) -> DataFrame:
-    """Time cuts (`key`, `_cuts`) that leave about `per_slice` versions of a key in a slice, however many it has.
+def version_cuts(dim: DataFrame, key: str, span: Span = STAR_SPAN, per_slice: int = PER_SLICE) -> DataFrame | None:
+    """Time cuts (`key`, `_cuts`) that leave about `per_slice` versions of a key in a slice, however many it has;
+    None if no key needs one, which leaves a plain join whose hot keys are split at run time.
 
     A fact would else be compared with every version of its key. Version starts are counted by key and hour before
-    they are shuffled, so that what is cumulated over a key is hours, not versions. Keys with fewer versions have no
-    row; nothing is computed until the cuts are used.
+    they are shuffled, so that what is cumulated over a key is hours, not versions.
     """
     hours = dim.groupBy(key, F.date_trunc("hour", span.start).alias("_hour")).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(key).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
     slices = hours.select(key, F.col("_hour").cast("timestamp_ntz").alias("_hour"), F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / per_slice).alias("_slice"))
     cuts = slices.filter("_slice > 0").groupBy(key, "_slice").agg(F.min("_hour").alias("_cut"))
-    return cuts.groupBy(key).agg(F.sort_array(F.collect_list("_cut")).alias("_cuts"))
+    cuts = cuts.groupBy(key).agg(F.sort_array(F.collect_list("_cut")).alias("_cuts"))
+    return None if cuts.isEmpty() else cuts
 
 
 def _slice(at: Column) -> Column:
@@ -44,18 +45,23 @@ def as_of_join(facts: DataFrame, dim: DataFrame, key: str, at: str, columns: dic
 
     Inner: a fact without a valid version drops. `closed="both"` counts both ends, so a
     fact exactly on the border of two versions meets both; `closed="left"` counts the
-    start only. Key and time slice are an equi-join (hash or merge join by size, hot keys
-    split at run time), the interval a condition on it. A version is given to every slice that
-    it reaches into. `cuts` are those of `version_cuts(dim, key, span)`, if they are known already.
+    start only. The key is an equi-join (hash or merge join by size, hot keys split at run
+    time), the interval a condition on it. With `cuts`, facts and versions are also joined on their
+    time slice, and a version is given to every slice that it reaches into; the result is the same.
     """
-    cuts = version_cuts(dim, key, span) if cuts is None else cuts
     versions = dim.select(F.col(key), F.col(span.start).alias("_from"), F.col(span.end).alias("_to"),
                           *[F.col(c).alias(n) for c, n in columns.items()])
-    facts_in = facts.join(cuts, key, "left").withColumn("_slice", _slice(F.col(at))).drop("_cuts")
-    reach = F.sequence(_slice(F.col("_from")), F.greatest(_slice(F.col("_from")), _slice(F.col("_to"))))
-    versions = versions.join(cuts, key, "left").withColumn("_slice", F.explode(reach)).drop("_cuts")
+    on = [key]
+    if cuts is not None:
+        facts_in = facts.join(cuts, key, "left").withColumn("_slice", _slice(F.col(at))).drop("_cuts")
+        reach = F.sequence(_slice(F.col("_from")), F.greatest(_slice(F.col("_from")), _slice(F.col("_to"))))
+        versions = versions.join(cuts, key, "left").withColumn("_slice", F.explode(reach)).drop("_cuts")
+        on = [key, "_slice"]
+    else:
+        facts_in = facts
     f, v = facts_in.alias("f"), versions.alias("v")
     before_end = F.col(f"f.{at}") <= F.col("v._to") if closed == "both" else F.col(f"f.{at}") < F.col("v._to")
-    condition = (F.col(f"f.{key}") == F.col(f"v.{key}")) & (F.col("f._slice") == F.col("v._slice"))
-    condition = condition & (F.col(f"f.{at}") >= F.col("v._from")) & before_end
+    condition = (F.col(f"f.{at}") >= F.col("v._from")) & before_end
+    for c in on:
+        condition = condition & (F.col(f"f.{c}") == F.col(f"v.{c}"))
     return f.join(v, condition).select(*[F.col(f"f.{c}") for c in facts.columns], *[F.col(f"v.{n}") for n in columns.values()])

@@ -145,7 +145,22 @@ def test_as_of_join_against_brute_force(spark, closed):
         got = op.as_of_join(df, dim, "k", "at", {"v": "v"}, closed, cuts=c)
         assert got.columns == ["id", "k", "at", "v"]
         assert sorted((r.id, r.v) for r in got.collect()) == want
-    assert op.version_cuts(dim, "k", per_slice=500).isEmpty()
+    assert op.version_cuts(dim, "k", per_slice=500) is None
+
+
+def test_slices_grow_with_the_versions(spark):
+    """A key with 100,000 versions, and a third of the facts on it: each fact meets one slice of versions."""
+    dim = spark.range(100_000).selectExpr("0 AS k", "timestampadd(HOUR, CAST(id AS INT), TIMESTAMP_NTZ '1990-01-01') AS effective_date_from",
+                                          "timestampadd(SECOND, CAST(id AS INT) * 3600 + 3599, TIMESTAMP_NTZ '1990-01-01') AS effective_date_to", "id AS v")
+    dim = dim.unionByName(spark.range(1, 200).selectExpr("CAST(id AS INT) AS k", "TIMESTAMP_NTZ '1990-01-01' AS effective_date_from",
+                                                         "TIMESTAMP_NTZ '9999-12-31' AS effective_date_to", "id AS v"))
+    facts = spark.range(3000).selectExpr("id", "CAST(IF(id % 3 = 0, 0, id % 200) AS INT) AS k",
+                                         "timestampadd(MINUTE, CAST(id * 1999 AS INT) + 7, TIMESTAMP_NTZ '1990-01-01') AS at")
+    cuts = op.version_cuts(dim, "k")
+    assert [(r.k, len(r._cuts)) for r in cuts.collect()] == [(0, 97)]
+    got = op.as_of_join(facts, dim, "k", "at", {"v": "v"}, cuts=cuts).collect()
+    assert {(r.id, r.v) for r in got} == {(i, (i * 1999 + 7) // 60 if i % 3 == 0 or i % 200 == 0 else i % 200) for i in range(3000)
+                                          if (i * 1999 + 7) // 60 < 100_000 or (i % 3 and i % 200)}
 
 
 def test_calendar(spark):
