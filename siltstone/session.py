@@ -24,6 +24,11 @@ def tune(spark: SparkSession) -> SparkSession:
             continue
         if spark.sparkContext.getConf().get(name) is None:
             spark.conf.set(name, value)
+    # Adaptive execution merges small partitions, but it splits large ones for joins alone. So a large
+    # cluster starts with several pieces for each of its cores.
+    pieces, initial = 4 * spark.sparkContext.defaultParallelism, "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if pieces > 256 and spark.conf.get(initial, None) is None:
+        spark.conf.set(initial, str(max(pieces, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     return spark
 
 
@@ -59,9 +64,11 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write `df` once into the shared folder and read it back.
 
     Cuts the lineage, survives lost executors, makes generated row ids final, and
-    gives the optimizer true sizes for its join choices.
+    gives the optimizer true sizes for its join choices. The folder goes when the driver ends.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/siltstone/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)

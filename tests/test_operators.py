@@ -241,3 +241,44 @@ def test_feed_applies_each_batch_once(spark, folder, tmp_path):
     apply_feed(feed, load, str(tmp_path / "checkpoint"))
     apply_feed(feed, load, str(tmp_path / "checkpoint"))
     assert seen["batches"] == 3 and seen["target"].count() == rows_in.count()
+
+
+class _Reader:
+    """Notes the options that a JDBC reader is given, and answers for the bounds."""
+
+    def __init__(self, seen, bounds):
+        self.seen, self.bounds, self.given = seen, bounds, {}
+
+    def format(self, kind):
+        assert kind == "jdbc"
+        return self
+
+    def options(self, **options):
+        self.given |= options
+        return self
+
+    def load(self):
+        self.seen.append(self.given)
+        return self
+
+    def first(self):
+        return self.bounds
+
+
+def test_remote_scan_options():
+    from types import SimpleNamespace
+
+    from siltstone.sources import jdbc_source
+    for bounds, split in (((3, 9000), "payment_id"), ((None, None), "payment_id"), (None, ("payment_id", 3, 9000)), (None, None)):
+        seen = []
+
+        class Session:
+            sparkContext = SimpleNamespace(defaultParallelism=64)
+            read = property(lambda self, seen=seen, bounds=bounds: _Reader(seen, bounds))
+
+        jdbc_source(Session(), "jdbc:x", split={"payment": split} if split else None, user="u")("payment")
+        assert all(g["fetchsize"] == "10000" and g["user"] == "u" for g in seen) and seen[-1]["dbtable"] == "public.payment"
+        assert (len(seen) == 2) == (split == "payment_id")
+        parted = {"partitionColumn": "payment_id", "lowerBound": "3", "upperBound": "9000", "numPartitions": "64"}
+        wanted = parted if split and (bounds is None or bounds[0] is not None) else {}
+        assert {k: v for k, v in seen[-1].items() if k in parted} == wanted
