@@ -14,6 +14,7 @@ broadcast table; the others meet their counts in a join.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -144,8 +145,9 @@ def score(docs: DataFrame, model: Model = Model()) -> DataFrame:
     counts = given.mapInArrow(_count_words(model), "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
     counts = materialize(counts, "op8-counts")
     kinds, total = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    below = total + 0.5 * (kinds + 1)
     common = counts.orderBy(F.desc("n"), "token").limit(model.frequent)  # model.frequent rows at most
-    frequent = spark.sparkContext.broadcast({bytes(token): n for token, n in common.toLocalIterator()})
+    frequent = spark.sparkContext.broadcast({bytes(token): math.log10((n + 0.5) / below) for token, n in common.toLocalIterator()})
 
     bits = bloom.size_for(2 * total, model.filter_bytes)
     grams = given.mapInArrow(_count_ngrams(model), "key long, n long").withColumn("block", F.shiftright("key", 64 - bloom.BLOCK_BITS))
@@ -153,14 +155,11 @@ def score(docs: DataFrame, model: Model = Model()) -> DataFrame:
     grams = grams.repartition(dealt, "block").groupBy("block", "key").agg(F.sum("n").alias("n")).select("key", "n")
     filled = spark.sparkContext.broadcast(bloom.collect(grams, bits, _spread))  # model.filter_bytes at most
 
-    below = total + 0.5 * (kinds + 1)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, filter_ = frequent.value, bloom.Bloom(filled.value, bits)
-        logs = {w: float(np.log10((c + 0.5) / below)) for w, c in table.items()}
+        logs, filter_ = frequent.value, bloom.Bloom(filled.value, bits)
         known: dict[bytes, int] = {}
-        for batch in by_bytes(batches, "_text"):
-            if len(known) > 500_000:
+        for batch in by_bytes(batches, "_text", 4 << 20):
+            if len(known) > 300_000:
                 known.clear()
             words: list[bytes] = []
             rows, firsts = [], []
