@@ -86,7 +86,7 @@ def links(fps: DataFrame) -> DataFrame:
     one are at most two bits apart, and two that are at most two bits apart share one. No pair is lost to
     reachability, and the rows stay in proportion to the fingerprints.
     """
-    base, free = EQUAL * WIDTH, BITS - EQUAL * WIDTH - HALF
+    base = EQUAL * WIDTH
     keys = [F.struct(F.lit(2 * i + h).alias("slot"), _turned(F.col("_fp"), i * WIDTH).alias("r"),
                      _turned(F.col("_fp"), i * WIDTH).bitwiseAND(_mask(base).bitwiseOR(_mask(HALF, base + h * HALF))).alias("key"))
             for i in range(SEGMENTS) for h in range(2)]
@@ -101,13 +101,12 @@ def links(fps: DataFrame) -> DataFrame:
     pairs = left.join(right, ["slot", "key"]).where(F.col("ra") < F.col("rb")).where(chain).where(F.bit_count(apart) <= DISTANCE)
 
     crowded = full.where(F.col("n") > CROWD)
-    free_bits = [b for b in range(BITS - base)]
-    flips = [F.lit(0).cast("long")] + [_mask(1, base + b) for b in free_bits]
+    flips = [F.lit(0).cast("long")] + [_mask(1, b) for b in range(base, BITS)]
     near = crowded.select("slot", "key", "r", F.explode(F.array(*flips)).alias("_bit"))
-    near = near.where((F.col("_bit") == 0) | (F.col("_bit").bitwiseAND(F.when(F.col("slot") % 2 == 0, _mask(HALF, base)).otherwise(_mask(HALF, base + HALF))) == 0))
+    fixed = F.when(F.col("slot") % 2 == 0, _mask(HALF, base)).otherwise(_mask(HALF, base + HALF))
+    near = near.where(F.col("_bit").bitwiseAND(fixed) == 0)
     near = near.select("slot", "key", "r", F.col("r").bitwiseXOR(F.col("_bit")).alias("z"))
     stars = near.withColumn("m", F.min("r").over(Window.partitionBy("slot", "key", "z"))).where(F.col("r") > F.col("m"))
-    assert free == len(free_bits) - HALF
 
     def back(name: str) -> Column:
         turned = F.lit(None).cast("long")
