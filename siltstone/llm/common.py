@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -14,7 +15,7 @@ from siltstone.session import materialize, tune
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BATCH_BYTES = 8 << 20
 
-__all__ = ["BATCH_BYTES", "by_bytes", "materialize", "prepared", "raw", "table", "ascii_lower"]
+__all__ = ["BATCH_BYTES", "ascii_lower", "by_bytes", "discard", "materialize", "prepared", "raw", "release", "table"]
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -34,6 +35,22 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove shuffle files of steps that are written: it does so when the driver has collected their owners."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete tables of `materialize` that no later step reads, and release the shuffle files behind them."""
+    for df in stored:
+        context = df.sparkSession.sparkContext
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            where = context._jvm.org.apache.hadoop.fs.Path(folder)
+            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+    release(stored[0].sparkSession)
+
+
 def raw(text: str | None) -> bytes:
     """The UTF-8 bytes of a text; none of a null."""
     return b"" if text is None else text.encode("utf-8", "surrogatepass")

@@ -4,7 +4,7 @@ A byte goes if a 50-byte string over it also starts in a document with a smaller
 are found by sorting suffixes, but no task could sort those of a whole corpus. So the texts are first
 cut to what can repeat, and dealt so that equal strings meet:
 
-1. The anchor of a 50-byte window is the smallest hash of its 16-byte strings. Equal windows have equal
+1. The anchor of a 50-byte window is the smallest hash of its 24-byte strings, in 48 bits. Equal windows have equal
    anchors. For each anchor Spark aggregates the smallest and the largest doc_id that has it; where these are the
    same, none of its windows repeats. The others are marked in a Bloom filter of bounded size.
 2. A second pass keeps the runs of windows with a marked anchor. A join gives each run the smallest doc_id with its
@@ -31,13 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm import bloom
-from siltstone.llm.common import by_bytes, materialize, prepared, raw
+from siltstone.llm.common import by_bytes, discard, materialize, prepared, raw, release
 
-SIZE, ANCHOR = 50, 16
-_SPAN = SIZE - ANCHOR + 1  # 16-byte strings of a window
+SIZE, ANCHOR = 50, 24
+_SPAN = SIZE - ANCHOR + 1  # anchor-sized strings of a window
 FILTER_BYTES = 32 << 20
 CROWD = 2 << 20
 _STOP = 0xFF  # no byte of UTF-8
+_BITS = np.uint64(((1 << 48) - 1) << 16)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -143,7 +144,7 @@ def anchor_runs(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     lo, hi = lo[inside[lo] == 1], hi[inside[lo] == 1]
     # Two texts of 50 bytes and more touch: windows of the second begin at its start.
     owner = np.searchsorted(ends, lo, side="right")
-    keys = bloom.mix(anchors[lo], 5)
+    keys = bloom.mix(anchors[lo], 5) & _BITS
     base = np.concatenate([[0], ends[:-1]])[owner]
     return owner, lo - base, hi - base, keys
 
@@ -155,8 +156,9 @@ def _first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(keys, kind="stable")
         keys, ids = keys[order], ids[owner[order]]
         cut = np.concatenate([[0], np.nonzero(keys[1:] != keys[:-1])[0] + 1]) if len(keys) else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys[cut].view(np.int64))] + [pa.array(f.reduceat(ids, cut) if len(cut) else ids) for f in (np.minimum, np.maximum)], names=["anchor", "lo", "hi"])
+        lo, hi = (f.reduceat(ids, cut) if len(cut) else ids for f in (np.minimum, np.maximum))
+        # Most anchors have one document here, and zeros take no room in a shuffle.
+        yield pa.RecordBatch.from_arrays([pa.array(keys[cut].view(np.int64)), pa.array(lo), pa.array(lo != hi), pa.array(np.where(lo != hi, hi, 0))], names=["anchor", "lo", "two", "hi"])
 
 
 _SECTIONS = "_key long, _th long, base long, bytes binary, lo array<int>, hi array<int>, anchor array<long>"
@@ -212,23 +214,23 @@ def _cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sort_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of the pieces that go for their own first document; rows come in the order of their leaders."""
-    held: list[tuple[int, bytes, int]] = []
+    held: list[tuple[int, bytes, bytes, int]] = []
     size = 0
 
-    def emit(rows: list[tuple[int, bytes, int]]) -> pa.RecordBatch:
+    def emit(rows: list[tuple[int, bytes, bytes, int]]) -> pa.RecordBatch:
         # Owners of different leaders don't compare, but equal windows have one leader, so they may be sorted together.
-        runs = repeated([r[1] for r in rows], np.array([r[2] for r in rows], np.int64))
+        runs = repeated([r[2] for r in rows], np.array([r[3] for r in rows], np.int64))
         flat = [(row, lo, hi) for row, found in zip(rows, runs, strict=True) for lo, hi in found]
         return pa.RecordBatch.from_arrays(
             [pa.array([f[0][0] for f in flat], pa.int64()), pa.array([f[0][1] for f in flat], pa.binary()), pa.array([f[1] for f in flat], pa.int64()), pa.array([f[2] for f in flat], pa.int64())],
-            names=["leader", "bytes", "lo", "hi"])
+            names=["leader", "piece", "lo", "hi"])
 
     for batch in batches:
-        for leader, part, least in zip(*(batch.column(c).to_pylist() for c in ("leader", "bytes", "least")), strict=True):
+        for leader, name, part, least in zip(*(batch.column(c).to_pylist() for c in ("leader", "piece", "bytes", "least")), strict=True):
             if size > CROWD // 2 and leader != held[-1][0]:
                 yield emit(held)
                 held, size = [], 0
-            held.append((leader, part, least))
+            held.append((leader, name, part, least))
             size += len(part)
     if held:
         yield emit(held)
@@ -236,10 +238,10 @@ def _sort_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in by_bytes(batches, "bytes", 1 << 18):
-        rows = [(leader, part, least, at, part[at:at + SIZE]) for leader, part, least in zip(*(batch.column(c).to_pylist() for c in ("leader", "bytes", "least")), strict=True)
+        rows = [(leader, name, least, at, part[at:at + SIZE]) for leader, name, part, least in zip(*(batch.column(c).to_pylist() for c in ("leader", "piece", "bytes", "least")), strict=True)
                 for at in range(len(part) - SIZE + 1)]
         types = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["leader", "bytes", "least", "at", "window"])
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["leader", "piece", "least", "at", "window"])
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,9 +277,10 @@ def deduplicate(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     given = docs.select(key.alias("_key"), F.xxhash64(text).alias("_th"), text.alias("_text"))
 
-    anchors = given.where(F.octet_length("_text") >= SIZE).select("_key", "_text").mapInArrow(_first_pass, "anchor long, lo long, hi long")
-    anchors = anchors.groupBy("anchor").agg(F.min("lo").alias("leader"), F.max("hi").alias("hi")).where("leader < hi").select("anchor", "leader")
-    anchors = materialize(anchors, "op7-anchors")
+    anchors = given.where(F.octet_length("_text") >= SIZE).select("_key", "_text").mapInArrow(_first_pass, "anchor long, lo long, two boolean, hi long")
+    anchors = anchors.groupBy("anchor").agg(F.min("lo").alias("leader"), F.max(F.when(F.col("two"), F.col("hi")).otherwise(F.col("lo"))).alias("hi"))
+    anchors = materialize(anchors.where("leader < hi").select("anchor", "leader"), "op7-anchors")
+    release(spark)
     bits = bloom.size_for(anchors.count(), FILTER_BYTES)
     dealt = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = anchors.select("anchor").repartition(dealt, F.shiftright("anchor", 64 - bloom.BLOCK_BITS))
@@ -286,25 +289,37 @@ def deduplicate(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     sections = materialize(given.where(F.octet_length("_text") >= SIZE).mapInArrow(_second_pass(shared, bits), _SECTIONS), "op7-sections")
     runs = sections.select("_key", "_th", "base", F.posexplode("anchor").alias("place", "anchor")).join(anchors, "anchor")
     found = runs.groupBy("_key", "_th", "base").agg(F.collect_set(F.struct("place", "leader")).alias("found"))
-    pieces = sections.drop("anchor").join(materialize(found, "op7-leaders"), ["_key", "_th", "base"])
-    pieces = materialize(pieces.mapInArrow(_cut_pieces, _PIECES), "op7-pieces")
-
-    # Copies of a piece are one row for each task before they are shuffled.
-    content = materialize(pieces.groupBy("leader", "bytes").agg(F.min("_key").alias("least")), "op7-contents")
+    found = materialize(found, "op7-leaders")
+    del runs
+    release(spark)
+    pieces = materialize(sections.drop("anchor").join(found, ["_key", "_th", "base"]).mapInArrow(_cut_pieces, _PIECES), "op7-pieces")
+    discard(sections, found, anchors)
+    del sections, found, anchors, blocks
+
+    # Copies of a piece are one row for each task before they are shuffled. From here on a piece has a name of 128 bits.
+    named = F.unhex(F.md5("bytes")).alias("piece")
+    content = materialize(pieces.groupBy("leader", "bytes").agg(F.min("_key").alias("least")).select("leader", named, "bytes", "least"), "op7-contents")
+    members = materialize(pieces.select("_key", "_th", "base", "leader", named, F.octet_length("bytes").alias("size")), "op7-members")
+    discard(pieces)
+    del pieces
     crowded = materialize(content.groupBy("leader").agg(F.sum(F.octet_length("bytes")).alias("n")).where(F.col("n") > crowd).select("leader"), "op7-crowded")
     calm = content.join(crowded, "leader", "left_anti").repartition(dealt, "leader").sortWithinPartitions("leader")
-    own = calm.mapInArrow(_sort_pieces, "leader long, bytes binary, lo long, hi long")
+    own = calm.mapInArrow(_sort_pieces, "leader long, piece binary, lo long, hi long")
 
-    windows = materialize(content.join(crowded, "leader", "left_semi").mapInArrow(_windows, "leader long, bytes binary, least long, at long, window binary"), "op7-windows")
+    windows = materialize(content.join(crowded, "leader", "left_semi").mapInArrow(_windows, "leader long, piece binary, least long, at long, window binary"), "op7-windows")
     first = materialize(windows.groupBy("window").agg(F.min("least").alias("first")), "op7-first")
     hit = windows.join(first, "window").where(F.col("first") < F.col("least"))
-    own = materialize(own.unionByName(hit.select("leader", "bytes", F.col("at").alias("lo"), (F.col("at") + SIZE).alias("hi"))), "op7-own")
-
-    members = pieces.join(content, ["leader", "bytes"])
-    copies = members.where(F.col("_key") > F.col("least")).select("_key", "_th", F.col("base").alias("lo"), (F.col("base") + F.octet_length("bytes")).alias("hi"))
-    firsts = members.where(F.col("_key") == F.col("least")).join(own, ["leader", "bytes"]).select("_key", "_th", (F.col("base") + F.col("lo")).alias("lo"), (F.col("base") + F.col("hi")).alias("hi"))
+    own = materialize(own.unionByName(hit.select("leader", "piece", F.col("at").alias("lo"), (F.col("at") + SIZE).alias("hi"))), "op7-own")
+    least = materialize(content.select("leader", "piece", "least"), "op7-least")
+    discard(content, windows, first)
+    del content, windows, first, calm, hit
+
+    known = members.join(least, ["leader", "piece"])
+    copies = known.where(F.col("_key") > F.col("least")).select("_key", "_th", F.col("base").alias("lo"), (F.col("base") + F.col("size")).alias("hi"))
+    firsts = known.where(F.col("_key") == F.col("least")).join(own, ["leader", "piece"]).select("_key", "_th", (F.col("base") + F.col("lo")).alias("lo"), (F.col("base") + F.col("hi")).alias("hi"))
     spans = copies.unionByName(firsts).groupBy("_key", "_th").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
     spans = materialize(spans, "op7-spans")
+    discard(members, least, own)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select(F.col("doc_id").alias("_id"), key.alias("_key"), F.xxhash64(text).alias("_th"), text.alias("_text")).join(spans, ["_key", "_th"], "left")
     return rows.select("_id", "_text", "spans").mapInArrow(_finish, f"doc_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept string")
