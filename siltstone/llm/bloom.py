@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from siltstone.llm.common import materialize
+
 BLOCK_BITS = 11  # the first bits of a key say which of 2,048 blocks it is in
 PROBES = 4
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
@@ -69,6 +71,7 @@ def collect(rows: DataFrame, bits: int, spread: Callable[[pa.RecordBatch], np.nd
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([block.tobytes()], pa.binary())], names=["block", "bits"])
 
     out = np.zeros(1 << bits - 3 + BLOCK_BITS, np.uint8)
-    for number, block in rows.mapInArrow(run, "block int, bits binary").toLocalIterator():
+    # Written first: an iterator over the tasks would run them one after another.
+    for number, block in materialize(rows.mapInArrow(run, "block int, bits binary"), "bloom").toLocalIterator():
         out[number << bits - 3:number + 1 << bits - 3] = np.frombuffer(block, np.uint8)
     return out
