@@ -1,9 +1,11 @@
 """Language-model scores from a log-frequency Bloom filter (operator 8).
 
 The counts of words and of pairs of neighbouring words are quantised to levels (level q for counts from 2**(q-1)
-on), and each n-gram is put into one Bloom filter once for each level up to its own. The filter goes to the
-workers; a count comes back by probing level after level until one is missing, as the mean of the level's
-counts. Errors are one-sided: a count may be read too high, never missed.
+on), and each n-gram is put into one Bloom filter once for each level up to its own; a count comes back by
+probing level after level until one is missing, as the mean of the level's counts. Errors are one-sided: a
+count may be read too high, never missed. The filter has 10 to 20 bits for each key at any size, so that the share
+of false levels doesn't grow. A filter of up to `filter_bytes` goes to the workers. A larger one stays a table
+of blocks: the texts' distinct n-grams, a batch at a time, meet their block, and the levels go back to the batch.
 
 The probability of a word w after v is (c(v w) + m * p(w)) / (c(v) + m), p(w) the add-half estimate from the word's own
 level. The score of a text is the sum of its log10, its end included.
@@ -17,17 +19,18 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm import bloom
-from siltstone.llm.common import by_bytes, materialize, prepared, raw
+from siltstone.llm.common import by_bytes, discard, materialize, prepared, raw, release
 
 END, START = b"\n", b"\t"  # can't be words
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -35,8 +38,7 @@ _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
 
 @dataclass(frozen=True)
 class Model:
-    """filter_bytes: size of the filter at most. It is 10 bits for each training token, as long as that is less;
-    beyond, the share of false levels grows (about 3 % at 7 bits, 15 % at 4). frequent: words in the broadcast
+    """filter_bytes: size of the filter that is broadcast at most; a larger one is probed by a join. frequent: words in the broadcast
     table of exact counts. weight: m above. Documents with crc32(doc_id) mod folds = held_out aren't learned from."""
 
     filter_bytes: int = 64 << 20
@@ -79,20 +81,23 @@ MEANS = np.concatenate([[0.0], (2.0 ** np.arange(0, 64) + 2.0 ** np.arange(1, 65
 
 
 def probe(filled: bloom.Bloom, hashes: np.ndarray) -> np.ndarray:
-    """The estimated counts of n-grams."""
-    found = np.zeros(len(hashes), np.int64)
+    """The levels of n-grams."""
+    found = np.zeros(len(hashes), np.uint8)
     alive = np.arange(len(hashes))
     level = 1
     while len(alive) and level < 64:
         alive = alive[filled.has(_leveled(hashes[alive], level))]
         found[alive] = level
         level += 1
-    return MEANS[found]
+    return found
+
+
+STAY = 24  # first bits of an n-gram's hash that all of its levels share, so many at most say its block
 
 
 def _leveled(hashes: np.ndarray, level: int) -> np.ndarray:
     """The key of an n-gram at a level; it stays in the n-gram's block."""
-    low = np.uint64((1 << 64 - bloom.BLOCK_BITS) - 1)
+    low = np.uint64((1 << 64 - STAY) - 1)
     return (hashes & ~low) | (bloom.mix(hashes, 100 + level) & low)
 
 
@@ -132,6 +137,103 @@ def _spread(batch: pa.RecordBatch) -> np.ndarray:
     return np.concatenate([_leveled(hashes[most >= level], level) for level in range(1, int(most.max(initial=0)) + 1)] or [hashes[:0]])
 
 
+def _hashed(texts: list[str | None], known: dict[bytes, int]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
+    """The words of each text, their hashes, and the place at which each text begins."""
+    if len(known) > 300_000:
+        known.clear()
+    words = [tokens(t) for t in texts]
+    first = np.cumsum([0, *map(len, words)], dtype=np.int64)[:-1]
+    return words, token_hashes([w for own in words for w in own], known), first
+
+
+def _start() -> np.ndarray:
+    return bloom.mix(np.full(1, xxhash.xxh64_intdigest(START, 8), np.uint64), 3)
+
+
+def _wanted(ones: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """All n-grams of a batch, each once, in order."""
+    return np.unique(np.concatenate([bloom.mix(np.unique(ones), 3), _start(), pairs(ones, first)]))
+
+
+def _scored(ids: pa.Array, texts: list[str | None], hashed: tuple, count: Callable[[np.ndarray], np.ndarray], logs: dict[bytes, float],
+            below: float, model: Model) -> list[pa.Array]:
+    """The columns of _SCORED for the texts of a batch; `count` gives the counts of n-grams."""
+    words, ones, first = hashed
+    rows = []
+    for doc_id, own in zip(ids.to_pylist(), words, strict=True):
+        found = [logs[w] for w in own if w in logs]
+        rest = Counter(w for w in own if w not in logs) if len(found) < len(own) else {}
+        rows.append((is_held_out(doc_id, model), len(own), len(found), float(sum(found)), [{"token": w, "n": n} for w, n in rest.items()]))
+    keys, back = np.unique(ones, return_inverse=True)
+    single = count(bloom.mix(keys, 3))
+    alone = ((single + 0.5) / below)[back]
+    before = np.roll(single[back], 1)
+    before[first] = count(_start())[0]
+    both = np.minimum(count(pairs(ones, first)), before)
+    chance = np.log10((both + model.weight * alone) / (before + model.weight))
+    sums = np.add.reduceat(chance, first) if len(first) else chance
+    types = (pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())])))
+    return [ids, *[pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], pa.array(sums, pa.float64())]
+
+
+_SCORED = ["doc_id", "held_out", "n_tokens", "found", "part", "rest", "score"]
+_BATCH = 4 << 20
+
+
+def _by_blocks(given: DataFrame, filled: DataFrame, bits: int, block_bits: int, finish: Callable, id_type: str, schema: str) -> DataFrame:
+    """What `finish` makes of each batch of texts and the levels of its n-grams. `filled` are the blocks of the filter.
+
+    A batch sends each of its n-grams once, so that a frequent one is as many rows as there are batches; a block's group
+    holds its part of them and 2**bits bits.
+    """
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, size, type_ = TaskContext.get().partitionId() << 33, 0, None
+        ids: list = []
+        texts: list[str | None] = []
+
+        def packed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([ids], pa.list_(type_)), pa.array([texts], pa.list_(pa.string()))],
+                                              names=["batch", "ids", "texts"])
+
+        for batch in by_bytes(batches, "_text", _BATCH):
+            type_, more = batch.schema.field("_id").type, batch.column("_text").nbytes
+            if ids and size + more > 2 * _BATCH:
+                yield packed()
+                number, size, ids, texts = number + 1, 0, [], []
+            size += more
+            ids, texts = ids + batch.column("_id").to_pylist(), texts + batch.column("_text").to_pylist()
+        if ids:
+            yield packed()
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
+        for given_ in batches:
+            for number, texts in zip(given_.column("batch"), given_.column("texts"), strict=True):
+                keys = _wanted(*_hashed(texts.as_py(), known)[1:])
+                block = (keys >> np.uint64(64 - block_bits)).astype(np.int64)
+                cuts = np.concatenate([[0], np.nonzero(np.diff(block))[0] + 1, [len(keys)]])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([number.as_py()] * (len(cuts) - 1), pa.int64()), pa.array(block[cuts[:-1]], pa.int32()),
+                     pa.array([keys[lo:hi].tobytes() for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], names=["batch", "block", "keys"])
+
+    def answer(asked: pa.Table, found: pa.Table) -> pa.Table:
+        block = np.zeros(1 << bits - 3, np.uint8)
+        for part in found.column("bits").to_pylist():
+            block |= np.frombuffer(part, np.uint8)
+        keys = [np.frombuffer(k, np.uint64) for k in asked.column("keys").to_pylist()]
+        levels_ = probe(bloom.Bloom(block, bits, 0), np.concatenate([*keys, np.zeros(0, np.uint64)]))
+        parts = np.split(levels_, np.cumsum([len(k) for k in keys])[:-1]) if keys else []
+        return pa.table({"batch": asked.column("batch"), "block": asked.column("block"), "levels": pa.array([p.tobytes() for p in parts], pa.binary())})
+
+    # Written first, as batches must hold the same texts at every reading; their n-grams only pass a shuffle.
+    texts = materialize(given.mapInArrow(pack, f"batch long, ids array<{id_type}>, texts array<string>"), "op8-batches")
+    asked = texts.select("batch", "texts").mapInArrow(ask, "batch long, block int, keys binary")
+    answers = asked.groupBy("block").cogroup(filled.groupBy("block")).applyInArrow(answer, "batch long, block int, levels binary")
+    answers = materialize(answers, "op8-levels")
+    release(given.sparkSession)
+    return texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(finish, schema)
+
+
 def score(docs: DataFrame, model: Model = Model()) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of `docs`.
 
@@ -149,45 +251,44 @@ def score(docs: DataFrame, model: Model = Model()) -> DataFrame:
     common = counts.orderBy(F.desc("n"), "token").limit(model.frequent)  # model.frequent rows at most
     frequent = spark.sparkContext.broadcast({bytes(token): math.log10((n + 0.5) / below) for token, n in common.toLocalIterator()})
 
-    bits = bloom.size_for(2 * total, model.filter_bytes)
-    grams = given.mapInArrow(_count_ngrams(model), "key long, n long").withColumn("block", F.shiftright("key", 64 - bloom.BLOCK_BITS))
-    dealt = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    grams = grams.repartition(dealt, "block").groupBy("block", "key").agg(F.sum("n").alias("n")).select("key", "n")
-    filled = spark.sparkContext.broadcast(bloom.collect(grams, bits, _spread))  # model.filter_bytes at most
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs, filter_ = frequent.value, bloom.Bloom(filled.value, bits)
-        known: dict[bytes, int] = {}
-        for batch in by_bytes(batches, "_text", 4 << 20):
-            if len(known) > 300_000:
-                known.clear()
-            words: list[bytes] = []
-            rows, firsts = [], []
-            for doc_id, text in zip(batch.column("_id").to_pylist(), batch.column("_text").to_pylist(), strict=True):
-                own = tokens(text)
-                firsts.append(len(words))
-                words += own
-                found = [logs[w] for w in own if w in logs]
-                rest = Counter(w for w in own if w not in logs) if len(found) < len(own) else {}
-                rows.append((is_held_out(doc_id, model), len(own), len(found), float(sum(found)), [{"token": w, "n": n} for w, n in rest.items()]))
-            ones = token_hashes(words, known)
-            keys, back = np.unique(ones, return_inverse=True)
-            single = probe(filter_, bloom.mix(keys, 3))
-            alone = ((single + 0.5) / below)[back]
-            before = np.roll(single[back], 1)
-            first = np.array(firsts, np.int64)
-            before[first] = probe(filter_, bloom.mix(np.full(1, xxhash.xxh64_intdigest(START, 8), np.uint64), 3))[0]
-            both = np.minimum(probe(filter_, pairs(ones, first)), before)
-            chance = np.log10((both + model.weight * alone) / (before + model.weight))
-            sums = np.add.reduceat(chance, first) if len(first) else chance
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array([r[0] for r in rows], pa.bool_()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()),
-                 pa.array([r[3] for r in rows], pa.float64()), pa.array([r[4] for r in rows], pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))),
-                 pa.array(sums, pa.float64())],
-                names=["doc_id", "held_out", "n_tokens", "found", "part", "rest", "score"])
-
+    grams = given.mapInArrow(_count_ngrams(model), "key long, n long")
+    # The tasks grow with the tokens, and so do the first bits by which they are dealt.
+    dealt, by = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total >> 23), max(bloom.BLOCK_BITS, (total >> 20).bit_length())
+    grams = grams.withColumn("block", F.shiftright("key", 64 - by)).repartition(dealt, "block").groupBy("block", "key").agg(F.sum("n").alias("n")).select("key", "n")
+    grams = materialize(grams, "op8-grams")
+    release(spark)
+    keys = grams.agg(F.coalesce(F.sum(F.length(F.bin("n"))), F.lit(0))).first()[0]  # levels of all n-grams
+    whole = bloom.bits_for(keys)
     schema = f"doc_id {id_type}, held_out boolean, n_tokens long, found long, part double, rest array<struct<token:binary,n:bigint>>, score double"
-    scored = materialize(given.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "op8-scored")
+
+    if 1 << whole - 3 <= model.filter_bytes:
+        bits = whole - bloom.BLOCK_BITS
+        shared = spark.sparkContext.broadcast(bloom.collect(grams, bits, _spread))  # model.filter_bytes at most
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            logs, filter_, known = frequent.value, bloom.Bloom(shared.value, bits), {}
+            for batch in by_bytes(batches, "_text", _BATCH):
+                texts = batch.column("_text").to_pylist()
+                yield pa.RecordBatch.from_arrays(
+                    _scored(batch.column("_id"), texts, _hashed(texts, known), lambda h: MEANS[probe(filter_, h)], logs, below, model), names=_SCORED)
+
+        discard(grams)
+        out = given.mapInArrow(run, schema)
+    else:
+        block_bits = min(max(bloom.BLOCK_BITS, whole - 23), STAY)  # a block is 1 MB at most
+        filled = bloom.blocks(grams, whole - block_bits, _spread, block_bits)
+        discard(grams)
+
+        def finish(batch: pa.Table, answers: pa.Table) -> pa.Table:
+            ids, texts = batch.column("ids").chunk(0).flatten(), batch.column("texts").to_pylist()[0]
+            hashed = _hashed(texts, {})
+            ordered, found = _wanted(*hashed[1:]), np.frombuffer(b"".join(answers.sort_by("block").column("levels").to_pylist()), np.uint8)
+            return pa.Table.from_arrays(
+                _scored(ids, texts, hashed, lambda h: MEANS[found[np.searchsorted(ordered, h)]], frequent.value, below, model), names=_SCORED)
+
+        out = _by_blocks(given, filled, whole - block_bits, block_bits, finish, id_type, schema)
+
+    scored = materialize(out.withColumn("row", F.monotonically_increasing_id()), "op8-scored")
     rare = scored.select("row", F.explode("rest").alias("t")).select("row", "t.token", F.col("t.n").alias("times")).join(counts, "token", "left")
     rare = rare.groupBy("row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more"),
                                    F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(below))).alias("also"))

@@ -293,6 +293,27 @@ def test_scores(docs, none, texts):
     assert bloom_lm.score(none).count() == 0
 
 
+def test_scores_beyond_the_broadcast_filter(docs, none):
+    """A filter that may not be broadcast keeps its bits for each key: the scores are those of the broadcast one."""
+    whole, parted = ({(r.doc_id, r.n_tokens, r.n_known, round(r.base_score, 6), round(r.score, 6)) for r in bloom_lm.score(docs, m).collect()}
+                     for m in (bloom_lm.Model(), bloom_lm.Model(filter_bytes=4096)))
+    assert whole == parted and len(whole) > 30
+    assert bloom_lm.score(none, bloom_lm.Model(filter_bytes=4096)).count() == 0
+
+
+def test_filter_grows_with_its_keys():
+    """At every size the share of false levels stays about that of 10 bits for each key."""
+    rng = np.random.default_rng(2)
+    for n in (3_000, 300_000):
+        keys = rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2)
+        bits = bloom.bits_for(n)
+        words = np.zeros(1 << bits - 3, np.uint8)
+        for spot in bloom.spots(keys, bits):
+            np.bitwise_or.at(words, spot >> np.uint64(3), np.uint8(1) << (spot & np.uint64(7)).astype(np.uint8))
+        single = bloom.Bloom(words, bits, 0)
+        assert single.has(keys).all() and single.has(keys + np.uint64(1)).mean() < 0.02
+
+
 def test_bloom_has_no_false_negative(spark):
     rng = np.random.default_rng(1)
     keys = rng.integers(0, 1 << 63, 20_000, np.uint64) * np.uint64(2)
