@@ -4,7 +4,8 @@ The histogram of a document over character classes, and the one over the most co
 language, are compared with those of the language by the Jensen-Shannon distance (base 2, so 0 to 1).
 Short documents are guarded: a histogram of a few characters or words is noise and isn't judged.
 
-The references come from all documents: one pass counts characters and words by language.
+The references come from all documents: one pass counts characters and words by language. Every language has one,
+whatever its share. Those of the BROADCAST largest languages go to the workers; the others meet their documents in a join.
 """
 
 from __future__ import annotations
@@ -37,13 +38,15 @@ def _class_table() -> np.ndarray:
 
 
 _CLASS = _class_table()
+#: Languages whose references are broadcast, 109 rows each.
+BROADCAST = 1000
 
 
 @dataclass(frozen=True)
 class Rules:
     """min_words and max_repeat_percent make `base_failed`. The distances above which a document goes,
-    and the characters and words below which they aren't looked at. A language is a reference if it has
-    `min_share` of all words, so there are 1/min_share references at most, of `common_words` words each."""
+    and the characters and words below which they aren't looked at. A reference has
+    `common_words` words. `min_share` is read by the DuckDB statement alone; here every language is judged."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
@@ -114,14 +117,12 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def references(docs: DataFrame, rules: Rules) -> DataFrame:
-    """(lang, kind, item, n): the class counts of each reference language, its `common_words` most
+    """(lang, kind, item, n): the class counts of each language with words, its `common_words` most
     frequent words (the smaller word on a tie) and, as the item null, its count of all other words."""
     counts = (docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"), "text").mapInArrow(_count, _COUNTS)
               .groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")))
     counts = materialize(counts, "op2-counts")
     totals = counts.where("kind = 'word'").groupBy("lang").agg(F.sum("n").alias("total"))
-    everything = totals.agg(F.sum("total")).first()[0] or 0
-    totals = totals.where(F.col("total") >= rules.min_share * everything)
     place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "item"))
     common = counts.where("kind = 'word'").withColumn("_p", place).where(F.col("_p") <= rules.common_words).drop("_p")
     rest = (common.groupBy("lang").agg(F.sum("n").alias("_n")).join(totals, "lang")
@@ -136,25 +137,22 @@ RESULT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 def judge(docs: DataFrame, rules: Rules = Rules(), keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` of every document (default doc_id), then those of RESULT, whatever else the table holds.
 
-    Null texts have no words and fail by length. A null language is a language of its own; a language
-    below `min_share` has no reference and is judged by the base rules alone. The distances are null
+    Null texts have no words and fail by length. A null language is a language of its own. The distances are null
     where a guard holds. Repeated rows are judged alike. A column of `keep` named as in RESULT is replaced. `docs` needs doc_id, text and lang.
     """
     prepared(docs.sparkSession)
     taken = {x.split()[0] for x in RESULT.split(", ")}
     keep = [c for c in (["doc_id"] if keep is None else keep) if c not in taken]
-    words: dict[str, dict[bytes, int]] = defaultdict(dict)
-    hists: dict[str, dict[str, list[float]]] = defaultdict(lambda: {"word": [0.0] * (rules.common_words + 1), "class": [0.0] * _NONE})
-    # At most 1/min_share languages of common_words + 9 rows.
-    for lang, kind, item, n in references(docs, rules).orderBy("lang", "kind", F.desc("n"), "item").collect():
-        if kind == "class":
-            hists[lang]["class"][CLASSES.index(item)] = float(n)
-        elif item is None:
-            hists[lang]["word"][rules.common_words] = float(n)
-        else:
-            slot = words[lang][item.encode()] = len(words[lang])
-            hists[lang]["word"][slot] = float(n)
-    shared = docs.sparkSession.sparkContext.broadcast((dict(words), dict(hists)))
+    refs = materialize(references(docs, rules), "op2-references")
+    sizes = refs.where("kind = 'word'").groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang")
+    large = [lang for lang, _ in sizes.limit(BROADCAST + 1).collect()]
+    others, large = len(large) > BROADCAST, large[:BROADCAST]
+    rows: dict[str, list] = defaultdict(list)
+    # At most BROADCAST languages of common_words + 9 rows.
+    names = docs.sparkSession.createDataFrame([(x,) for x in large], "lang string")
+    for lang, *row in refs.join(F.broadcast(names), "lang", "left_semi").select("lang", "kind", "item", "n").collect():
+        rows[lang].append(row)
+    shared = docs.sparkSession.sparkContext.broadcast({lang: _reference(r, rules) for lang, r in rows.items()})
     fields = [docs.schema[c] for c in keep]
     given = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col("text").alias("_text"),
                         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("_lang"))
@@ -162,20 +160,46 @@ def judge(docs: DataFrame, rules: Rules = Rules(), keep: list[str] | None = None
     number = len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots, refs = shared.value
-        refs = {lang: {k: np.array(v) for k, v in r.items()} for lang, r in refs.items()}
         for batch in by_bytes(batches, "_text"):
-            rows = [_row(raw(t), slots.get(lang, {}), refs.get(lang), rules)
-                    for t, lang in zip(batch.column("_text").to_pylist(), batch.column("_lang").to_pylist(), strict=True)]
+            langs, found = batch.column("_lang").to_pylist(), shared.value
+            if "_ref" in batch.schema.names:
+                found = {}
+                for at, lang in enumerate(langs):
+                    if lang not in found:
+                        own = batch.column("_ref")[at].as_py()
+                        found[lang] = _reference([(x["kind"], x["item"], x["n"]) for x in own], rules) if own else None
+            rows = [_row(raw(t), *(found.get(lang) or ({}, None)), rules) for t, lang in zip(batch.column("_text").to_pylist(), langs, strict=True)]
             types = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()] * 2
             yield pa.RecordBatch.from_arrays(
                 batch.columns[:number] + [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
                 names=[f"_k{i}" for i in range(number)] + [x.split()[0] for x in RESULT.split(", ")])
 
-    out = given.mapInArrow(run, schema)
+    if others:
+        # Each of these languages has fewer words than BROADCAST others, so that none is a hot key.
+        small = names.select(F.col("lang").alias("_lang"))
+        packed = refs.join(F.broadcast(names), "lang", "left_anti").groupBy(F.col("lang").alias("_lang")).agg(F.collect_list(F.struct("kind", "item", "n")).alias("_ref"))
+        rest = given.join(F.broadcast(small), "_lang", "left_anti").join(packed, "_lang", "left").select(*given.columns, "_ref")
+        given = given.join(F.broadcast(small), "_lang", "left_semi").select(*given.columns)
+        out = given.mapInArrow(run, schema).unionByName(rest.mapInArrow(run, schema))
+    else:
+        out = given.mapInArrow(run, schema)
     return out.withColumnsRenamed({f"_k{i}": c for i, c in enumerate(keep)})
 
 
+def _reference(rows: list, rules: Rules) -> tuple[dict[bytes, int], dict[str, np.ndarray]]:
+    """The places of a language's common words, and its histograms, from its (kind, item, n)."""
+    slots: dict[bytes, int] = {}
+    hists = {"word": np.zeros(rules.common_words + 1), "class": np.zeros(_NONE)}
+    for kind, item, n in sorted(rows, key=lambda r: (r[0], -r[2], r[1] or "")):
+        if kind == "class":
+            hists["class"][CLASSES.index(item)] = n
+        elif item is None:
+            hists["word"][rules.common_words] = n
+        else:
+            hists["word"][slots.setdefault(item.encode(), len(slots))] = n
+    return slots, hists
+
+
 def _row(text: bytes, slots: dict[bytes, int], ref: dict[str, np.ndarray] | None, rules: Rules) -> tuple:
     words = text.split()
     base = base_counts(text, words)

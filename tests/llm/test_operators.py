@@ -89,6 +89,19 @@ def test_divergent_texts_go_and_short_ones_are_guarded(spark):
     assert all(found[i].kept or found[i].base_failed for i in range(60))
 
 
+@pytest.mark.parametrize("most", [1000, 1])
+def test_small_languages_are_judged(spark, monkeypatch, most):
+    """A language far below a thousandth of all words, with its reference broadcast or joined."""
+    monkeypatch.setattr(quality_rules, "BROADCAST", most)
+    rng, names = random.Random(3), [f"{a}{b}{c}" for a in "bdfgklmn" for b in "aeiou" for c in "dglmnr"]
+    rows = [(i, " ".join(rng.choices(names, k=10_000)), "en") for i in range(100)]
+    rows += [(200 + i, " ".join(rng.choices(names[:20], k=60)), "xx") for i in range(12)] + [(300, " ".join(f"##{i}%%" for i in range(60)), "xx")]
+    rows += [(400, None, "yy"), (401, " ".join(rng.choices(names, k=60)), None)]
+    found = {r.doc_id: r for r in quality_rules.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)).collect()}
+    assert len(found) == len(rows) and not found[300].kept and not found[300].base_failed
+    assert all(found[200 + i].word_distance is not None and found[200 + i].class_distance < 0.3 for i in range(12)) and found[401].word_distance < 1e-6
+
+
 def test_distance():
     assert quality_rules.distance(np.array([1, 0.0]), np.array([0, 5.0])) == 1 and quality_rules.distance(np.array([2, 6.0]), np.array([1, 3.0])) == 0
 
