@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.session import materialize
 
-_PARTITION_BITS = 33  # fixed value: monotonically_increasing_id() keeps the row number in its lower 33 bits
-
-
 @dataclass(frozen=True)
 class Registry:
     """A key registry and the names of its two columns."""
@@ -22,25 +19,36 @@ class Registry:
     nk: str
 
 
-def number_rows(rows: DataFrame, order: str, name: str, after: Column) -> DataFrame:
+BLOCK = 1024  # partitions whose counts are summed together
+
+
+def _offsets(placed: DataFrame) -> DataFrame:
+    """(_part, _shift): what turns a generated id into the number of its row, from one count per partition.
+
+    Two levels of prefix sums: of the counts inside each block of partitions, and of the blocks' sums.
+    """
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"), F.min("_place").alias("_first")).withColumn(
+        "_block", F.floor(F.col("_part") / BLOCK))
+    earlier = (Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_block").orderBy("_part").rowsBetween(*earlier)
+    sums = counts.groupBy("_block").agg(F.sum("_rows").alias("_rows"))  # one row per BLOCK partitions
+    over_blocks = Window.partitionBy(F.lit(0)).orderBy("_block").rowsBetween(*earlier)
+    starts = sums.select("_block", F.coalesce(F.sum("_rows").over(over_blocks), F.lit(0)).alias("_before"))
+    return counts.withColumn("_inside", F.coalesce(F.sum("_rows").over(inside), F.lit(0))).join(starts, "_block").select(
+        "_part", (F.col("_before") + F.col("_inside") - F.col("_first")).alias("_shift"))
+
+
+def number_rows(rows: DataFrame, order: str | Sequence[Column | str], name: str, after: Column) -> DataFrame:
     """Dense numbers above `after` in the order of `order`, without a one-task window.
 
-    The rows are range-sorted over all tasks and written once with their place in
-    their partition. What then passes the driver is one count per partition.
+    The rows are range-sorted over all tasks and written once with their partition and a generated id, which counts the rows
+    of a partition. A frame with one row per partition then says where each partition's numbers begin; nothing passes the driver.
     """
-    placed = materialize(rows.sort(order).withColumn("_place", F.monotonically_increasing_id()), "numbering")
-    part = F.shiftright("_place", _PARTITION_BITS)
-    counts = dict(placed.groupBy(part).agg(F.count(F.lit(1))).collect())
-    if not counts:
-        return placed.withColumnRenamed("_place", name)
-    before, total = [], 0
-    for p in range(max(counts) + 1):
-        before.append(f"{total}L")
-        total += counts.get(p, 0)
-    # one entry per shuffle partition, so the array's size is bounded; its lookup is by position
-    offset = F.element_at(F.expr(f"array({', '.join(before)})"), (part + 1).cast("int"))
-    in_part = F.col("_place") - F.shiftleft(part, _PARTITION_BITS)
-    return placed.withColumn(name, (after + offset + in_part + 1).cast("bigint")).drop("_place")
+    order = [order] if isinstance(order, str) else list(order)
+    placed = materialize(rows.sort(*order).withColumns({
+        "_place": F.monotonically_increasing_id(), "_part": F.spark_partition_id()}), "numbering")
+    numbered = placed.join(F.broadcast(_offsets(placed)), "_part")
+    return numbered.withColumn(name, (after + F.col("_shift") + F.col("_place") + 1).cast("bigint")).drop("_place", "_part", "_shift")
 
 
 def new_keys(registry: DataFrame, natural_keys: DataFrame, sk: str, nk: str) -> DataFrame:
