@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -15,7 +18,7 @@ from siltstone.session import materialize, tune
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BATCH_BYTES = 8 << 20
 
-__all__ = ["BATCH_BYTES", "ascii_lower", "by_bytes", "discard", "materialize", "prepared", "raw", "release", "table"]
+__all__ = ["BATCH_BYTES", "ascii_lower", "by_bytes", "discard", "materialize", "per_worker", "prepared", "raw", "release", "table"]
 
 
 def prepared(spark: SparkSession) -> SparkSession:
@@ -51,9 +54,9 @@ def discard(*stored: DataFrame) -> None:
     release(stored[0].sparkSession)
 
 
-def raw(text: str | None) -> bytes:
+def raw(text: str | bytes | None) -> bytes:
     """The UTF-8 bytes of a text; none of a null."""
-    return b"" if text is None else text.encode("utf-8", "surrogatepass")
+    return b"" if text is None else text if isinstance(text, bytes) else text.encode("utf-8", "surrogatepass")
 
 
 def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
@@ -68,3 +71,11 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = BATCH_
             total += size
         if start < batch.num_rows:
             yield batch.slice(start)
+
+
+def per_worker(name: str, key: Any, build: Callable[[], Any]) -> Any:
+    """What `build` gives, kept in the Python worker for its later tasks; one value per name, made anew when the key is another one."""
+    kept = sys.modules.setdefault("siltstone_kept", types.ModuleType("siltstone_kept")).__dict__
+    if name not in kept or kept[name][0] != key:
+        kept[name] = key, build()
+    return kept[name][1]

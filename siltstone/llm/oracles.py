@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from siltstone.llm import license_join, line_chunks, quality_rules
+from siltstone.llm import license_join, line_chunks, quality_rules, source_audit
 from siltstone.llm.common import LOWER, UPPER
 
 _RULES = quality_rules.Rules()
@@ -104,4 +104,28 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_base,
 FROM w LEFT JOIN b USING (doc_id) LEFT JOIN f USING (doc_id)
 """
 
-ORACLES = {"op2_divergence_rules": OP2, "op5_line_chunks": OP5, "op6_license_join": OP6}
+OP12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+words AS (SELECT row, lang, source, unnest(ws) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM words GROUP BY ALL HAVING count(DISTINCT row) >= {source_audit.MIN_DOCS}),
+groups AS (SELECT DISTINCT lang, source FROM d),
+vocabulary AS (SELECT g.lang, count(k.term) AS v FROM (SELECT DISTINCT lang FROM d) g LEFT JOIN kept k USING (lang) GROUP BY g.lang),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, source, v + coalesce((SELECT sum(n) FROM counts c WHERE c.lang = groups.lang AND c.source = groups.source), 0) AS size
+          FROM groups JOIN vocabulary USING (lang)),
+p AS (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n, (1 + {source_audit.SCALE}::HUGEINT * (coalesce(c.n, 0) + 1) // s.size)::HUGEINT AS p,
+      (1 + {source_audit.SCALE}::HUGEINT * (k.total + 1) // (sum(k.total) OVER (PARTITION BY s.lang, s.source) + v.v))::HUGEINT AS q
+      FROM sizes s JOIN vocabulary v USING (lang) JOIN kept k USING (lang) LEFT JOIN counts c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0)::BIGINT AS value
+          FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+          LEFT JOIN apart a ON a.lang = g.lang AND a.source = g.source AND a.item = h.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+           FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= {source_audit.TOP_TERMS}
+"""
+
+ORACLES = {"op2_divergence_rules": OP2, "op5_line_chunks": OP5, "op6_license_join": OP6, "op12_source_divergence": OP12}

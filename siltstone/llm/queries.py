@@ -12,13 +12,16 @@ from siltstone.llm import (
     bloom_lm,
     cgk_decontamination,
     classifier_chain,
+    importance,
     license_join,
     line_chunks,
     quality_rules,
     sentencepiece_backend,
     simhash_pigeonring,
+    source_audit,
     splitter_shards,
     suffix_dedup,
+    token_counts,
 )
 from siltstone.llm.common import table
 from siltstone.llm.oracles import ORACLES
@@ -69,6 +72,18 @@ def op10_sentencepiece_backend(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_tokens", "round_trip", "parity", F.md5(F.array_join("ids", ",").cast("binary")).alias("ids_md5"))
 
 
+def op11_token_lengths(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_audit.audit(table(spark, folder, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
@@ -76,7 +91,8 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_classifier_chain, op2_divergence_rules, op3_splitter_shards, op4_simhash_pigeonring, op5_line_chunks, op6_license_join,
-        op7_suffix_dedup, op8_bloom_lm, op9_cgk_decontamination, op10_sentencepiece_backend, pipeline)}
+        op7_suffix_dedup, op8_bloom_lm, op9_cgk_decontamination, op10_sentencepiece_backend,
+        op11_token_lengths, op12_source_divergence, op13_importance_resampling, pipeline)}
 
 
 def statements() -> dict[str, str]:

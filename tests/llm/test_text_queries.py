@@ -15,7 +15,7 @@ def test_oracle(spark, folder, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.registered() if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.registered() if n.startswith("op")) == list(range(1, 14))
 
 
 def test_pipeline_takes_effect(spark, folder):
