@@ -4,7 +4,7 @@ The counts of a language's terms by source are a sparse matrix: groups by terms.
 of columns, and strips times pairs of row blocks where there are many groups. A task keeps its part as quadtrees
 of K x K quadrants in each node and goes down the trees of two row blocks together: where both quadrants are empty,
 all their cells have the probability of an unseen term, and their share of the sum is a product; below others
-it comes to the cells where at least one of two groups has the term, and these are compared.
+it comes to leaves of K x K cells where at least one of the two has a count, and compares these cell by cell.
 
 All arithmetic is on integers. A probability is 1 + floor(SCALE * (count + 1) / (N + V)).
 """
@@ -27,7 +27,7 @@ TOP_TERMS = 200
 K, LEVELS = 4, 3
 SIDE = K ** LEVELS  # rows and columns of a tree
 CELLS = 100_000  # counts in a strip, at about
-HELD = 200_000  # different words that a task counts before it hands them on
+HELD = 400_000  # different words that a task counts before it hands them on
 
 # Terms are runs of letters and of whatever isn't ASCII; A-Z in lower case, all else is a gap.
 _TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -101,61 +101,50 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- trees
 
 class Tree:
-    """The nonzero cells of SIDE rows and SIDE columns. `nodes[level]` holds the sorted codes of the quadrants that aren't empty;
-    the code of a quadrant is that of the one above it times K * K, plus K times its row and plus its column there."""
-
-    def __init__(self, rows: np.ndarray, columns: np.ndarray, values: np.ndarray) -> None:
-        code = np.zeros(len(rows), np.int64)
-        for level in range(LEVELS):
-            step = K ** (LEVELS - 1 - level)
-            code = code * (K * K) + rows // step % K * K + columns // step % K
-        order = np.argsort(code)
-        self.values, self.nodes = values[order], [code[order]]
-        for _ in range(LEVELS):
-            self.nodes.insert(0, np.unique(self.nodes[0] // (K * K)))
-
-    def has(self, level: int, codes: np.ndarray) -> np.ndarray:
-        return self._place(level, codes)[1]
-
-    def get(self, codes: np.ndarray, missing: np.ndarray) -> np.ndarray:
-        place, found = self._place(LEVELS, codes)
-        return np.where(found, self.values[place], missing) if len(self.values) else missing
-
-    def _place(self, level: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        known = self.nodes[level]
-        if not len(known):
-            return np.zeros(len(codes), np.int64), np.zeros(len(codes), bool)
-        place = np.minimum(np.searchsorted(known, codes), len(known) - 1)
-        return place, known[place] == codes
-
-
-def meet(a: Tree, b: Tree, zero_a: np.ndarray, zero_b: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """For all rows g of `a` and h of `b` the sums over `width` columns of divergence(p_g, p_h) and of divergence(p_h, p_g).
-
-    The values of the trees are probabilities; zero_a and zero_b are those of empty cells.
+    """SIDE rows and SIDE columns of probabilities, most of them that of an empty cell (`zero`, by row).
+
+    `bits[level]` says which of the K ** level x K ** level quadrants hold a nonzero cell; those of the last level, K x K cells
+    each, are the leaves.
+    """
+
+    def __init__(self, rows: np.ndarray, columns: np.ndarray, values: np.ndarray, zero: np.ndarray) -> None:
+        self.zero = zero
+        cells = np.repeat(zero[:, None], SIDE, 1)
+        cells[rows, columns] = values
+        self.leaves = cells.reshape(SIDE // K, K, SIDE // K, K).transpose(0, 2, 1, 3)  # leaf row, leaf column, row, column
+        filled = np.zeros((SIDE // K, SIDE // K), bool)
+        filled[rows // K, columns // K] = True
+        self.bits = [filled]
+        while len(self.bits[0]) > 1:
+            n = len(self.bits[0]) // K
+            self.bits.insert(0, self.bits[0].reshape(n, K, n, K).any((1, 3)))
+
+
+def meet(a: Tree, b: Tree, width: int) -> np.ndarray:
+    """For all rows g of `a` and h of `b` the sum over `width` columns of divergence(p_g, p_h).
+
+    Both trees are gone down together. A quadrant of columns that is empty for the rows of both is priced at once.
     """
-    unseen = np.zeros((SIDE, SIDE), np.int64)  # columns that neither row has, by row of a and of b
-    codes_a = codes_b = row_a = row_b = column = np.zeros(1, np.int64)
+    unseen = np.zeros((SIDE, SIDE), np.int64)  # columns in empty quadrants of both, by row of a and of b
+    row_a = row_b = column = np.zeros(1, np.int64)
     child = np.arange(K ** 3)
     i, j, c = child // (K * K), child // K % K, child % K
-    for level in range(LEVELS + 1):
-        full = a.has(level, codes_a) | b.has(level, codes_b)
-        side = K ** (LEVELS - level)
+    for level, (bits_a, bits_b) in enumerate(zip(a.bits, b.bits, strict=True)):
+        side = SIDE // K ** level
         wide = np.clip(width - column * side, 0, side)
+        full = (bits_a[row_a, column] | bits_b[row_b, column]) & (wide > 0)
         empty = np.zeros((SIDE // side, SIDE // side), np.int64)
         np.add.at(empty, (row_a[~full], row_b[~full]), wide[~full])
         unseen += empty.repeat(side, 0).repeat(side, 1)
-        full &= wide > 0
-        codes_a, codes_b, row_a, row_b, column = codes_a[full], codes_b[full], row_a[full], row_b[full], column[full]
-        if level < LEVELS:
-            codes_a = (codes_a[:, None] * (K * K) + i * K + c).ravel()
-            codes_b = (codes_b[:, None] * (K * K) + j * K + c).ravel()
+        row_a, row_b, column = row_a[full], row_b[full], column[full]
+        if side > K:
             row_a, row_b, column = ((x[:, None] * K + y).ravel() for x, y in ((row_a, i), (row_b, j), (column, c)))
-    p, q = a.get(codes_a, zero_a[row_a]), b.get(codes_b, zero_b[row_b])
-    there, back = unseen * divergence(zero_a[:, None], zero_b[None, :]), unseen * divergence(zero_b[None, :], zero_a[:, None])
-    np.add.at(there, (row_a, row_b), divergence(p, q))
-    np.add.at(back, (row_a, row_b), divergence(q, p))
-    return there, back
+    out = unseen * divergence(a.zero[:, None], b.zero[None, :])
+    by_leaf = out.reshape(SIDE // K, K, SIDE // K, K).transpose(0, 2, 1, 3).copy()
+    inside = np.arange(K)[None, :] < (width - column * K)[:, None]  # the last leaf may hang over
+    each = divergence(a.leaves[row_a, column][:, :, None, :], b.leaves[row_b, column][:, None, :, :])
+    np.add.at(by_leaf, (row_a, row_b), (each * inside[:, None, None, :]).sum(3))
+    return by_leaf.transpose(0, 2, 1, 3).reshape(SIDE, SIDE)
 
 
 def strip_sums(rows: np.ndarray, columns: np.ndarray, counts: np.ndarray, sizes: np.ndarray, left: int, right: int) -> Iterator[tuple[int, int, int, int]]:
@@ -178,16 +167,16 @@ def strip_sums(rows: np.ndarray, columns: np.ndarray, counts: np.ndarray, sizes:
         trees = {}
         for x in blocks:
             own = rows[lo:hi] // SIDE == x
-            trees[x] = Tree(rows[lo:hi][own] % SIDE, columns[lo:hi][own] - first, values[lo:hi][own])
-        one, two = meet(trees[left], trees[right], zero[left], zero[right], min(SIDE, width - first))
-        there += one
-        back += two
+            trees[x] = Tree(rows[lo:hi][own] % SIDE, columns[lo:hi][own] - first, values[lo:hi][own], zero[x])
+        there += meet(trees[left], trees[right], min(SIDE, width - first))
+        if left != right:
+            back += meet(trees[right], trees[left], min(SIDE, width - first))
     for x, g in enumerate(known[left]):
         for y, h in enumerate(known[right]):
             if g != h:
                 yield int(g), int(h), int(there[x, y]), width
                 if left != right:
-                    yield int(h), int(g), int(back[x, y]), width
+                    yield int(h), int(g), int(back[y, x]), width
 
 
 # ---------------------------------------------------------------- the operator

@@ -108,12 +108,23 @@ def test_audit_arithmetic_is_exact():
 
 
 def test_empty_quadrants_are_priced():
-    """A tree without cells against one with a single cell: all other columns come from the price of an empty cell."""
-    single = source_audit.Tree(np.array([3]), np.array([5]), np.array([900]))
-    empty = source_audit.Tree(*np.zeros((3, 0), np.int64))
+    """A tree without cells against one with a single cell, and random ones against the plain sum."""
     zero = np.full(source_audit.SIDE, 10)
-    there, back = source_audit.meet(single, empty, zero + 2, zero, 40)
-    assert there[3, 0] == 39 * (4 // 10) + 890**2 // 10 and there[4, 1] == 40 * (4 // 10) and back[3, 7] == 39 * (4 // 12) + 890**2 // 900
+    single = source_audit.Tree(np.array([3]), np.array([5]), np.array([900]), zero + 2)
+    empty = source_audit.Tree(*np.zeros((3, 0), np.int64), zero)
+    there, back = source_audit.meet(single, empty, 40), source_audit.meet(empty, single, 40)
+    assert there[3, 0] == 39 * (4 // 10) + 890**2 // 10 and there[4, 1] == 40 * (4 // 10) and back[7, 3] == 39 * (4 // 12) + 890**2 // 900
+    rng, n = np.random.default_rng(3), source_audit.SIDE
+    for filled, width in ((5, n), (40, 7), (700, 50), (n * n, n)):
+        trees, plain = [], []
+        for _ in range(2):
+            cells, base = rng.permutation(n * width)[:filled], rng.integers(1, 50, n)
+            values = rng.integers(1, 10**9, len(cells))
+            whole = np.repeat(base[:, None], width, 1)
+            whole[cells // width, cells % width] = values
+            trees.append(source_audit.Tree(cells // width, cells % width, values, base))
+            plain.append(whole)
+        assert (source_audit.meet(*trees, width) == source_audit.divergence(plain[0][:, None], plain[1][None]).sum(2)).all()
 
 
 # --- 13 -----------------------------------------------------------------------------------------
