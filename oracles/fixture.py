@@ -2,10 +2,10 @@
 
 FIXTURE: dict[str, str] = {
     "film0": """
-        SELECT CAST(FLOOR(p_partkey/10) AS BIGINT) AS film_id, p_name AS title, p_type AS description,
-        CAST(1990+p_size%30 AS INT) AS release_year, CAST(p_size*3 AS INT) AS length, p_size AS
-        rental_duration, CAST(p_retailprice AS DECIMAL(12,2)) AS rental_rate, CAST(p_retailprice*2 AS
-        DECIMAL(12,2)) AS replacement_cost, p_brand AS rating FROM part WHERE p_partkey%10=0""",
+        SELECT CAST(FLOOR(p_partkey/10) AS BIGINT) AS film_id, MIN(p_name) AS title, MIN(p_type) AS description,
+        CAST(1990+MAX(p_size)%30 AS INT) AS release_year, CAST(MAX(p_size)*3 AS INT) AS length, MAX(p_size) AS
+        rental_duration, CAST(MAX(p_retailprice) AS DECIMAL(12,2)) AS rental_rate, CAST(MAX(p_retailprice)*2 AS
+        DECIMAL(12,2)) AS replacement_cost, MIN(p_brand) AS rating FROM part GROUP BY FLOOR(p_partkey/10)""",
     "inventory0": """
         SELECT p_partkey AS inventory_id, CAST(FLOOR(p_partkey/10) AS BIGINT) AS film_id, CAST(p_partkey%25
         AS BIGINT) AS store_id FROM part""",

@@ -452,13 +452,13 @@ def _statements() -> dict[str, str]:
         "AS return_date, g.staff_id FROM (SELECT n.id, CAST(m.day AS TIMESTAMP) AS rental_date, CAST(FLOOR(n.r * m.discs) AS BIGINT) "
         "AS inventory_id, CAST(FLOOR(n.r * m.customers) AS BIGINT) AS customer_id, CAST(FLOOR(n.r * m.people) AS BIGINT) AS "
         "staff_id FROM (SELECT id, CAST((id * 7919) % 1000 AS DOUBLE) / 1000 AS r FROM (SELECT UNNEST(RANGE(c)) AS id FROM "
-        "(SELECT COUNT(*) AS c FROM rental1))) n, (SELECT (SELECT CAST(MAX(rental_date) AS DATE) + 1 FROM rental1) AS day, "
+        "(SELECT COUNT(*) AS c FROM rental0))) n, (SELECT (SELECT CAST(MAX(rental_date) AS DATE) + 1 FROM rental0) AS day, "
         "(SELECT COUNT(*) FROM inventory0) AS discs, (SELECT COUNT(*) FROM customer) AS customers, (SELECT COUNT(*) FROM "
         "staff0) AS people) m) g LEFT JOIN (SELECT i.inventory_id, f.rental_duration FROM inventory0 i JOIN film0 f ON "
         "f.film_id = i.film_id) f ON f.inventory_id = g.inventory_id")
 
     s["dq_not_null"] = " UNION ALL ".join(
-        f"SELECT 'not_null' AS \"check\", '{c}' AS subject, COUNT(*) AS violations FROM rental1 WHERE {c} IS NULL"
+        f"SELECT 'not_null' AS \"check\", '{c}' AS subject, COUNT(*) AS violations FROM (SELECT *, NULL AS deleted FROM rental0) WHERE {c} IS NULL"
         for c in ("rental_id", "rental_date", "return_date", "deleted"))
     s["dq_domain"] = (
         "SELECT 'domain' AS \"check\", 'rating' AS subject, COUNT(*) AS violations FROM film2 WHERE rating NOT IN "
@@ -476,6 +476,19 @@ def _statements() -> dict[str, str]:
         f"NOT EXISTS (SELECT 1 FROM {p} y WHERE y.{k} = x.{k})"
         for c, k, p in (("inventory1", "film_id", "film1"), ("payment2", "rental_id", "rental2"),
                         ("payment2", "staff_id", "staff2")))
+    s["dq_asof_misses"] = (
+        "SELECT p.payment_id, p.inventory_id, p.last_update, CASE WHEN p.inventory_id IS NULL THEN 'no key' WHEN p.last_update IS NULL "
+        "THEN 'no time' WHEN k.lo IS NULL THEN 'unknown key' WHEN p.last_update < k.lo THEN 'before the first version' "
+        "WHEN p.last_update < k.hi THEN 'between two versions' ELSE 'after the last version' END AS reason FROM paid2 p LEFT JOIN "
+        "(SELECT inventory_id, MIN(effective_date_from) AS lo, MAX(effective_date_from) AS hi FROM di_post GROUP BY 1) k "
+        "ON k.inventory_id = p.inventory_id WHERE NOT EXISTS (SELECT 1 FROM di_post d WHERE d.inventory_id = p.inventory_id AND "
+        "p.last_update BETWEEN d.effective_date_from AND d.effective_date_to)")
+    s["dq_missing_parents"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", c.{t}_id AS row_key, '{fk}' AS fk, c.{fk} AS parent_key FROM {rows} c "
+        f"WHERE c.{fk} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{fk} = c.{fk})"
+        for t, rows, fk, parent in (("inventory", "stg_inventory2", "film_id", "film2"), ("staff", "stg_staff2", "store_id", "store2"),
+                                    ("payment", "payment2", "rental_id", "rental2"), ("rental", "stg_rental2", "inventory_id", "di_4"),
+                                    ("rental", "stg_rental2", "staff_id", "ds_post")))
     # the whole pipelines give what the steps give
     for name, same in (("star_fact_payment", "fact_payment_star"), ("star_dim_inventory", "scd2_dim_inventory"),
                        ("star_sales_by_film", "sales_by_film_star"), ("corporate_fact_payment", "fact_payment_corp"),

@@ -1,67 +1,137 @@
-"""As-of joins: facts meet the version that was valid at their time."""
+"""As-of joins: facts meet the version that was valid at their time.
+
+Facts and version starts are sorted into one stream by key and time, over all tasks and written once. Inside a
+partition the last version is carried forward; a partition begins with the last version of those before it, one row for each.
+So the work of a task is a slice of the stream, however many versions or facts a key has, and no key is
+compared with all of its versions. What a version covers beyond the start of its successor comes on top:
+a single moment (both ends of an interval count) by an equality join, more than that (versions that
+overlap, which loads in order never make) by a join on the key.
+"""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.operators.scd import STAR_SPAN, Span
+from siltstone.session import materialize
 
-# Versions of a key in one time slice, at about.
-PER_SLICE = 1024
+_VERSION, _FACT = 0, 1
+# A version's end breaks ties of starts, a hash those of whole versions; it also parts facts of one key and moment.
+_ORDER = ("_key", "_at", "_kind", "_v._end", "_tie")
 
 
-def version_cuts(dim: DataFrame, key: str, span: Span = STAR_SPAN, per_slice: int = PER_SLICE) -> DataFrame | None:
-    """Time cuts (`key`, `_cuts`) that leave about `per_slice` versions of a key in a slice, however many it has;
-    None if no key needs one, which leaves a plain join whose hot keys are split at run time.
+@dataclass(frozen=True)
+class _Stream:
+    """The written stream (_key, _at, _kind, _v, _f, _tie, _part, _id) and what was asked of it."""
 
-    A fact would else be compared with every version of its key. Version starts are counted by key and hour before
-    they are shuffled, so that what is cumulated over a key is hours, not versions.
-    """
-    hours = dim.groupBy(key, F.date_trunc("hour", span.start).alias("_hour")).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(key).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
-    slices = hours.select(key, F.col("_hour").cast("timestamp_ntz").alias("_hour"), F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / per_slice).alias("_slice"))
-    cuts = slices.filter("_slice > 0").groupBy(key, "_slice").agg(F.min("_hour").alias("_cut"))
-    cuts = cuts.groupBy(key).agg(F.sort_array(F.collect_list("_cut")).alias("_cuts"))
-    return None if cuts.isEmpty() else cuts
+    rows: DataFrame
+    closed: str
+
+    @property
+    def versions(self) -> DataFrame:
+        return self.rows.filter(F.col("_kind") == _VERSION)
+
+    @property
+    def facts(self) -> DataFrame:
+        return self.rows.filter(F.col("_kind") == _FACT).select("_key", "_at", "_f", "_id")
+
+    def before_end(self, end: Column) -> Column:
+        return F.col("_at") <= end if self.closed == "both" else F.col("_at") < end
+
+
+def _stream(facts: DataFrame, dim: DataFrame, key: str, at: str, columns: dict[str, str], closed: str, span: Span) -> _Stream:
+    version = F.struct(F.col(span.end).alias("_end"), *[F.col(c).alias(n) for c, n in columns.items()])
+    v = dim.select(F.col(key).alias("_key"), F.col(span.start).alias("_at"), F.lit(_VERSION).alias("_kind"), version.alias("_v"))
+    f = facts.select(F.col(key).alias("_key"), F.col(at).alias("_at"), F.lit(_FACT).alias("_kind"), F.struct(*facts.columns).alias("_f"))
+    rows = v.unionByName(f, allowMissingColumns=True).filter(F.col("_key").isNotNull() & F.col("_at").isNotNull()).withColumn(
+        "_tie", F.xxhash64("_v", "_f"))
+    placed = rows.sort(*_ORDER).withColumns({"_part": F.spark_partition_id(), "_id": F.monotonically_increasing_id()})
+    return _Stream(materialize(placed, "as-of"), closed)
+
+
+def _neighbour(parts: DataFrame, value: str, forward: bool) -> Column:
+    """Per partition of the stream, the value of the nearest one before (or after) it that has any. One row per partition is all
+    there is to order, so this window may run in one task."""
+    order = F.asc("_part") if forward else F.desc("_part")
+    return F.last(value, ignorenulls=True).over(Window.partitionBy(F.lit(0)).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+
+
+def _carried(stream: _Stream) -> DataFrame:
+    """The facts with the version that starts last before or at them (`_v`, `_start`; NULL if the key has none by then)."""
+    version = F.when(F.col("_kind") == _VERSION, F.struct("_key", "_at", "_v"))
+    so_far = Window.partitionBy("_part").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = stream.rows.withColumn("_last", F.last(version, ignorenulls=True).over(so_far)).filter(F.col("_kind") == _FACT)
+    parts = stream.rows.groupBy("_part").agg(F.max_by(version, F.when(F.col("_kind") == _VERSION, F.struct(*_ORDER))).alias("_ends_with"))
+    handed = parts.select("_part", _neighbour(parts, "_ends_with", True).alias("_handed"))
+    found = own.join(F.broadcast(handed), "_part").withColumn("_found", F.coalesce("_last", "_handed"))
+    same = F.col("_found._key") == F.col("_key")
+    return found.select("_key", "_at", "_f", "_id", F.when(same, F.col("_found._v")).alias("_v"), F.when(same, F.col("_found._at")).alias("_start"))
 
 
-def _slice(at: Column) -> Column:
-    """Number of cuts at or before a time, by halving; 0 for keys without cuts."""
-    def halve(state: Column, _: Column) -> Column:
-        middle = F.shiftright(state["lo"] + state["hi"], 1)
-        after = (state["lo"] < state["hi"]) & (F.get("_cuts", middle) <= at)
-        return F.struct(F.when(after, middle + 1).otherwise(state["lo"]).alias("lo"),
-                        F.when((state["lo"] < state["hi"]) & ~F.coalesce(after, F.lit(False)), middle).otherwise(state["hi"]).alias("hi"))
+def _reaching(stream: _Stream) -> DataFrame:
+    """Versions that reach the start of their successor (`_next`) or beyond it."""
+    start = F.struct("_key", "_at")
+    parts = stream.rows.groupBy("_part").agg(F.min(F.when(F.col("_kind") == _VERSION, start)).alias("_begins_with"))
+    following = parts.select("_part", _neighbour(parts, "_begins_with", False).alias("_following"))
+    rows = stream.versions.withColumn("_after", F.lead(start).over(Window.partitionBy("_part").orderBy(*_ORDER))).join(
+        F.broadcast(following), "_part").withColumn("_after", F.coalesce("_after", "_following"))
+    return rows.filter(F.col("_after._key") == F.col("_key")).select(
+        F.col("_key").alias("_vkey"), F.col("_after._at").alias("_next"), "_v").filter(F.col("_v._end") >= F.col("_next"))
 
-    steps = F.sequence(F.lit(0), F.ceil(F.log2(F.size("_cuts") + F.lit(1.0))).cast("int"))
-    start = F.struct(F.lit(0).alias("lo"), F.size("_cuts").alias("hi"))
-    return F.when(F.col("_cuts").isNull() | at.isNull(), F.lit(0)).otherwise(F.aggregate(steps, start, halve, lambda s: s["lo"]))
 
+def _overlapped(stream: _Stream, reaching: DataFrame) -> DataFrame:
+    """Facts with the earlier versions that are still valid after the start of a later one.
 
-def as_of_join(facts: DataFrame, dim: DataFrame, key: str, at: str, columns: dict[str, str], closed: str = "both",
-               span: Span = STAR_SPAN, cuts: DataFrame | None = None) -> DataFrame:
+    The facts are read within the bounds of such versions, which the scan gets at run time; where there are none it reads nothing.
+    """
+    longer = reaching.filter(F.col("_v._end") > F.col("_next"))
+    low_key, high_key, low, high = (longer.agg(c).scalar() for c in (F.min("_vkey"), F.max("_vkey"), F.min("_next"), F.max("_v._end")))
+    facts = stream.facts.filter(F.col("_key").between(low_key, high_key) & F.col("_at").between(low, high))
+    return facts.join(longer, F.col("_key") == F.col("_vkey")).filter((F.col("_at") >= F.col("_next")) & stream.before_end(F.col("_v._end"))).select(
+        "_f", "_id", "_v")
+
+
+def _matches(stream: _Stream) -> tuple[DataFrame, DataFrame]:
+    """(_f, _id, _v) of each fact and version that meet: by the carried versions, and by all others."""
+    carried, reaching = _carried(stream), _reaching(stream)
+    main = carried.filter(stream.before_end(F.col("_v._end"))).select("_f", "_id", "_v")
+    others = _overlapped(stream, reaching)
+    if stream.closed == "both":  # a fact at the very start of a version also meets those that end there
+        ending = reaching.filter(F.col("_v._end") == F.col("_next")).select("_vkey", "_next", F.col("_v").alias("_other"))
+        on_border = carried.filter(F.col("_at") == F.col("_start")).drop("_v")
+        meets = (F.col("_key") == F.col("_vkey")) & (F.col("_at") == F.col("_next"))
+        others = others.unionByName(on_border.join(ending, meets).select("_f", "_id", F.col("_other").alias("_v")))
+    return main, others
+
+
+def as_of_join(facts: DataFrame, dim: DataFrame, key: str, at: str, columns: dict[str, str], closed: str = "both", span: Span = STAR_SPAN) -> DataFrame:
     """ASOF-1: facts with `columns` (dimension column → new name) of the valid version.
 
-    Inner: a fact without a valid version drops. `closed="both"` counts both ends, so a
-    fact exactly on the border of two versions meets both; `closed="left"` counts the
-    start only. The key is an equi-join (hash or merge join by size, hot keys split at run
-    time), the interval a condition on it. With `cuts`, facts and versions are also joined on their
-    time slice, and a version is given to every slice that it reaches into; the result is the same.
+    Inner: a fact without a valid version drops, as does one without a key or a time; `as_of_misses` lists them.
+    `closed="both"` counts both ends, so a fact exactly on the border of two versions meets both; `closed="left"` counts
+    the start only. Versions may have gaps, no length, equal starts, or overlap: a fact meets every one that holds its time.
+    """
+    main, others = _matches(_stream(facts, dim, key, at, columns, closed, span))
+    return main.unionByName(others).select("_f.*", *[F.col(f"_v.{n}").alias(n) for n in columns.values()])
+
+
+# Why a fact meets no version.
+NO_KEY, NO_TIME, UNKNOWN, EARLY, GAP, LATE = "no key", "no time", "unknown key", "before the first version", "between two versions", "after the last version"
+
+
+def as_of_misses(facts: DataFrame, dim: DataFrame, key: str, at: str, closed: str = "both", span: Span = STAR_SPAN) -> DataFrame:
+    """DQ-5 for as-of joins: the facts that `as_of_join` drops, each once, with the `reason`.
+
+    Together with the facts that it keeps these are all facts. Only the misses meet the first and last start of their key.
     """
-    versions = dim.select(F.col(key), F.col(span.start).alias("_from"), F.col(span.end).alias("_to"),
-                          *[F.col(c).alias(n) for c, n in columns.items()])
-    on = [key]
-    if cuts is not None:
-        facts_in = facts.join(cuts, key, "left").withColumn("_slice", _slice(F.col(at))).drop("_cuts")
-        reach = F.sequence(_slice(F.col("_from")), F.greatest(_slice(F.col("_from")), _slice(F.col("_to"))))
-        versions = versions.join(cuts, key, "left").withColumn("_slice", F.explode(reach)).drop("_cuts")
-        on = [key, "_slice"]
-    else:
-        facts_in = facts
-    f, v = facts_in.alias("f"), versions.alias("v")
-    before_end = F.col(f"f.{at}") <= F.col("v._to") if closed == "both" else F.col(f"f.{at}") < F.col("v._to")
-    condition = (F.col(f"f.{at}") >= F.col("v._from")) & before_end
-    for c in on:
-        condition = condition & (F.col(f"f.{c}") == F.col(f"v.{c}"))
-    return f.join(v, condition).select(*[F.col(f"f.{c}") for c in facts.columns], *[F.col(f"v.{n}") for n in columns.values()])
+    stream = _stream(facts, dim, key, at, {}, closed, span)
+    _, others = _matches(stream)
+    missed = _carried(stream).filter(~F.coalesce(stream.before_end(F.col("_v._end")), F.lit(False))).join(others.select("_id"), "_id", "left_anti")
+    starts = dim.filter(F.col(span.start).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.min(span.start).alias("_first"), F.max(span.start).alias("_final"))
+    reason = F.when(F.col("_first").isNull(), UNKNOWN).when(F.col("_at") < F.col("_first"), EARLY).when(F.col("_at") < F.col("_final"), GAP).otherwise(LATE)
+    found = missed.join(starts, "_key", "left").select("_f.*", reason.alias("reason"))
+    absent = F.when(F.col(key).isNull(), NO_KEY).otherwise(NO_TIME)
+    return found.unionByName(facts.filter(F.col(key).isNull() | F.col(at).isNull()).withColumn("reason", absent))

@@ -1,8 +1,8 @@
 """Versioned facts: a fact row has validity columns like a dimension row.
 
 Order inside a load, as in the model: soft deletes, new rows, changes that need no
-history (written in place), changes that do (close and append). The lists of new and
-of in-place keys are fixed before anything is appended, and are written once.
+history (written in place), changes that do (close and append). Which keys are new and which
+are written in place is decided on the state before anything is appended.
 """
 
 from __future__ import annotations
@@ -13,26 +13,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.functions.dates import OPEN_END, OPEN_START, date_key, timestamp
-from siltstone.operators.asof import as_of_join, version_cuts
+from siltstone.operators.asof import as_of_join
+from siltstone.operators.filters import known_filter
 from siltstone.operators.scd import STAR_SPAN, Span, _fit, _seen, is_live
 from siltstone.session import materialize
 
-Cuts = tuple[DataFrame | None, DataFrame | None]
-
-
-def dimension_cuts(dim_inventory: DataFrame, dim_staff: DataFrame, span: Span = STAR_SPAN) -> Cuts:
-    """Time cuts of both dimensions, measured once for all facts of a load."""
-    return version_cuts(dim_inventory, "inventory_id", span), version_cuts(dim_staff, "staff_id", span)
-
-
-def _resolve(staged: DataFrame, dim_inventory: DataFrame, dim_staff: DataFrame, closed: str, span: Span,
-             cuts: Cuts | None) -> DataFrame:
+def _resolve(staged: DataFrame, dim_inventory: DataFrame, dim_staff: DataFrame, closed: str, span: Span) -> DataFrame:
     """Staged facts with the row keys of the disc and staff versions valid at their last update."""
-    inventory_cuts, staff_cuts = cuts or dimension_cuts(dim_inventory, dim_staff, span)
     rows = as_of_join(staged, dim_inventory, "inventory_id", "last_update",
-                      {"inventory_pk": "inventory_fk", span.start: "_inventory_from"}, closed, span, inventory_cuts)
+                      {"inventory_pk": "inventory_fk", span.start: "_inventory_from"}, closed, span)
     return as_of_join(rows, dim_staff, "staff_id", "last_update", {"staff_pk": "staff_fk", span.start: "_staff_from"},
-                      closed, span, staff_cuts)
+                      closed, span)
 
 
 def _versioned(rows: DataFrame, first: Column, span: Span) -> DataFrame:
@@ -42,61 +33,64 @@ def _versioned(rows: DataFrame, first: Column, span: Span) -> DataFrame:
 
 
 def load_fact_payment(fact: DataFrame, staged: DataFrame, dim_inventory: DataFrame, dim_staff: DataFrame,
-                      calendar: DataFrame, closed: str = "both", span: Span = STAR_SPAN,
-                      cuts: Cuts | None = None, save: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
+                      calendar: DataFrame, closed: str = "both", span: Span = STAR_SPAN) -> DataFrame:
     """FCT-1: amount, payment date and rental are historised; disc and staff are not.
 
     A staged payment equal in the historised columns to the version valid at its last
     update only has that version's disc and staff keys rewritten. If several versions of
     a disc or member of staff match (a border), the one that starts last is written.
+
+    Versions, staged rows and what these resolve to are dealt by payment once; what a payment's rows have to know of each
+    other, they read from windows over it. Versions that ended before the oldest staged change can't be valid at any
+    of them: they pass by, and of them only keys are looked at.
     """
     key = "payment_id"
-    soft = is_live(span) & F.col("_gone_at").isNotNull()
-    end = F.when(soft, F.col("_gone_at")).otherwise(F.col(span.end))
-    valid = F.col("_at").between(F.col(span.start), end)
-
-    marks = staged.select(key, F.col("deleted").alias("_gone_at"), F.col("last_update").alias("_at"),
-                          F.col("amount").alias("_amount"), F.col("rental_id").alias("_rental"),
-                          date_key(F.col("payment_date")).alias("_date"))
-    equal = valid & (F.col("amount") == F.col("_amount")) & (F.col("payment_date_fk") == F.col("_date")) & (
-        F.col("rental_id") == F.col("_rental"))
-    known = fact.join(marks, key).groupBy(key).agg(F.max(F.coalesce(equal, F.lit(False))).alias("_equal")).withColumn("_known", F.lit(True))
-    first, in_place = F.col("_first"), F.col("_in_place")
-    state = save(staged.join(known, key, "left").withColumns({
-        "_first": F.col("_known").isNull(), "_in_place": F.coalesce("_equal", F.lit(False))}).drop("_equal", "_known"), "payments")
+    oldest = staged.agg(F.min("last_update")).scalar()
+    reached = is_live(span) | F.coalesce(F.col(span.end) >= oldest, F.lit(False))
+    past = fact.filter(~reached)
+    ended = past.filter(known_filter(staged, key)).select(key).distinct().withColumn("_ended", F.lit(True))
+    marks = staged.join(ended, key, "left").select(key, F.struct(
+        F.col("deleted").alias("gone_at"), F.col("last_update").alias("at"), "amount", "rental_id",
+        date_key(F.col("payment_date")).alias("day"), F.col("_ended").isNotNull().alias("ended")).alias("_mark"))
+    days = calendar.select(F.col("date_pk").alias("payment_date_fk"), F.lit(True).alias("_in_calendar"))
+    resolved = _resolve(staged, dim_inventory, dim_staff, closed, span).withColumn("payment_date_fk", date_key(F.col("payment_date"))).join(
+        days, "payment_date_fk", "left")
+    found = resolved.select(key, F.struct(*[c for c in resolved.columns if c != key]).alias("_new"))
+    rows = fact.filter(reached).select(key, F.struct(*fact.columns).alias("_row")).unionByName(marks, True).unionByName(found, True)
+
+    payment, row, new, mark = Window.partitionBy(key), F.col("_row"), F.col("_new"), F.col("_mark")
+    rows = rows.withColumns({
+        "_mark": F.max("_mark").over(payment), "_known": F.max(row.isNotNull()).over(payment),
+        "_last_inventory": F.max(F.struct(new["_inventory_from"], new["inventory_fk"].alias("fk"))).over(payment)["fk"],
+        "_last_staff": F.max(F.struct(new["_staff_from"], new["staff_fk"].alias("fk"))).over(payment)["fk"]})
+    live, gone = row[span.active].eqNullSafe(F.lit(True)), mark["gone_at"].isNotNull()
+    end = F.when(live & gone, mark["gone_at"]).otherwise(row[span.end])
+    valid = mark["at"].between(row[span.start], end)
+    equal = valid & (row["amount"] == mark["amount"]) & (row["payment_date_fk"] == mark["day"]) & (row["rental_id"] == mark["rental_id"])
+    rows = rows.withColumn("_in_place", F.max(F.coalesce(equal, F.lit(False))).over(payment))
+    in_place, first = F.col("_in_place"), ~F.col("_known") & ~mark["ended"]
 
-    resolved = _resolve(state, dim_inventory, dim_staff, closed, span, cuts)
-    same_payment = Window.partitionBy(key)
-    last_inventory = F.max(F.struct("_inventory_from", "inventory_fk")).over(same_payment)
-    last_staff = F.max(F.struct("_staff_from", "staff_fk")).over(same_payment)
-    resolved = resolved.withColumns({"_last_inventory": last_inventory["inventory_fk"], "_last_staff": last_staff["staff_fk"]})
-
-    # A new row is itself valid at its last update unless it was deleted before that.
-    settles = first & (F.col("last_update") <= F.coalesce("deleted", timestamp(OPEN_END)))
-    added = resolved.filter(first | (~in_place & F.col("deleted").isNull())).withColumns({
-        "inventory_fk": F.when(settles, F.col("_last_inventory")).otherwise(F.col("inventory_fk")),
-        "staff_fk": F.when(settles, F.col("_last_staff")).otherwise(F.col("staff_fk")),
-        "payment_date_fk": date_key(F.col("payment_date"))})
-    in_calendar = calendar.select(F.col("date_pk").alias("payment_date_fk"))
-    added = _versioned(added.join(in_calendar, "payment_date_fk"), first, span)
-
-    rewrites = resolved.filter(in_place).select(key, "_last_inventory", "_last_staff").dropDuplicates([key])
-    actions = state.filter(~first).select(key, F.col("deleted").alias("_gone_at"), F.col("last_update").alias("_at"),
-                                          "_in_place").join(rewrites, key, "left")
     rewritten = in_place & F.col("_last_inventory").isNotNull() & valid
-    closes = is_live(span) & F.col("_gone_at").isNull() & ~in_place
-    updated = fact.join(actions, key, "left").select(*[{
-        "inventory_fk": F.when(rewritten, F.col("_last_inventory")).otherwise(F.col("inventory_fk")),
-        "staff_fk": F.when(rewritten, F.col("_last_staff")).otherwise(F.col("staff_fk")),
-        span.end: F.when(closes, F.col("_at")).otherwise(end),
-        span.active: F.when(soft | closes, F.lit(False)).otherwise(F.col(span.active)),
-    }.get(c, F.col(c)).alias(c) for c in fact.columns])
-    return updated.unionByName(_fit(added, fact))
+    closes = live & mark.isNotNull() & ~gone & ~in_place
+    kept = {"inventory_fk": F.when(rewritten, F.col("_last_inventory")).otherwise(row["inventory_fk"]),
+            "staff_fk": F.when(rewritten, F.col("_last_staff")).otherwise(row["staff_fk"]),
+            span.end: F.when(closes, mark["at"]).otherwise(end),
+            span.active: F.when((live & gone) | closes, F.lit(False)).otherwise(row[span.active])}
+    # A new row is itself valid at its last update unless it was deleted before that.
+    settles = first & (new["last_update"] <= F.coalesce(new["deleted"], timestamp(OPEN_END)))
+    added = {key: F.col(key), "rental_id": new["rental_id"], "amount": new["amount"], "payment_date_fk": new["payment_date_fk"],
+             "inventory_fk": F.when(settles, F.col("_last_inventory")).otherwise(new["inventory_fk"]),
+             "staff_fk": F.when(settles, F.col("_last_staff")).otherwise(new["staff_fk"]),
+             span.start: F.when(first, timestamp(OPEN_START)).otherwise(new["last_update"]),
+             span.end: F.coalesce(new["deleted"], timestamp(OPEN_END)), span.active: new["deleted"].isNull()}
+    is_added = new.isNotNull() & (first | (~in_place & new["deleted"].isNull())) & new["_in_calendar"]
+    shaped = [F.when(row.isNotNull(), kept.get(c, row[c])).otherwise(added.get(c, F.lit(None))).cast(t).alias(c) for c, t in fact.dtypes]
+    return past.unionByName(rows.filter(row.isNotNull() | is_added).select(*shaped))
 
 
 def load_fact_rental(fact: DataFrame, staged: DataFrame, dim_inventory: DataFrame, dim_staff: DataFrame,
                      calendar: DataFrame, closed: str = "both", span: Span = STAR_SPAN,
-                     cuts: Cuts | None = None, save: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
+                     save: Callable[[DataFrame, str], DataFrame] = materialize) -> DataFrame:
     """FCT-2: a return date that merely arrives is written in place; any other change is historised."""
     key = "rental_id"
     marks = staged.filter(F.col("return_date").isNotNull() & F.col("deleted").isNull()).select(
@@ -118,7 +112,7 @@ def load_fact_rental(fact: DataFrame, staged: DataFrame, dim_inventory: DataFram
 
     added = state.filter(first | (~in_place & F.col("deleted").isNull())).withColumn(
         "rental_date_fk", date_key(F.col("rental_date")))
-    added = _resolve(added, dim_inventory, dim_staff, closed, span, cuts).join(
+    added = _resolve(added, dim_inventory, dim_staff, closed, span).join(
         days.withColumnRenamed("date_pk", "rental_date_fk"), "rental_date_fk")
     added = _versioned(added, first, span)
 

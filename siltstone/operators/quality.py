@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -61,6 +62,19 @@ def check_reference(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> Da
         F.lit("reference").alias("check"), F.lit(fk).alias("subject"), "violations")
 
 
+def missing_parents(child: DataFrame, key: str, parents: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """DQ-5 by row: (row_key, fk, parent_key) of each child row and foreign key that has no parent row, which an inner join with
+    the parent drops. A NULL key passes.
+
+    `parents` says for each foreign key the parent and its key. Rows are expanded to one per foreign key, so all
+    parents are met in one anti-join.
+    """
+    wanted = child.select(F.col(key).alias("row_key"), F.inline(F.array(*[
+        F.struct(F.lit(fk).alias("fk"), F.col(fk).cast("bigint").alias("parent_key")) for fk in parents])))
+    known = reduce(DataFrame.unionByName, [p.select(F.lit(fk).alias("fk"), F.col(pk).cast("bigint").alias("parent_key")) for fk, (p, pk) in parents.items()])
+    return wanted.filter(F.col("parent_key").isNotNull()).join(known.distinct(), ["fk", "parent_key"], "left_anti").select("row_key", "fk", "parent_key")
+
+
 def check_schema(df: DataFrame, not_null: Sequence[str] = (), lengths: Mapping[str, int] | None = None) -> DataFrame:
     """NOT NULL and length declarations of a table, in one pass."""
     tests = {f"{c} not null": F.col(c).isNull() for c in not_null}

@@ -6,7 +6,7 @@ lists of a step are taken from the state before the step, never after its insert
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.dates import OPEN_END, OPEN_START, timestamp
 from siltstone.functions.hashing import row_hash
+from siltstone.operators.filters import known_filter
 
 
 @dataclass(frozen=True)
@@ -161,22 +162,31 @@ def scd2_hash(dim: DataFrame, snapshot: DataFrame, key: str, load_ts: str, chang
     Keys without any version get one. Live keys missing in the snapshot end at the
     load time (also discs and staff, for which the missing row has no deletion time to
     give). Live keys with another hash end at the change and continue from there. A
-    key that comes back after it ended is not opened again. History rows are not joined.
+    key that comes back after it ended is not opened again.
+
+    One full outer join of the live versions with the snapshot gives each of them one or two rows. History passes by: only
+    its keys are looked at, and of these only such as a filter of the keys without a live version lets through.
     """
+    live, now = is_live(span), F.col("_now")
     current = snapshot.withColumn(hash_column, row_hash(snapshot.columns))
-    live = is_live(span)
-
-    marks = current.select(key, F.col(hash_column).alias("_hash"), F.col(changed_at).alias("_at"))
-    missing = F.col("_hash").isNull()
-    changed = F.col(hash_column) != F.col("_hash")
-    ended = missing | changed
-    kept = dim.filter(live).join(marks, key, "left").withColumns({
-        span.end: F.when(missing, timestamp(load_ts)).when(changed, F.col("_at")).otherwise(F.col(span.end)),
-        span.active: ~ended}).select(*dim.columns)
-
-    known = dim.groupBy(key).agg(F.max(F.when(live, F.col(hash_column))).alias("_live_hash"), F.lit(True).alias("_known"))
-    first = F.col("_known").isNull()
-    added = current.join(known, key, "left").filter(first | (F.col("_live_hash") != F.col(hash_column))).withColumns({
-        span.start: F.when(first, timestamp(OPEN_START)).otherwise(F.col(changed_at)),
-        span.end: timestamp(OPEN_END), span.active: F.lit(True)})
-    return dim.filter(~live).unionByName(kept).unionByName(_fit(added, dim))
+    opened, history = dim.filter(live), dim.filter(~live)
+    unmatched = snapshot.select(key).join(opened.select(key), key, "left_anti")
+    ended = history.filter(known_filter(unmatched, key)).select(key).distinct().withColumn("_ended", F.lit(True))
+    given = current.join(ended, key, "left").select(key, F.struct("*").alias("_now"))
+    both = opened.select(key, F.struct("*").alias("_was")).join(given, key, "full_outer")
+
+    was = F.col("_was")
+    changed = was[hash_column] != now[hash_column]
+    end = F.when(now.isNull(), timestamp(load_ts)).when(changed, now[changed_at])
+
+    def row(values: Mapping[str, Column]) -> Column:
+        return F.struct(*[values[c].cast(t).alias(c) for c, t in dim.dtypes])
+
+    kept = row({c: was[c] for c in dim.columns} | {
+        span.end: F.coalesce(end, was[span.end]), span.active: end.isNull()})
+    attributes = {c: now[c] if c in current.columns else F.lit(None) for c in dim.columns}
+    added = row(attributes | {span.start: F.when(was.isNull(), timestamp(OPEN_START)).otherwise(now[changed_at]),
+                              span.end: timestamp(OPEN_END), span.active: F.lit(True)})
+    rows = (F.when(was.isNotNull() & changed, F.array(kept, added)).when(was.isNotNull(), F.array(kept))
+            .when(now["_ended"].isNull(), F.array(added)))
+    return history.unionByName(both.select(F.inline(rows)))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.dates import timestamp
@@ -42,19 +42,23 @@ def load_link(link: DataFrame, staged: DataFrame, hash_key: str, hub_keys: Seque
     return link.unionByName(link_additions(link, staged, hash_key, hub_keys))
 
 
-def _ended(satellite: DataFrame, staged: DataFrame, key: str, diff: str, load_ts: str, full: bool) -> DataFrame:
-    """The open rows with the time at which this load ends them (NULL: they stay open)."""
-    incoming = staged.select(key, F.col("load_date").alias("_start"), F.col(diff).alias("_diff"))
-    end = F.when((F.col("hash_diff") != F.col("_diff")) & (F.col("_start") > F.col("load_date")), F.col("_start"))
-    if full:
-        end = end.when(F.col("_start").isNull(), timestamp(load_ts))
-    opened = satellite.filter(F.col("load_end_date").isNull())
-    return opened.join(incoming, key, "left").withColumn("load_end_date", end).select(*satellite.columns)
+def _meet(satellite: DataFrame, staged: DataFrame, key: str, how: str) -> DataFrame:
+    """The open rows (`_was`) and the staged rows (`_now`) by key."""
+    opened = satellite.filter(F.col("load_end_date").isNull()).select(key, F.struct("*").alias("_was"))
+    return opened.join(staged.select(key, F.struct("*").alias("_now")), key, how)
+
+
+def _end(diff: str, load_ts: str, full: bool) -> Column:
+    """When a load ends the open row of a pair (NULL: it stays open)."""
+    was, now = F.col("_was"), F.col("_now")
+    end = F.when((was["hash_diff"] != now[diff]) & (now["load_date"] > was["load_date"]), now["load_date"])
+    return end.when(now.isNull(), timestamp(load_ts)) if full else end
 
 
 def ending_rows(satellite: DataFrame, staged: DataFrame, key: str, diff: str, load_ts: str, full: bool = True) -> DataFrame:
     """The open rows that a load will end."""
-    return _ended(satellite, staged, key, diff, load_ts, full).filter(F.col("load_end_date").isNotNull())
+    pairs = _meet(satellite, staged, key, "left").withColumn("_end", _end(diff, load_ts, full)).filter(F.col("_end").isNotNull())
+    return pairs.select(*[(F.col("_end") if c == "load_end_date" else F.col("_was")[c]).alias(c) for c in satellite.columns])
 
 
 def load_satellite(satellite: DataFrame, staged: DataFrame, key: str, diff: str, payload: Sequence[str], load_ts: str,
@@ -63,18 +67,29 @@ def load_satellite(satellite: DataFrame, staged: DataFrame, key: str, diff: str,
 
     Appends where the key has no open row or another hash diff; ends the older open row
     where the newer one starts; with `full` (the staged rows are a whole snapshot) ends
-    open rows whose key is gone at the load time. Ended rows are not joined. The open
-    row of a key meets at most one staged row, so no self-join or window is needed.
+    open rows whose key is gone at the load time. The open row of a key meets at most one staged row, so one full outer
+    join gives the ended, the kept and the added rows together; ended rows pass by.
     `known` is the whole satellite where the first argument is only the part with rows
-    to end.
+    to end; open rows outside that part are then left out, since nothing happens to them.
     """
-    everything = satellite if known is None else known
-    current = everything.filter(F.col("load_end_date").isNull()).select(key, F.col("hash_diff").alias("_diff"))
-    added = staged.join(current, key, "left").filter(F.col("_diff").isNull() | (F.col("_diff") != F.col(diff))).select(
-        key, "load_date", F.lit(None).cast("timestamp_ntz").alias("load_end_date"), "record_source",
-        F.col(diff).alias("hash_diff"), *payload)
+    was, now = F.col("_was"), F.col("_now")
+
+    def row(values: Mapping[str, Column]) -> Column:
+        return F.struct(*[values[c].cast(t).alias(c) for c, t in satellite.dtypes])
+
+    end = _end(diff, load_ts, full)
+    kept = row({c: was[c] for c in satellite.columns} | {"load_end_date": end})
+    added = row({c: now[c] for c in (key, "load_date", "record_source", *payload)} | {"load_end_date": F.lit(None), "hash_diff": now[diff]})
+    differs = was.isNull() | (was["hash_diff"] != now[diff])
+    pairs = _meet(satellite if known is None else known, staged, key, "full_outer")
+    if known is not None:  # a part that is written anew has all its own rows, and of the others only what is added
+        own = satellite.filter(F.col("load_end_date").isNull()).select(key, F.lit(True).alias("_own"))
+        pairs = pairs.join(own, key, "left")
+        rows = F.filter(F.array(F.when(F.col("_own"), kept), F.when(now.isNotNull() & differs, added)), lambda r: r.isNotNull())
+    else:
+        rows = F.when(was.isNull(), F.array(added)).when(now.isNotNull() & differs, F.array(kept, added)).otherwise(F.array(kept))
     past = satellite.filter(F.col("load_end_date").isNotNull())
-    return past.unionByName(_ended(satellite, staged, key, diff, load_ts, full)).unionByName(added.select(*satellite.columns))
+    return past.unionByName(pairs.select(F.inline(rows)))
 
 
 def with_computed_diff(satellite: DataFrame, staged: DataFrame, payload: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -273,16 +273,14 @@ def _paid_rentals(spark, folder):
 def as_of_join_payment_inventory(spark, folder):
     dim = materialize(scd2_dim_inventory(spark, folder), "discs")
     return op.as_of_join(_paid_rentals(spark, folder), dim, "inventory_id", "last_update",
-                         {"title": "title", "rental_rate": "rental_rate", "effective_date_from": "inventory_from"},
-                         cuts=op.version_cuts(dim, "inventory_id"))
+                         {"title": "title", "rental_rate": "rental_rate", "effective_date_from": "inventory_from"})
 
 
 def as_of_join_boundary(spark, folder):
     dim = materialize(scd2_dim_inventory(spark, folder), "discs")
-    facts, cuts, counts = _paid_rentals(spark, folder), op.version_cuts(dim, "inventory_id"), None
+    facts, counts = _paid_rentals(spark, folder), None
     for closed in ("both", "left"):
-        hits = op.as_of_join(facts, dim, "inventory_id", "last_update", {"effective_date_from": "version"}, closed,
-                             cuts=cuts).select("payment_id", F.lit(closed).alias("closed"))
+        hits = op.as_of_join(facts, dim, "inventory_id", "last_update", {"effective_date_from": "version"}, closed).select("payment_id", F.lit(closed).alias("closed"))
         counts = hits if counts is None else counts.unionByName(hits)
     return counts.groupBy("payment_id").agg(
         F.count(F.when(F.col("closed") == "both", 1)).alias("matches_both"),
@@ -398,13 +396,14 @@ def rented_film_vault(spark, folder):
 
 def synthetic_rentals(spark, folder):
     source = RetailSource(spark, folder, 1)
-    rentals = source("rental")
+    rentals = source.rental_base()
     return op.synthetic_rentals(rentals, source.inventory_base(), source.film_base(), source("customer"),
                                 source.raw("supplier"), rentals.count(), base=0, draw=lambda i: ((i * 7919) % 1000) / 1000)
 
 
 def dq_not_null(spark, folder):
-    return op.check_not_null(RetailSource(spark, folder, 1)("rental"), ["rental_id", "rental_date", "return_date", "deleted"])
+    rentals = align_columns(RetailSource(spark, folder).rental_base(), {"deleted": "timestamp_ntz"})
+    return op.check_not_null(rentals, ["rental_id", "rental_date", "return_date", "deleted"])
 
 
 def dq_domain(spark, folder):
@@ -431,6 +430,26 @@ def dq_reference(spark, folder):
         op.check_reference(second("payment"), "staff_id", second("staff"), "staff_id"))
 
 
+def dq_asof_misses(spark, folder):
+    """Payments that the as-of join with the discs drops, with the reason."""
+    dim = materialize(scd2_dim_inventory(spark, folder), "discs")
+    return op.as_of_misses(_paid_rentals(spark, folder), dim, "inventory_id", "last_update")
+
+
+def dq_missing_parents(spark, folder):
+    """Changes of the second load that its inner joins drop, since a parent is missing."""
+    _, staged = _dims_before(spark, folder)
+    source = RetailSource(spark, folder)
+    rentals = extract_incremental("rental", spark, folder)
+    discs, people = scd2_merge_inventory(spark, folder), scd2_dim_staff(spark, folder)
+    reports = {
+        "inventory": op.missing_parents(staged["staging.inventory"], "inventory_id", {"film_id": (staged["staging.film"], "film_id")}),
+        "staff": op.missing_parents(staged["staging.staff"], "staff_id", {"store_id": (staged["staging.store"], "store_id")}),
+        "payment": op.missing_parents(source("payment"), "payment_id", {"rental_id": (source("rental"), "rental_id")}),
+        "rental": op.missing_parents(rentals, "rental_id", {"inventory_id": (discs, "inventory_id"), "staff_id": (people, "staff_id")})}
+    return reduce(DataFrame.unionByName, [r.select(F.lit(n).alias("table"), "*") for n, r in reports.items()])
+
+
 # ---------------------------------------------------------------- whole pipelines
 
 _PIPELINES = {"star": (STAR, star.run_star), "corporate": (CORPORATE, corporate.run_corporate), "vault": (VAULT, vault.run_vault)}
@@ -503,7 +522,7 @@ def registered() -> dict[str, Query]:
         scd2_dim_staff, scd2_dim_inventory, scd2_split_film_change, as_of_join_payment_inventory, as_of_join_boundary,
         fact_payment_star, fact_rental_star, calendar_full, calendar_short, sales_by_date_corp, sales_by_film_corp,
         mart_reader_by_date, mart_reader_by_film, rented_film_vault, synthetic_rentals, dq_not_null, dq_domain, dq_length,
-        dq_unique, dq_reference, scd2_merge_inventory, pipeline_star_fact_payment, pipeline_star_dim_inventory,
+        dq_unique, dq_reference, dq_asof_misses, dq_missing_parents, scd2_merge_inventory, pipeline_star_fact_payment, pipeline_star_dim_inventory,
         pipeline_star_sales_by_film, pipeline_corporate_fact_payment, pipeline_corporate_dim_film,
         pipeline_corporate_sales_by_film, pipeline_vault_hub_film, pipeline_vault_sat_rental_dynamic, pipeline_vault_rented_film)}
     for name in ("inventory", "staff", "rental"):

@@ -7,6 +7,7 @@ changed, soft-deleted, hard-deleted or merely touched in the second batch.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltstone.session import materialize
 
@@ -19,10 +20,9 @@ _CHANGED = {"dim": "TIMESTAMP_NTZ '2002-01-10 00:00:00'", "film": "TIMESTAMP_NTZ
             "fact": "TIMESTAMP_NTZ '2002-01-20 00:00:00'"}
 _GONE = "TIMESTAMP_NTZ '2002-01-15 00:00:00'"
 
-_FILM = ["CAST(FLOOR(p_partkey / 10) AS BIGINT) AS film_id", "p_name AS title", "p_type AS description",
-         "CAST(1990 + p_size % 30 AS INT) AS release_year", "CAST(p_size * 3 AS INT) AS length",
-         "p_size AS rental_duration", "CAST(p_retailprice AS DECIMAL(12,2)) AS rental_rate",
-         "CAST(p_retailprice * 2 AS DECIMAL(12,2)) AS replacement_cost", "p_brand AS rating"]
+_FILM = ["film_id", "title", "description", "CAST(1990 + size % 30 AS INT) AS release_year", "CAST(size * 3 AS INT) AS length",
+         "size AS rental_duration", "CAST(price AS DECIMAL(12,2)) AS rental_rate",
+         "CAST(price * 2 AS DECIMAL(12,2)) AS replacement_cost", "rating"]
 _INVENTORY = ["p_partkey AS inventory_id", "CAST(FLOOR(p_partkey / 10) AS BIGINT) AS film_id",
               "CAST(p_partkey % 25 AS BIGINT) AS store_id"]
 _STAFF = ["s_suppkey AS staff_id", "s_name AS first_name", "s_name AS last_name",
@@ -78,7 +78,11 @@ class RetailSource:
     # -- base rows, before any batch rule
 
     def film_base(self) -> DataFrame:
-        return self.raw("part").where("p_partkey % 10 = 0").selectExpr(*_FILM)
+        """A film for each ten parts, which are its discs."""
+        parts = self.raw("part").groupBy(F.expr("CAST(FLOOR(p_partkey / 10) AS BIGINT)").alias("film_id")).agg(
+            F.min("p_name").alias("title"), F.min("p_type").alias("description"), F.max("p_size").alias("size"),
+            F.max("p_retailprice").alias("price"), F.min("p_brand").alias("rating"))
+        return parts.selectExpr(*_FILM)
 
     def inventory_base(self) -> DataFrame:
         return self.raw("part").selectExpr(*_INVENTORY)

@@ -139,28 +139,45 @@ def test_as_of_join_against_brute_force(spark, closed):
     df = rows(spark, facts, "id int, k int, at timestamp_ntz")
     inside = lambda t, v: v[1] <= t and (t <= v[2] if closed == "both" else t < v[2])
     want = sorted((f[0], v[3]) for f in facts for v in versions if v[0] == f[1] and inside(f[2], v))
-    cuts = op.version_cuts(dim, "k", per_slice=50)
-    assert [(r.k, len(r._cuts)) for r in cuts.collect()] == [(0, 3)]
-    for c in (None, cuts, op.version_cuts(dim, "k", per_slice=1)):
-        got = op.as_of_join(df, dim, "k", "at", {"v": "v"}, closed, cuts=c)
-        assert got.columns == ["id", "k", "at", "v"]
-        assert sorted((r.id, r.v) for r in got.collect()) == want
-    assert op.version_cuts(dim, "k", per_slice=500) is None
-
-
-def test_slices_grow_with_the_versions(spark):
-    """A key with 100,000 versions, and a third of the facts on it: each fact meets one slice of versions."""
-    dim = spark.range(100_000).selectExpr("0 AS k", "timestampadd(HOUR, CAST(id AS INT), TIMESTAMP_NTZ '1990-01-01') AS effective_date_from",
-                                          "timestampadd(SECOND, CAST(id AS INT) * 3600 + 3599, TIMESTAMP_NTZ '1990-01-01') AS effective_date_to", "id AS v")
-    dim = dim.unionByName(spark.range(1, 200).selectExpr("CAST(id AS INT) AS k", "TIMESTAMP_NTZ '1990-01-01' AS effective_date_from",
-                                                         "TIMESTAMP_NTZ '9999-12-31' AS effective_date_to", "id AS v"))
-    facts = spark.range(3000).selectExpr("id", "CAST(IF(id % 3 = 0, 0, id % 200) AS INT) AS k",
-                                         "timestampadd(MINUTE, CAST(id * 1999 AS INT) + 7, TIMESTAMP_NTZ '1990-01-01') AS at")
-    cuts = op.version_cuts(dim, "k")
-    assert [(r.k, len(r._cuts)) for r in cuts.collect()] == [(0, 97)]
-    got = op.as_of_join(facts, dim, "k", "at", {"v": "v"}, cuts=cuts).collect()
-    assert {(r.id, r.v) for r in got} == {(i, (i * 1999 + 7) // 60 if i % 3 == 0 or i % 200 == 0 else i % 200) for i in range(3000)
-                                          if (i * 1999 + 7) // 60 < 100_000 or (i % 3 and i % 200)}
+    got = op.as_of_join(df, dim, "k", "at", {"v": "v"}, closed)
+    assert got.columns == ["id", "k", "at", "v"]
+    assert sorted((r.id, r.v) for r in got.collect()) == want
+
+
+@pytest.mark.parametrize("closed", ["both", "left"])
+def test_as_of_join_and_misses_with_any_intervals(spark, closed):
+    """Versions with gaps, without length, with equal starts, repeated, nested and ending before they start; facts without key or time."""
+    rng = random.Random(11)
+    versions = [(k, DAY0 + timedelta(a), DAY0 + timedelta(a + rng.randint(-1, 6)), n % 7) for n, (k, a) in
+                enumerate((rng.randint(0, 8), rng.randint(0, 40)) for _ in range(120))]
+    versions += versions[:5] + [(None, DAY0, DAY0 + timedelta(50), 1)]
+    facts = [(i, rng.choice([None, *range(11)]), None if i % 50 == 0 else DAY0 + timedelta(rng.randint(-3, 50))) for i in range(600)]
+    dim = rows(spark, versions, "k int, effective_date_from timestamp_ntz, effective_date_to timestamp_ntz, v int").repartition(5)
+    df = rows(spark, facts + facts[:30], "id int, k int, at timestamp_ntz").repartition(3)
+    inside = lambda t, v: v[1] <= t and (t <= v[2] if closed == "both" else t < v[2])
+    meets = lambda f: [v[3] for v in versions if None not in f and v[0] == f[1] and inside(f[2], v)]
+    want = sorted((f[0], v) for f in facts + facts[:30] for v in meets(f))
+    assert sorted((r.id, r.v) for r in op.as_of_join(df, dim, "k", "at", {"v": "v"}, closed).collect()) == want
+
+    def reason(f):
+        starts = sorted(v[1] for v in versions if v[0] == f[1])
+        if None in f:
+            return "no key" if f[1] is None else "no time"
+        if not starts or f[2] < starts[0]:
+            return "before the first version" if starts else "unknown key"
+        return "between two versions" if f[2] < starts[-1] else "after the last version"
+
+    missed = [(f[0], reason(f)) for f in facts + facts[:30] if not meets(f)]
+    assert sorted((r.id, r.reason) for r in op.as_of_misses(df, dim, "k", "at", closed).collect()) == sorted(missed)
+    assert {r for _, r in missed} == {"no key", "no time", "unknown key", "before the first version", "between two versions", "after the last version"}
+
+
+def test_as_of_join_of_empty_tables(spark):
+    dim = rows(spark, [(1, DAY0, DAY0 + timedelta(9), 5)], "k int, effective_date_from timestamp_ntz, effective_date_to timestamp_ntz, v int")
+    df = rows(spark, [(1, 1, DAY0), (2, 3, DAY0)], "id int, k int, at timestamp_ntz")
+    assert [tuple(r) for r in op.as_of_join(df, dim, "k", "at", {"v": "w"}).collect()] == [(1, 1, DAY0, 5)]
+    for a, b in ((df.limit(0), dim), (df, dim.limit(0)), (df.limit(0), dim.limit(0))):
+        assert op.as_of_join(a, b, "k", "at", {"v": "v"}).isEmpty() and op.as_of_misses(a, b, "k", "at").count() == a.count()
 
 
 def test_calendar(spark):

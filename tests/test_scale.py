@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from siltstone import materialize
 from siltstone import operators as op
+from siltstone.operators import asof
 from siltstone.plans import marts
 from siltstone.schemas import STAR, columns
 from siltstone.sources import RetailSource
@@ -79,12 +80,25 @@ def hot(spark):
     return facts, dim
 
 
-def test_hot_disc_is_split_in_the_as_of_join(spark, conf, hot):
-    conf(NO_BROADCAST | SMALL_SKEW)
-    facts, dim = hot
-    df = op.as_of_join(facts, dim, "inventory_id", "last_update", {"inventory_pk": "inventory_fk"})
-    assert "skew=true" in final_plan(df)
-    assert df.count() == 60000 and df.filter("inventory_fk <> inventory_id").isEmpty()
+def test_hot_key_and_moment_are_spread_in_the_as_of_join(spark, conf):
+    """100,000 versions of one key within one hour, a third of the facts on it, half of these at one moment: no slice of the stream
+    has much more than its share, and each fact meets its version."""
+    conf(NO_BROADCAST)
+    first = "TIMESTAMP_NTZ '2002-01-05 00:00:00'"
+    dim = spark.range(100_000).selectExpr("7L AS k", f"timestampadd(MILLISECOND, CAST(id AS INT) * 36, {first}) AS effective_date_from",
+                                          f"timestampadd(MILLISECOND, CAST(id AS INT) * 36 + 36, {first}) AS effective_date_to", "id AS v")
+    dim = dim.unionByName(spark.range(100, 5000).selectExpr("id AS k", "TIMESTAMP_NTZ '1900-01-01' AS effective_date_from",
+                                                            "TIMESTAMP_NTZ '2199-01-01' AS effective_date_to", "id AS v"))
+    facts = spark.range(90_000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7L ELSE 100 + id % 4900 END AS k",
+                                           f"timestampadd(MILLISECOND, CASE WHEN id % 2 = 0 THEN 1000 ELSE CAST(id AS INT) * 36 + 5 END, {first}) AS at")
+    stream = asof._stream(facts, dim, "k", "at", {"v": "v"}, "left", op.STAR_SPAN)
+    sizes = [r[0] for r in stream.rows.groupBy("_part").count().select("count").collect()]
+    assert sum(sizes) == 194_900 and max(sizes) < 1.5 * sum(sizes) / len(sizes)
+    got = op.as_of_join(facts, dim, "k", "at", {"v": "v"}, "left")
+    wrong = got.filter("v <> CASE WHEN k <> 7 THEN k WHEN id % 2 = 0 THEN 27 ELSE id END")
+    assert got.count() == 90_000 and wrong.isEmpty()
+    for node in ("NestedLoop", "Cartesian", "SinglePartition"):
+        assert node not in plan(got)
 
 
 def test_hot_key_is_split_when_keys_are_replaced(spark, conf, hot):
