@@ -43,6 +43,11 @@ def day_key(expr: str) -> str:
     return f"CAST(STRFTIME({expr}, '%Y%m%d') AS INTEGER)"
 
 
+def drawn(row: str, purpose: str) -> str:
+    """A number in [0, 1) that seed 7, row and purpose decide."""
+    return f"(CAST('0x' || MD5('7/{purpose}/' || {row})[1:8] AS BIGINT) / 4294967296.0)"
+
+
 def full_calendar(days: str) -> str:
     """25 columns over a query with one DATE column d."""
     return f"""
@@ -451,12 +456,63 @@ def _statements() -> dict[str, str]:
         "SELECT g.id, g.rental_date, g.inventory_id, g.customer_id, g.rental_date + TO_DAYS(CAST(f.rental_duration AS INTEGER)) "
         "AS return_date, g.staff_id FROM (SELECT n.id, CAST(m.day AS TIMESTAMP) AS rental_date, CAST(FLOOR(n.r * m.discs) AS BIGINT) "
         "AS inventory_id, CAST(FLOOR(n.r * m.customers) AS BIGINT) AS customer_id, CAST(FLOOR(n.r * m.people) AS BIGINT) AS "
-        "staff_id FROM (SELECT id, CAST((id * 7919) % 1000 AS DOUBLE) / 1000 AS r FROM (SELECT UNNEST(RANGE(c)) AS id FROM "
+        f"staff_id FROM (SELECT id, {drawn('id', 'rental')} AS r FROM (SELECT UNNEST(RANGE(c)) AS id FROM "
         "(SELECT COUNT(*) AS c FROM rental0))) n, (SELECT (SELECT CAST(MAX(rental_date) AS DATE) + 1 FROM rental0) AS day, "
         "(SELECT COUNT(*) FROM inventory0) AS discs, (SELECT COUNT(*) FROM customer) AS customers, (SELECT COUNT(*) FROM "
         "staff0) AS people) m) g LEFT JOIN (SELECT i.inventory_id, f.rental_duration FROM inventory0 i JOIN film0 f ON "
         "f.film_id = i.film_id) f ON f.inventory_id = g.inventory_id")
 
+    kinds, upto = [], 0.0
+    for kind, share in (("update", 0.05), ("delete", 0.02), ("insert", 0.03), ("late", 0.02), ("repeat", 0.01)):
+        upto += share
+        kinds.append(f"WHEN u < CAST({upto!r} AS DOUBLE) THEN '{kind}'")
+    draw = lambda purpose: drawn("rental_id", purpose)
+    some = lambda purpose, table: f"CAST(FLOOR({draw(purpose)} * (SELECT COUNT(*) FROM {table})) AS BIGINT)"
+    s["synthetic_changes"] = (
+        "SELECT CASE WHEN n THEN rental_id + 1 + (SELECT MAX(rental_id) FROM rental0) ELSE rental_id END AS rental_id, "
+        "CASE WHEN n THEN TIMESTAMP '2002-01-31 00:00:00' ELSE rental_date END AS rental_date, "
+        f"CASE WHEN x OR n THEN {some('inventory', 'inventory0')} ELSE inventory_id END AS inventory_id, "
+        f"CASE WHEN n THEN {some('customer', 'customer')} ELSE customer_id END AS customer_id, "
+        f"CASE WHEN x THEN rental_date + TO_DAYS(CAST(FLOOR({draw('return')} * 10) AS INTEGER) + 1) WHEN NOT n THEN return_date END AS return_date, "
+        f"CASE WHEN n THEN {some('staff', 'staff0')} ELSE staff_id END AS staff_id, "
+        f"moment - TO_DAYS(CASE WHEN change = 'late' THEN CAST(FLOOR({draw('late')} * 3) AS INTEGER) + 1 ELSE 0 END) AS last_update, "
+        "CASE WHEN change = 'delete' THEN moment END AS deleted, change FROM (SELECT *, change IN ('update', 'late', 'repeat') AS x, "
+        f"change = 'insert' AS n, TIMESTAMP '2002-01-31 00:00:00' + TO_SECONDS(FLOOR({draw('second')} * 86400)) AS moment FROM "
+        f"(SELECT *, CASE {' '.join(kinds)} END AS change FROM (SELECT *, {draw('kind')} AS u FROM rental0))), "
+        "(SELECT UNNEST([1, 2]) AS nth) WHERE change IS NOT NULL AND (nth = 1 OR change = 'repeat')")
+
+    # The steps give rows without generated keys, so that what holds for these by construction stands as 0.
+    declared = []
+
+    def keyed(table: str, columns: str, rows: str | None) -> None:
+        found = f"(SELECT COUNT(*) FROM (SELECT 1 FROM {rows} GROUP BY {columns} HAVING COUNT(*) > 1))" if rows else "0"
+        declared.append(f"('{table}', 'unique', '{columns}', {found})")
+
+    def refers(table: str, fk: str, rows: str | None, parent: str = "", pk: str = "") -> None:
+        found = f"(SELECT COUNT(*) FROM {rows} WHERE {fk} IS NOT NULL AND {fk} NOT IN (SELECT {pk} FROM {parent}))" if rows else "0"
+        declared.append(f"('{table}', 'reference', '{fk}', {found})")
+
+    for table, pk in (("dim_inventory", "inventory_pk"), ("dim_staff", "staff_pk"), ("fact_payment", "payment_pk"), ("fact_rental", "rental_pk")):
+        keyed(f"core.{table}", pk, None)
+    keyed("core.dim_date", "date_pk", "cal")
+    refers("core.fact_payment", "payment_date_fk", "fp_post", "cal", "date_pk")
+    refers("core.fact_rental", "rental_date_fk", "fr_post", "cal", "date_pk")
+    refers("core.fact_rental", "return_date_fk", "fr_post", "cal", "date_pk")
+    for fact in ("payment", "rental"):
+        refers(f"core.fact_{fact}", "inventory_fk", None)
+        refers(f"core.fact_{fact}", "staff_fk", None)
+    for e in ("film", "inventory", "rental"):
+        keyed(f"edw.hub_{e}", f"hub_{e}_hash_key", f"hub_{e}_post")
+    for e, parent in (("film_inventory", "film"), ("rental_inventory", "rental")):
+        keyed(f"edw.link_{e}", f"link_{e}_hash_key", f"link_{e}_post")
+        for hub_ in (parent, "inventory"):
+            refers(f"edw.link_{e}", f"hub_{hub_}_hash_key", f"link_{e}_post", f"hub_{hub_}_post", f"hub_{hub_}_hash_key")
+    for e, (_, key, *_) in SATELLITES.items():
+        keyed(f"edw.sat_{e}", f"{key},load_date", f"sat_{e}_post")
+        parent = (f"link_{e}" if key.startswith("link") else key.removesuffix("_hash_key")) + "_post"
+        refers(f"edw.sat_{e}", key, f"sat_{e}_post", parent, key)
+    s["dq_declared"] = f"SELECT * FROM (VALUES {', '.join(declared)}) t(\"table\", \"check\", subject, violations)"
+
     s["dq_not_null"] = " UNION ALL ".join(
         f"SELECT 'not_null' AS \"check\", '{c}' AS subject, COUNT(*) AS violations FROM (SELECT *, NULL AS deleted FROM rental0) WHERE {c} IS NULL"
         for c in ("rental_id", "rental_date", "return_date", "deleted"))

@@ -9,8 +9,8 @@ from siltstone.operators.quality import (check_domain, check_length, check_not_n
                                          check_unique, missing_parents)
 from siltstone.operators.scd import (CORP_SPAN, STAR_SPAN, Span, scd2_hash, scd2_insert_new, scd2_merge,
                                      scd2_soft_delete, scd2_split, scd2_version)
-from siltstone.operators.synthetic import synthetic_rentals
-from siltstone.operators.upsert import changes_since_target, upsert, upsert_since
+from siltstone.operators.synthetic import synthetic_changes, synthetic_rentals
+from siltstone.operators.upsert import changes_since_target, stored_with_mark, upsert, upsert_since
 from siltstone.operators.vault import load_hub, load_link, load_plain_satellite, load_satellite
 
 __all__ = [
@@ -20,5 +20,5 @@ __all__ = [
     "fill_keys", "high_water_mark", "high_water_marks", "load_fact_payment", "load_fact_rental", "load_hub", "load_link",
     "load_plain_satellite", "load_satellite", "missing_parents", "number_rows", "previous_load_time", "previous_load_times", "record_load",
     "replace_keys", "scd2_hash", "scd2_insert_new", "scd2_merge", "scd2_soft_delete", "scd2_split", "scd2_version",
-    "sync_keys", "synthetic_rentals", "upsert", "upsert_since",
+    "stored_with_mark", "sync_keys", "synthetic_changes", "synthetic_rentals", "upsert", "upsert_since",
 ]

@@ -7,7 +7,7 @@ are written in place is decided on the state before anything is appended.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,21 +34,32 @@ def _versioned(rows: DataFrame, first: Column, span: Span) -> DataFrame:
 
 def load_fact_payment(fact: DataFrame, staged: DataFrame, dim_inventory: DataFrame, dim_staff: DataFrame,
                       calendar: DataFrame, closed: str = "both", span: Span = STAR_SPAN) -> DataFrame:
-    """FCT-1: amount, payment date and rental are historised; disc and staff are not.
+    """FCT-1: the fact after a load; see `merge_payments`."""
+    past, merged = merge_payments(fact, staged, dim_inventory, dim_staff, calendar, closed, span)
+    return past.unionByName(merged.select(*fact.columns))
+
+
+def merge_payments(fact: DataFrame, staged: DataFrame, dim_inventory: DataFrame, dim_staff: DataFrame, calendar: DataFrame,
+                   closed: str = "both", span: Span = STAR_SPAN) -> tuple[DataFrame, DataFrame]:
+    """FCT-1 in two parts: the rows that pass by as they are, and those a load may touch, as they become, with `_was` (the row before
+    the load, NULL for a new one). Amount, payment date and rental are historised; disc and staff are not.
 
     A staged payment equal in the historised columns to the version valid at its last
     update only has that version's disc and staff keys rewritten. If several versions of
     a disc or member of staff match (a border), the one that starts last is written.
 
     Versions, staged rows and what these resolve to are dealt by payment once; what a payment's rows have to know of each
-    other, they read from windows over it. Versions that ended before the oldest staged change can't be valid at any
-    of them: they pass by, and of them only keys are looked at.
+    other, they read from windows over it. Two kinds of rows are told apart before that and pass by: those whose payment a
+    filter of the staged ones doesn't know, and history that ended before the oldest staged change, which can't be valid at any.
+    Of such history of staged payments only the keys are looked at.
     """
     key = "payment_id"
     oldest = staged.agg(F.min("last_update")).scalar()
-    reached = is_live(span) | F.coalesce(F.col(span.end) >= oldest, F.lit(False))
+    known = F.coalesce(known_filter(staged, key), F.lit(False))
+    recent = is_live(span) | F.coalesce(F.col(span.end) >= oldest, F.lit(False))
+    reached = known & recent
     past = fact.filter(~reached)
-    ended = past.filter(known_filter(staged, key)).select(key).distinct().withColumn("_ended", F.lit(True))
+    ended = fact.filter(known & ~recent).select(key).distinct().withColumn("_ended", F.lit(True))
     marks = staged.join(ended, key, "left").select(key, F.struct(
         F.col("deleted").alias("gone_at"), F.col("last_update").alias("at"), "amount", "rental_id",
         date_key(F.col("payment_date")).alias("day"), F.col("_ended").isNotNull().alias("ended")).alias("_mark"))
@@ -85,7 +96,15 @@ def load_fact_payment(fact: DataFrame, staged: DataFrame, dim_inventory: DataFra
              span.end: F.coalesce(new["deleted"], timestamp(OPEN_END)), span.active: new["deleted"].isNull()}
     is_added = new.isNotNull() & (first | (~in_place & new["deleted"].isNull())) & new["_in_calendar"]
     shaped = [F.when(row.isNotNull(), kept.get(c, row[c])).otherwise(added.get(c, F.lit(None))).cast(t).alias(c) for c, t in fact.dtypes]
-    return past.unionByName(rows.filter(row.isNotNull() | is_added).select(*shaped))
+    return past, rows.filter(row.isNotNull() | is_added).select(*shaped, row.alias("_was"))
+
+
+def signed_changes(merged: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(`columns`, sign) of the rows that a load added or changed in these columns: +1 as they become, -1 as they were."""
+    now, was = F.struct(*columns), F.struct(*[F.col("_was")[c].alias(c) for c in columns])
+    out = F.when(F.col("_was").isNull(), F.array(F.struct(now.alias("row"), F.lit(1).alias("sign")))).when(
+        ~now.eqNullSafe(was), F.array(F.struct(now.alias("row"), F.lit(1).alias("sign")), F.struct(was.alias("row"), F.lit(-1).alias("sign"))))
+    return merged.select(F.inline(out)).select("row.*", "sign")
 
 
 def load_fact_rental(fact: DataFrame, staged: DataFrame, dim_inventory: DataFrame, dim_staff: DataFrame,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS = 1 << 17  # 16 KB, whatever the number of keys
+BITS = 1 << 20  # 128 KB, whatever the number of keys
 _WORD = 64
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.dates import CHANGE_FLOOR, timestamp
+from siltstone.session import observed
 
 
 def upsert(target: DataFrame, delta: DataFrame, key: str, gone: DataFrame | None = None) -> DataFrame:
@@ -25,14 +26,21 @@ def newest(target: DataFrame, column: str) -> Column:
     return target.agg(F.coalesce(F.max(column), timestamp(CHANGE_FLOOR))).scalar()
 
 
+def stored_with_mark(df: DataFrame, name: str, stamp: str = "last_update") -> tuple[DataFrame, Column]:
+    """`df` written once, and its newest stamp, observed while it was written: the mark of the next delta."""
+    stored, found = observed(df, name, newest=F.max(stamp).cast("string"))
+    return stored, timestamp(found["newest"] or CHANGE_FLOOR)
+
+
 def changes_since_target(target: DataFrame, source: DataFrame, stamp: str = "last_update", *, inclusive: bool = False,
-                         deleted: str | None = None) -> DataFrame:
+                         deleted: str | None = None, mark: Column | None = None) -> DataFrame:
     """Source rows newer than the newest row of the target.
 
     Strict and on one stamp by default, so a soft delete without a touch and a late
-    row with an equal stamp are passed over. `inclusive` and `deleted` widen that.
+    row with an equal stamp are passed over. `inclusive` and `deleted` widen that. With the `mark` that
+    `stored_with_mark` observed the target isn't read.
     """
-    mark = newest(target, stamp)
+    mark = newest(target, stamp) if mark is None else mark
     test = F.col(stamp) >= mark if inclusive else F.col(stamp) > mark
     if deleted:
         test = test | (F.col(deleted) >= mark if inclusive else F.col(deleted) > mark)
@@ -40,5 +48,5 @@ def changes_since_target(target: DataFrame, source: DataFrame, stamp: str = "las
 
 
 def upsert_since(target: DataFrame, source: DataFrame, key: str, stamp: str = "last_update", **options) -> DataFrame:
-    """UPS-2: upsert of the source rows newer than the target."""
+    """UPS-2: upsert of the source rows newer than the target (options of `changes_since_target`)."""
     return upsert(target, changes_since_target(target, source, stamp, **options), key)

@@ -17,6 +17,7 @@ from siltstone import operators as op
 from siltstone.functions.dates import date_key, timestamp
 from siltstone.functions.hashing import hash_diff, hash_key, link_key, row_hash
 from siltstone.plans import corporate, marts, star, vault
+from siltstone.plans.checks import check_state
 from siltstone.plans.common import JOURNAL, Save, State, lazily
 from siltstone.schemas import CORPORATE, RATINGS, STAR, VAULT, YEARS, columns, reset
 from siltstone.session import materialize, tune
@@ -87,7 +88,9 @@ def upsert(name, spark, folder):
 
 def upsert_since(name, spark, folder):
     first, second = both(spark, folder)
-    return op.upsert_since(first(name), second(name), f"{name}_id").select(*CORPORATE_COLUMNS[name])
+    target, mark = op.stored_with_mark(first(name), name)
+    delta = materialize(op.changes_since_target(target, second(name), mark=mark), f"{name}-changes")
+    return op.upsert(target, delta, f"{name}_id").select(*CORPORATE_COLUMNS[name])
 
 
 # ---------------------------------------------------------------- corporate states
@@ -398,7 +401,18 @@ def synthetic_rentals(spark, folder):
     source = RetailSource(spark, folder, 1)
     rentals = source.rental_base()
     return op.synthetic_rentals(rentals, source.inventory_base(), source.film_base(), source("customer"),
-                                source.raw("supplier"), rentals.count(), base=0, draw=lambda i: ((i * 7919) % 1000) / 1000)
+                                source.raw("supplier"), rentals.count(), seed=7, base=0)
+
+
+def synthetic_changes(spark, folder):
+    source = RetailSource(spark, folder, 1)
+    return op.synthetic_changes(source.rental_base(), source.inventory_base(), source("customer"), source.raw("supplier"), SECOND_LOAD, seed=7)
+
+
+def dq_declared(spark, folder):
+    """Declared primary and foreign keys of star and vault after both loads."""
+    reports = [check_state(pipeline_state(name, spark, folder), tables, [layer]) for name, tables, layer in (("star", STAR, "core"), ("vault", VAULT, "edw"))]
+    return reports[0].unionByName(reports[1]).filter(F.col("check").isin("unique", "reference"))
 
 
 def dq_not_null(spark, folder):
@@ -521,7 +535,7 @@ def registered() -> dict[str, Query]:
         link_key_rental, row_hash_changed_film, scd2_soft_delete_inventory, scd2_new_inventory, scd2_version_inventory,
         scd2_dim_staff, scd2_dim_inventory, scd2_split_film_change, as_of_join_payment_inventory, as_of_join_boundary,
         fact_payment_star, fact_rental_star, calendar_full, calendar_short, sales_by_date_corp, sales_by_film_corp,
-        mart_reader_by_date, mart_reader_by_film, rented_film_vault, synthetic_rentals, dq_not_null, dq_domain, dq_length,
+        mart_reader_by_date, mart_reader_by_film, rented_film_vault, synthetic_rentals, synthetic_changes, dq_declared, dq_not_null, dq_domain, dq_length,
         dq_unique, dq_reference, dq_asof_misses, dq_missing_parents, scd2_merge_inventory, pipeline_star_fact_payment, pipeline_star_dim_inventory,
         pipeline_star_sales_by_film, pipeline_corporate_fact_payment, pipeline_corporate_dim_film,
         pipeline_corporate_sales_by_film, pipeline_vault_hub_film, pipeline_vault_sat_rental_dynamic, pipeline_vault_rented_film)}

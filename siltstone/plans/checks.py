@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltstone.operators.quality import check_reference, check_schema, check_unique
 from siltstone.plans.common import State
 from siltstone.schemas import LENGTHS, columns, not_null
 
@@ -46,19 +46,57 @@ FOREIGN_KEYS = {
 }
 
 
-def check_table(state: State, tables: dict[str, str], name: str) -> DataFrame:
-    """NOT NULL and lengths in one pass, then the primary key and the foreign keys."""
-    df, types = state[name], columns(tables, name)
-    lengths = {c: n for c, n in LENGTHS.items() if types.get(c) == "string"}
-    reports = [check_schema(df, not_null(tables, name), lengths)]
-    if name in PRIMARY_KEYS:
-        reports.append(check_unique(df, PRIMARY_KEYS[name]))
-    for fk, (parent, pk) in FOREIGN_KEYS.get(name, {}).items():
-        reports.append(check_reference(df, fk, state[parent], pk))
-    return reduce(DataFrame.unionByName, reports).select(F.lit(name).alias("table"), "check", "subject", "violations")
+@dataclass(frozen=True)
+class Constraint:
+    """One declared constraint, by its place in the report."""
+
+    table: str
+    check: str
+    subject: str
+
+    @property
+    def id(self) -> str:
+        return f"{self.table}|{self.check}|{self.subject}"
+
+
+def declared_constraints(state: State, tables: dict[str, str], names: list[str]) -> dict[Constraint, list[tuple[str, Column, list[str]]]]:
+    """Constraint → what it has to see: (table, condition of a bad row, key columns); either the condition or the key is of use."""
+    none, out = F.lit(False), {}
+    for name in names:
+        types = columns(tables, name)
+        for c in not_null(tables, name):
+            out[Constraint(name, "not_null", c)] = [(name, F.col(c).isNull(), [])]
+        for c, n in LENGTHS.items():
+            if types.get(c) == "string":
+                out[Constraint(name, "length", c)] = [(name, F.coalesce(F.length(c) > n, none), [])]
+        if name in PRIMARY_KEYS:
+            out[Constraint(name, "unique", ",".join(PRIMARY_KEYS[name]))] = [(name, none, PRIMARY_KEYS[name])]
+        for fk, (parent, pk) in FOREIGN_KEYS.get(name, {}).items():
+            out[Constraint(name, "reference", fk)] = [(name, none, [fk]), (parent, none, [pk])]
+    return out
 
 
 def check_state(state: State, tables: dict[str, str], layers: list[str] | None = None) -> DataFrame:
-    """Every declared constraint of the given layers: one row each, with its violations."""
+    """Every declared constraint of the given layers: (table, check, subject, violations), one row each.
+
+    Each table is read once. Its keys are expanded with the constraint they belong to, those of a foreign key on both sides, and rows
+    that break a column's declaration with that one. One shuffle then counts them per constraint and key, after each
+    task has: a key that most rows share is one row per task. A NULL key of a reference passes.
+    """
     names = [n for n in tables if n in state and (layers is None or n.split(".")[0] in layers)]
-    return reduce(DataFrame.unionByName, [check_table(state, tables, n) for n in names])
+    found = declared_constraints(state, tables, names)
+    entries: dict[str, list[Column]] = {}
+    for constraint, parts in found.items():
+        for side, (name, bad, key) in enumerate(parts):
+            given = F.array(*[F.col(c).cast("string") for c in key]) if key else F.lit(None).cast("array<string>")
+            counts = F.col(key[0]).isNotNull() if constraint.check == "reference" else F.lit(bool(key)) | bad
+            entries.setdefault(name, []).append(F.when(counts, F.struct(
+                F.lit(constraint.id).alias("id"), given.alias("key"), F.lit(side == 1).alias("is_parent"))))
+    expanded = reduce(DataFrame.unionByName, [state[n].select(F.inline(F.array_compact(F.array(*e)))) for n, e in entries.items()])
+    by_key = expanded.groupBy("id", "key").agg(F.count_if(~F.col("is_parent")).alias("rows"), F.max("is_parent").alias("has_parent"))
+    check = F.split("id", "\\|")[1]
+    counts = by_key.groupBy("id").agg(F.sum(
+        F.when(check == "unique", (F.col("rows") > 1).cast("bigint")).when((check == "reference") & F.col("has_parent"), 0).otherwise(F.col("rows"))).alias("n"))
+    listed = F.array(*[F.struct(F.lit(c.id).alias("id"), *[F.lit(v).alias(k) for k, v in vars(c).items()]) for c in found])
+    every = expanded.sparkSession.range(1).select(F.inline(listed))
+    return every.join(counts, "id", "left").select("table", "check", "subject", F.coalesce("n", F.lit(0)).cast("bigint").alias("violations"))

@@ -15,7 +15,12 @@ def star_sales_by_date(fact: DataFrame, calendar: DataFrame, current_only: bool
     """MRT-1: amount per day. Counts every version of a payment unless `current_only`."""
     rows = fact.filter("is_active") if current_only else fact
     daily = rows.groupBy(F.col("payment_date_fk").alias("date_pk")).agg(F.sum("amount").alias("amount"))
-    return daily.join(calendar.select("date_pk", "day_of_month", "month_name", "year_actual"), "date_pk").select(
+    return dated(daily, calendar)
+
+
+def dated(sums: DataFrame, calendar: DataFrame) -> DataFrame:
+    """MRT-1 from sums per day (date_pk, amount)."""
+    return sums.join(calendar.select("date_pk", "day_of_month", "month_name", "year_actual"), "date_pk").select(
         F.concat_ws(" ", "day_of_month", "month_name", "year_actual").alias("date_title"),
         F.col("date_pk").alias("date_sort"), F.col("amount").cast(_TOTAL).alias("amount"))
 
@@ -28,6 +33,23 @@ def star_sales_by_film(fact: DataFrame, dim_inventory: DataFrame, current_only:
         F.col("title").alias("film_title")).agg(F.sum("amount").cast(_TOTAL).alias("amount"))
 
 
+def summed(changes: DataFrame, key: str) -> DataFrame:
+    """Signed changes (`key`, amount, sign) as one row per key: number of rows and amount, both with their sign."""
+    return changes.groupBy(key).agg(F.sum("sign").cast("bigint").alias("n"), F.sum(F.col("amount") * F.col("sign")).cast(_TOTAL).alias("amount"))
+
+
+def by_title(delta: DataFrame, dim_inventory: DataFrame) -> DataFrame:
+    """Sums per disc version (inventory_fk) as sums per film title; what a version is called never changes."""
+    titles = dim_inventory.select(F.col("inventory_pk").alias("inventory_fk"), F.col("title").alias("film_title"))
+    return delta.join(titles, "inventory_fk").select("film_title", "n", "amount")
+
+
+def add_up(sums: DataFrame, delta: DataFrame, key: str) -> DataFrame:
+    """Sums (`key`, n, amount) with further ones added to them. A key without rows left goes."""
+    both = sums.unionByName(delta).groupBy(key).agg(F.sum("n").alias("n"), F.sum("amount").cast(_TOTAL).alias("amount"))
+    return both.filter(F.col("n") > 0).select(*sums.columns)
+
+
 def corporate_sales_by_date(fact: DataFrame, calendar: DataFrame) -> DataFrame:
     """MRT-3: amount of the live payments per day."""
     daily = fact.filter(F.col("deleted").isNull()).groupBy(F.to_date("payment_date").alias("date_actual")).agg(

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from siltstone.functions.dates import timestamp
 from siltstone.operators.extract import extract_full, extract_incremental, extract_incremental_enriched
-from siltstone.operators.facts import load_fact_payment, load_fact_rental
+from siltstone.operators.facts import load_fact_rental, merge_payments, signed_changes
 from siltstone.operators.journal import previous_load_time
 from siltstone.operators.keys import fill_keys
 from siltstone.operators.scd import Lookup, scd2_merge, scd2_split
 from siltstone.plans.common import JOURNAL, Save, State, declared, each, extend, in_reach, load_records, marks, refuse_reuse
-from siltstone.plans.marts import star_sales_by_date, star_sales_by_film
-from siltstone.schemas import STAR, columns
+from siltstone.plans.marts import add_up, by_title, dated, summed
+from siltstone.schemas import STAR, columns, reset
 from siltstone.session import materialize
 from siltstone.sources.remote import Source, align_columns
 
@@ -82,23 +82,43 @@ def load_dims(state: State, save: Save) -> State:
     return each(["inventory", "staff"], load)
 
 
-def load_facts(state: State, save: Save, only: list[str] | None = None) -> State:
-    loaders = {"payment": load_fact_payment, "rental": load_fact_rental}
+CHANGES = "changes.payment"
+
 
+def load_facts(state: State, save: Save, only: list[str] | None = None) -> State:
+    """Both facts; `CHANGES` holds what the load changed in the payments, for the marts."""
     def load(name: str) -> tuple[str, DataFrame]:
-        table = f"core.fact_{name}"
-        staged = state[f"staging.{name}"]
-        rows = loaders[name](in_reach(save, state[table], table, staged), staged, state["core.dim_inventory"], state["core.dim_staff"],
-                             state["core.dim_date"])
+        table, staged = f"core.fact_{name}", state[f"staging.{name}"]
+        fact = in_reach(save, state[table], table, staged)
+        context = staged, state["core.dim_inventory"], state["core.dim_staff"], state["core.dim_date"]
+        if name == "payment":
+            past, merged = merge_payments(fact, *context)
+            merged = materialize(merged, "payments")  # as large as the change; the fact and the marts follow from it
+            changes[CHANGES] = signed_changes(merged, ["payment_date_fk", "inventory_fk", "amount"])
+            rows = past.unionByName(merged.select(*fact.columns))
+        else:
+            rows = load_fact_rental(fact, *context)
         return table, save(fill_keys(rows, f"{name}_pk", state[table]), table)
 
-    return each(only or loaders, load)
+    changes: State = {}
+    return each(only or ["payment", "rental"], load) | changes
 
 
 def load_marts(state: State, save: Save) -> State:
-    return {"mart.sales_date": save(star_sales_by_date(state["core.fact_payment"], state["core.dim_date"]), "mart.sales_date"),
-            "mart.sales_film": save(star_sales_by_film(state["core.fact_payment"], state["core.dim_inventory"]),
-                                    "mart.sales_film")}
+    """MRT-1 and MRT-2 kept up by what the load changed: the old version out, the new one in. The fact isn't read."""
+    by_day = summed(state[CHANGES].withColumnRenamed("payment_date_fk", "date_pk"), "date_pk")
+    by_film = by_title(summed(state[CHANGES], "inventory_fk"), state["core.dim_inventory"])
+    sums = {table: save(add_up(state[table], delta, key), table)
+            for table, key, delta in (("mart.date_sums", "date_pk", by_day), ("mart.film_sums", "film_title", by_film))}
+    return sums | {"mart.sales_date": save(dated(sums["mart.date_sums"], state["core.dim_date"]), "mart.sales_date"),
+                   "mart.sales_film": save(sums["mart.film_sums"].select("film_title", "amount"), "mart.sales_film")}
+
+
+def rebuild_marts(state: State, save: Save) -> State:
+    """The same from the whole fact, for a state whose sums are missing or in doubt."""
+    whole = state["core.fact_payment"].select("payment_date_fk", "inventory_fk", "amount", F.lit(1).alias("sign"))
+    return load_marts(reset(whole.sparkSession, STAR, tables=["mart.date_sums", "mart.film_sums"]) | {
+        CHANGES: whole, **{t: state[t] for t in ("core.dim_inventory", "core.dim_date")}}, save)
 
 
 def run_star(source: Source, state: State, load_ts: str, save: Save = materialize) -> State:
@@ -107,4 +127,5 @@ def run_star(source: Source, state: State, load_ts: str, save: Save = materializ
     state = state | stage(source, state[JOURNAL], load_ts, save)
     state = state | load_dims(state, save)
     state = state | load_facts(state, save)
-    return state | load_marts(state, save)
+    state = state | load_marts(state, save)
+    return {name: df for name, df in state.items() if name != CHANGES}

@@ -71,6 +71,9 @@ STAR = {
                          f"staff_fk BIGINT NOT NULL, {_span('star')}",
     "core.fact_rental": "rental_pk BIGINT NOT NULL, rental_id BIGINT NOT NULL, rental_date_fk INT NOT NULL, "
                         f"return_date_fk INT, inventory_fk BIGINT NOT NULL, staff_fk BIGINT NOT NULL, {_span('star')}",
+    # what the two marts are kept up from: sums with their number of payment versions
+    "mart.date_sums": "date_pk INT NOT NULL, n BIGINT NOT NULL, amount DECIMAL(18,2) NOT NULL",
+    "mart.film_sums": "film_title STRING, n BIGINT NOT NULL, amount DECIMAL(18,2) NOT NULL",
     "mart.sales_date": "date_title STRING NOT NULL, date_sort INT NOT NULL, amount DECIMAL(18,2) NOT NULL",
     "mart.sales_film": "film_title STRING NOT NULL, amount DECIMAL(18,2) NOT NULL",
 }

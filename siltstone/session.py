@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 # Runtime settings the loads rely on. Only values the caller left unset are filled in.
 _DEFAULTS = {
@@ -60,6 +61,13 @@ def scratch_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def observed(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict[str, Any]]:
+    """`materialize`, and aggregates of the rows that are taken on their way into the files, without another scan."""
+    watch = Observation()
+    stored = materialize(df.observe(watch, *[c.alias(n) for n, c in metrics.items()]), name)
+    return stored, watch.get
+
+
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write `df` once into the shared folder and read it back.
 
@@ -68,7 +76,7 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/siltstone/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
     return spark.read.schema(df.schema).parquet(path)

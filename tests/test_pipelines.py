@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from siltstone import operators as op
 from siltstone.functions import timestamp
-from siltstone.plans import WarehouseStore, run_corporate, run_star, run_vault
+from siltstone.plans import WarehouseStore, marts, run_corporate, run_star, run_vault
+from siltstone.plans import star as star_plan
 from siltstone.plans.catalog import fact_payment_star, fact_rental_star
 from siltstone.plans.checks import check_state
 from siltstone.schemas import CORPORATE, STAR, VAULT, columns, not_null
@@ -76,6 +77,44 @@ def test_declared_constraints_hold(star, vault):
         assert len(report) > 60 and [r for r in report if r.violations] == []
 
 
+class Later(RetailSource):
+    """A third batch: some payments change their amount or day, some are touched, some rentals move to another disc."""
+
+    def _payment(self):
+        stamp = "TIMESTAMP_NTZ '2002-02-10 00:00:00'"
+        return super()._payment().withColumns({
+            "last_update": F.expr(f"CASE WHEN payment_id % 7 = 2 THEN {stamp} ELSE last_update END"),
+            "amount": F.expr("CAST(CASE WHEN payment_id % 14 = 2 THEN amount + 3 ELSE amount END AS DECIMAL(12,2))"),
+            "payment_date": F.expr("CASE WHEN payment_id % 21 = 2 THEN payment_date + INTERVAL 1 DAY ELSE payment_date END")})
+
+    def _rental(self):
+        return super()._rental().withColumns({
+            "last_update": F.expr("CASE WHEN rental_id % 11 = 3 THEN TIMESTAMP_NTZ '2002-02-11 00:00:00' ELSE last_update END"),
+            "inventory_id": F.expr("CASE WHEN rental_id % 11 = 3 THEN 5L ELSE inventory_id END")})
+
+
+def test_marts_kept_up_by_changes_equal_the_recomputed_ones(spark, folder, tmp_path):
+    """After each of three loads; the fact's old folders aren't read for it."""
+    store = WarehouseStore(spark, str(tmp_path), STAR, keys_per_range=400)
+    for batch, load_ts in ((RetailSource(spark, folder, 1), B1), (RetailSource(spark, folder, 2), B2), (Later(spark, folder, 2), B3)):
+        load, state = store.load(load_ts), store.state()
+        if load_ts == B1:
+            state["core.dim_date"] = load(op.calendar(spark, "1995-01-01", 2557), "core.dim_date")
+        run_star(batch, state, load_ts, load)
+        load.commit()
+        state = store.state()
+        by_date = marts.star_sales_by_date(state["core.fact_payment"], state["core.dim_date"])
+        by_film = marts.star_sales_by_film(state["core.fact_payment"], state["core.dim_inventory"])
+        assert bag(state["mart.sales_date"], *by_date.columns) == bag(by_date, *by_date.columns)
+        assert bag(state["mart.sales_film"], *by_film.columns) == bag(by_film, *by_film.columns)
+    again = star_plan.rebuild_marts(state, lambda df, name: df)
+    for table in ("mart.date_sums", "mart.film_sums", "mart.sales_date", "mart.sales_film"):
+        assert bag(again[table], *state[table].columns) == bag(state[table], *state[table].columns)
+    changes = {star_plan.CHANGES: spark.createDataFrame([(20020101, 1, 1, 1)], "payment_date_fk int, inventory_fk long, amount int, sign int")}
+    kept = star_plan.load_marts(state | changes, lambda df, name: df)
+    assert not any("fact_payment" in f for df in kept.values() for f in df.inputFiles())
+
+
 def test_untouched_ranges_are_not_rewritten(spark, folder, tmp_path):
     """A delta with few keys leaves the folders of the other ranges as they are."""
     store = WarehouseStore(spark, str(tmp_path), CORPORATE, keys_per_range=100)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from siltstone import materialize
 from siltstone import operators as op
-from siltstone.operators import asof
+from siltstone.operators import asof, facts
 from siltstone.plans import marts
 from siltstone.schemas import STAR, columns
 from siltstone.sources import RetailSource
@@ -140,3 +140,61 @@ def test_no_nested_loops_and_no_python(spark, folder, name, conf):
     text = plan(entry.queries()[name](spark, folder))
     for node in ("NestedLoop", "Cartesian", "Python", "Arrow"):
         assert node not in text
+
+
+def _span(at, start, end):
+    return {f"{at}_from": F.lit(start).cast("timestamp_ntz"), f"{at}_to": F.lit(end).cast("timestamp_ntz")}
+
+
+def test_ended_versions_are_not_shuffled_by_a_snapshot(spark, conf, tmp_path):
+    """SCD-5: of history only keys are dealt out, and of these only such as a key without a live version may be."""
+    conf(NO_BROADCAST)
+    dim = spark.range(1000).withColumns({"v": F.md5(F.col("id").cast("string")), "is_active": F.col("id") % 2 == 0, "hash": F.lit("h"),
+                                         **_span("date_effective", "1900-01-01", "2199-01-01")})
+    dim.write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    snapshot = spark.range(5, 1100).select("id", F.lit("w").alias("v"), F.lit("2002-01-01").cast("timestamp_ntz").alias("last_update"))
+    df = op.scd2_hash(dim, snapshot, "id", "2002-02-01 00:00:00")
+    # history of 500; live rows: 3 gone, 497 changed to two; 100 new keys
+    assert df.count() == 500 + 3 + 2 * 497 + 100 and df.filter("is_active").count() == 497 + 100
+    tree = df._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.count("FullOuter") == 1 and "might" not in tree
+    for line in plan(df).splitlines():
+        assert "NestedLoop" not in line and "Cartesian" not in line
+
+
+def test_payments_that_no_change_reaches_pass_by(spark, conf, tmp_path):
+    """FCT-1: a load with few payments deals out few rows of a large fact, and reads none of it twice for a join."""
+    conf(NO_BROADCAST)
+    fact = spark.range(20_000).select(
+        F.col("id").alias("payment_pk"), F.col("id").alias("payment_id"), F.col("id").alias("rental_id"), F.lit(1).cast("decimal(12,2)").alias("amount"),
+        F.lit(20020101).alias("payment_date_fk"), F.lit(1).cast("bigint").alias("inventory_fk"), F.lit(1).cast("bigint").alias("staff_fk"),
+        *[c.alias(n) for n, c in _span("effective_date", "1900-01-01", "2199-01-01").items()], F.lit(True).alias("is_active"))
+    fact.write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    discs, people = ((spark.range(1, 2).select(F.col("id").alias(f"{n}_pk"), F.col("id").alias(f"{n}_id"), F.lit(True).alias("is_active"),
+                                               *[c.alias(k) for k, c in _span("effective_date", "1900-01-01", "2199-01-01").items()])) for n in ("inventory", "staff"))
+    staged = spark.range(19_990, 20_010).select(
+        F.col("id").alias("payment_id"), F.lit(1).cast("bigint").alias("staff_id"), F.col("id").alias("rental_id"), F.lit(1).cast("bigint").alias("inventory_id"),
+        F.lit(2).cast("decimal(12,2)").alias("amount"), F.lit("2002-01-01").cast("timestamp_ntz").alias("payment_date"),
+        F.lit("2002-01-05").cast("timestamp_ntz").alias("last_update"), F.lit(None).cast("timestamp_ntz").alias("deleted"))
+    past, merged = facts.merge_payments(fact, staged, discs, people, op.calendar(spark, "2002-01-01", 31))
+    assert past.count() > 19_900 and merged.count() < 150 and "Exchange" not in plan(past).split("Subquery")[0]
+    whole = op.load_fact_payment(fact, staged, discs, people, op.calendar(spark, "2002-01-01", 31))
+    assert whole.count() == 20_020 and whole.filter("is_active AND amount = 2").count() == 20
+
+
+def test_satellite_is_one_join(spark, conf):
+    """DV-3: open rows and staged rows meet once; ended rows pass by."""
+    conf(NO_BROADCAST)
+    rows = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit("2002-01-01").cast("timestamp_ntz").alias("load_date"),
+                                   F.when(F.col("id") % 2 == 0, F.lit("2002-01-02").cast("timestamp_ntz")).alias("load_end_date"), F.lit("s").alias("record_source"),
+                                   F.lit("d").alias("hash_diff"), F.col("id").alias("v"))
+    sat = materialize(rows)
+    staged = materialize(rows.filter("v >= 10").select("k", F.lit("2002-02-01").cast("timestamp_ntz").alias("load_date"), "record_source",
+                                                       F.when(F.col("v") < 50, "e").otherwise("d").alias("diff"), "v"))
+    df = op.load_satellite(sat, staged, "k", "diff", ["v"], "2002-02-01 00:00:00")
+    text = plan(df)
+    assert text.count("FullOuter") == 1 and text.count("Exchange hashpartitioning") == 2
+    # 50 ended pass by, 5 open ones are gone, 20 changed, 25 kept; ended keys from 10 on come back
+    assert df.count() == 50 + 5 + 2 * 20 + 25 + 45 and df.filter("load_end_date IS NULL").count() == 20 + 25 + 45
