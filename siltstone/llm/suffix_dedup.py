@@ -194,36 +194,40 @@ _PIECES = "_key long, _th long, base long, leader long, bytes binary"
 
 
 def _cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sections with the leaders of their runs (null: the anchor doesn't repeat) to pieces of one leader."""
+    """Sections with the leaders of their runs (those whose anchor repeats) to pieces: neighbouring runs of one leader."""
     for batch in batches:
-        rows: list[list] = [[] for _ in range(5)]
-        data = [batch.column(c).to_pylist() for c in ("_key", "_th", "base", "bytes", "lo", "hi", "found")]
-        for key, th, base, part, lo, hi, found in zip(*data, strict=True):
-            leaders = {x["place"]: x["leader"] for x in found}
-            k = 0
-            while k < len(lo):
-                leader, first = leaders.get(k), k
-                while k + 1 < len(lo) and leaders.get(k + 1) == leader:
-                    k += 1
-                if leader is not None:
-                    for column, value in zip(rows, (key, th, base + lo[first], leader, part[lo[first]:hi[k] + SIZE]), strict=True):
-                        column.append(value)
-                k += 1
-        yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, [pa.int64()] * 4 + [pa.binary()], strict=True)], names=[x.split()[0] for x in _PIECES.split(", ")])
+        data = {c: batch.column(c) for c in ("_key", "_th", "base", "bytes", "lo", "hi", "found")}
+        begin = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(data["lo"]).to_numpy())])
+        lo, hi = (data[c].flatten().to_numpy() for c in ("lo", "hi"))
+        row = np.repeat(np.arange(batch.num_rows), pa.compute.list_value_length(data["found"]).to_numpy())
+        found = data["found"].flatten()
+        place, leader = begin[row] + found.field("place").to_numpy(), found.field("leader").to_numpy()
+        order = np.argsort(place)
+        row, place, leader = row[order], place[order], leader[order]
+        apart = np.nonzero((place[1:] != place[:-1] + 1) | (leader[1:] != leader[:-1]) | (row[1:] != row[:-1]))[0] + 1
+        first, last = np.concatenate([[0], apart]), np.concatenate([apart, [len(place)]]) - 1
+        if not len(place):
+            continue
+        row, leader, start, end = row[first], leader[first], lo[place[first]], hi[place[last]] + SIZE
+        texts = data["bytes"].to_pylist()
+        parts = [texts[r][a:b] for r, a, b in zip(row.tolist(), start.tolist(), end.tolist(), strict=True)]
+        base = data["base"].to_numpy()[row] + start
+        yield pa.RecordBatch.from_arrays([data["_key"].take(pa.array(row)), data["_th"].take(pa.array(row)), pa.array(base), pa.array(leader), pa.array(parts, pa.binary())],
+                                         names=[x.split()[0] for x in _PIECES.split(", ")])
 
 
 def _sort_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of the pieces that go for their own first document; rows come in the order of their leaders."""
+    """For each piece the runs of it that go for its own first document; rows come in the order of their leaders."""
     held: list[tuple[int, bytes, bytes, int]] = []
     size = 0
 
     def emit(rows: list[tuple[int, bytes, bytes, int]]) -> pa.RecordBatch:
         # Owners of different leaders don't compare, but equal windows have one leader, so they may be sorted together.
         runs = repeated([r[2] for r in rows], np.array([r[3] for r in rows], np.int64))
-        flat = [(row, lo, hi) for row, found in zip(rows, runs, strict=True) for lo, hi in found]
+        hit = [(row, [{"lo": lo, "hi": hi} for lo, hi in found]) for row, found in zip(rows, runs, strict=True) if found]
         return pa.RecordBatch.from_arrays(
-            [pa.array([f[0][0] for f in flat], pa.int64()), pa.array([f[0][1] for f in flat], pa.binary()), pa.array([f[1] for f in flat], pa.int64()), pa.array([f[2] for f in flat], pa.int64())],
-            names=["leader", "piece", "lo", "hi"])
+            [pa.array([r[0] for r, _ in hit], pa.int64()), pa.array([r[1] for r, _ in hit], pa.binary()), pa.array([x for _, x in hit], pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))],
+            names=["leader", "piece", "runs"])
 
     for batch in batches:
         for leader, name, part, least in zip(*(batch.column(c).to_pylist() for c in ("leader", "piece", "bytes", "least")), strict=True):
@@ -236,6 +240,21 @@ def _sort_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emit(held)
 
 
+_RUNS = "runs array<struct<lo:long,hi:long>>"
+
+
+def _merge_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows of a piece, as sorted places, to the runs that they cover."""
+    for batch in batches:
+        runs = []
+        for places in batch.column("at").to_pylist():
+            at = np.array(places, np.int64)
+            cut = np.nonzero(np.diff(at) > SIZE)[0]
+            runs.append([{"lo": int(lo), "hi": int(hi) + SIZE} for lo, hi in zip(at[np.concatenate([[0], cut + 1])], at[np.concatenate([cut, [len(at) - 1]])], strict=True)])
+        yield pa.RecordBatch.from_arrays([batch.column("leader"), batch.column("piece"), pa.array(runs, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))],
+                                         names=["leader", "piece", "runs"])
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in by_bytes(batches, "bytes", 1 << 18):
         rows = [(leader, name, least, at, part[at:at + SIZE]) for leader, name, part, least in zip(*(batch.column(c).to_pylist() for c in ("leader", "piece", "bytes", "least")), strict=True)
@@ -304,20 +323,22 @@ def deduplicate(docs: DataFrame, crowd: int = CROWD) -> DataFrame:
     del pieces
     crowded = materialize(content.groupBy("leader").agg(F.sum(F.octet_length("bytes")).alias("n")).where(F.col("n") > crowd).select("leader"), "op7-crowded")
     calm = content.join(crowded, "leader", "left_anti").repartition(dealt, "leader").sortWithinPartitions("leader")
-    own = calm.mapInArrow(_sort_pieces, "leader long, piece binary, lo long, hi long")
+    own = calm.mapInArrow(_sort_pieces, f"leader long, piece binary, {_RUNS}")
 
     windows = materialize(content.join(crowded, "leader", "left_semi").mapInArrow(_windows, "leader long, piece binary, least long, at long, window binary"), "op7-windows")
     first = materialize(windows.groupBy("window").agg(F.min("least").alias("first")), "op7-first")
-    hit = windows.join(first, "window").where(F.col("first") < F.col("least"))
-    own = materialize(own.unionByName(hit.select("leader", "piece", F.col("at").alias("lo"), (F.col("at") + SIZE).alias("hi"))), "op7-own")
+    hit = windows.join(first, "window").where(F.col("first") < F.col("least")).groupBy("leader", "piece").agg(F.array_sort(F.collect_set("at")).alias("at"))
+    own = materialize(own.unionByName(hit.mapInArrow(_merge_windows, f"leader long, piece binary, {_RUNS}")), "op7-own")
     least = materialize(content.select("leader", "piece", "least"), "op7-least")
     discard(content, windows, first)
     del content, windows, first, calm, hit
 
     known = members.join(least, ["leader", "piece"])
-    copies = known.where(F.col("_key") > F.col("least")).select("_key", "_th", F.col("base").alias("lo"), (F.col("base") + F.col("size")).alias("hi"))
-    firsts = known.where(F.col("_key") == F.col("least")).join(own, ["leader", "piece"]).select("_key", "_th", (F.col("base") + F.col("lo")).alias("lo"), (F.col("base") + F.col("hi")).alias("hi"))
-    spans = copies.unionByName(firsts).groupBy("_key", "_th").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+    # A piece has one row of runs, so every place of a piece makes one row.
+    copies = known.where(F.col("_key") > F.col("least")).select("_key", "_th", F.array(F.struct(F.col("base").alias("lo"), (F.col("base") + F.col("size")).alias("hi"))).alias("runs"))
+    firsts = known.where(F.col("_key") == F.col("least")).join(own, ["leader", "piece"]).select(
+        "_key", "_th", F.transform("runs", lambda r: F.struct((F.col("base") + r["lo"]).alias("lo"), (F.col("base") + r["hi"]).alias("hi"))).alias("runs"))
+    spans = copies.unionByName(firsts).groupBy("_key", "_th").agg(F.flatten(F.collect_set("runs")).alias("spans"))
     spans = materialize(spans, "op7-spans")
     discard(members, least, own)
     id_type = docs.schema["doc_id"].dataType.simpleString()
