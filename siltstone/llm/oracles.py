@@ -30,8 +30,7 @@ classes AS (SELECT doc_id, lang, unnest([
    {{'k': 'punctuation', 'n': length(regexp_replace(text, '[a-zA-Z0-9 \t\x0b\x0c\r\n#*$%&|<>]|[^\x00-\x7F]', '', 'g'))}}]) AS c FROM d),
 tokens AS (SELECT doc_id, lang, unnest(low) AS word FROM w),
 sums AS (SELECT lang, word, count(*) AS n FROM tokens GROUP BY ALL),
-totals AS (SELECT lang, sum(n) AS total FROM sums GROUP BY lang
-           HAVING sum(n) >= {_RULES.min_share} * (SELECT sum(n) FROM sums)),
+totals AS (SELECT lang, sum(n) AS total FROM sums GROUP BY lang),
 common AS (SELECT lang, word, n FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS p FROM sums)
            WHERE p <= {_RULES.common_words} AND lang IN (SELECT lang FROM totals)),
 ref_words AS (SELECT lang, word, n / total AS q FROM common JOIN totals USING (lang)
@@ -74,7 +73,7 @@ SELECT doc_id, sum(n)::BIGINT AS n_lines, count(*)::BIGINT AS n_chunks, count(*)
 FROM judged GROUP BY doc_id
 """
 
-_CODES = ", ".join(f"('{label}', {sorted(set(text.split()))})" for label, text in license_join.TEMPLATES.items())
+_TEMPLATES = ", ".join(f"('{label}', {sorted(set(text.split()))}, {license_join.width(text)})" for label, text in license_join.TEMPLATES.items())
 _GAPLESS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
 
@@ -92,10 +91,13 @@ WITH d AS (SELECT doc_id, coalesce({_LOW}, '') AS text FROM documents),
 w AS (SELECT doc_id, regexp_extract_all(text, {_GAPLESS}) AS ws FROM d),
 base AS ({_phrases()}),
 b AS (SELECT doc_id, count(*) AS n, min(place) AS lo, max(place) AS hi, list(DISTINCT label) AS labels FROM base GROUP BY doc_id),
-templates(label, ts) AS (VALUES {_CODES}),
-lines AS (SELECT doc_id, list_distinct(regexp_extract_all(unnest(string_split(text, chr(10))), {_GAPLESS})) AS x FROM d),
-m AS (SELECT doc_id, label, len(list_intersect(x, ts)) / len(ts) AS score FROM lines, templates
-      WHERE len(list_intersect(x, ts)) >= ceil({license_join.CONTAINMENT} * len(ts) - 1e-9)),
+templates(label, ts, width) AS (VALUES {_TEMPLATES}),
+wanted AS (SELECT label, width, len(ts) AS tn, unnest(ts) AS word FROM templates),
+own AS (SELECT w.doc_id, label, width, tn, i, word FROM (SELECT doc_id, ws[i] AS word, i FROM (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)) w
+        JOIN wanted USING (word)),
+blocks AS (SELECT a.doc_id, a.label, a.tn, a.i, count(DISTINCT b.word) AS s FROM own a JOIN own b ON a.doc_id = b.doc_id AND a.label = b.label
+           AND b.i BETWEEN a.i AND a.i + a.width - 1 GROUP BY ALL),
+m AS (SELECT doc_id, label, s / tn AS score FROM blocks WHERE s >= ceil({license_join.CONTAINMENT} * tn - 1e-9)),
 f AS (SELECT doc_id, list(DISTINCT label) AS labels, max(score) AS score FROM m GROUP BY doc_id)
 SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(b.n, 0)::BIGINT AS n_base, lo::BIGINT AS first_word, hi::BIGINT AS last_word,
    array_to_string(list_sort(coalesce(b.labels, [])), ',') AS base_labels,

@@ -46,12 +46,11 @@ BROADCAST = 1000
 class Rules:
     """min_words and max_repeat_percent make `base_failed`. The distances above which a document goes,
     and the characters and words below which they aren't looked at. A reference has
-    `common_words` words. `min_share` is read by the DuckDB statement alone; here every language is judged."""
+    `common_words` words; every language has one."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
     common_words: int = 100
-    min_share: float = 0.001
     min_chars: int = 200
     max_class_distance: float = 0.30
     max_word_distance: float = 0.55
