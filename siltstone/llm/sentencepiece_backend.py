@@ -10,6 +10,7 @@ no token reach over a marker (each distinct piece once per batch), else by the w
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 from collections.abc import Iterator
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import AddedToken, Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
-from siltstone.llm.common import by_bytes, prepared
+from siltstone.llm.common import by_bytes, per_worker, prepared
 
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -148,12 +149,12 @@ def tokenize(docs: DataFrame, model: str = MODEL, threads: int = 2) -> DataFrame
     round_trip: decoding gives the text back. parity: the ids are those of the sentencepiece library. A null
     text has no ids and is read as empty. Texts are encoded whole, whatever their length. Repeated rows are alike; an
     empty table gives no rows; columns of the same names are replaced, all others kept. `model` is a file
-    that the driver reads; executors get its bytes. `threads`: of the library in each task.
+    that the driver reads; executors get its bytes, and a worker keeps the encoder for its later tasks. `threads`: of the library in each task.
     """
     spark = prepared(docs.sparkSession)
     with open(model, "rb") as file:
         data = file.read()
-    shared = spark.sparkContext.broadcast((data, build(data).to_str()))  # as large as the model's file
+    shared, mark = spark.sparkContext.broadcast((data, build(data).to_str())), hashlib.sha256(data).hexdigest()  # as large as the model's file
     names = [c for c in docs.columns if c not in COUNTS]
     given = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(names)], F.coalesce("text", F.lit("")).alias("_text"))
     schema = ", ".join([f"_k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(names)]
@@ -161,7 +162,7 @@ def tokenize(docs: DataFrame, model: str = MODEL, threads: int = 2) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["RAYON_NUM_THREADS"], os.environ["TOKENIZERS_PARALLELISM"] = str(threads), "true"
-        encoder = Encoder(*shared.value)
+        encoder = per_worker("sentencepiece_backend", mark, lambda: Encoder(*shared.value))
         for batch in by_bytes(batches, "_text", 2 << 20):
             ids, back, same = encoder.encode(batch.column("_text").to_pylist())
             lengths = np.array([len(i) // 4 for i in ids], np.int64)
