@@ -406,7 +406,7 @@ def synthetic_rentals(spark, folder):
 
 def synthetic_changes(spark, folder):
     source = RetailSource(spark, folder, 1)
-    return op.synthetic_changes(source.rental_base(), source.inventory_base(), source("customer"), source.raw("supplier"), SECOND_LOAD, seed=7)
+    return op.synthetic_changes(source.rental_base(), source.inventory_base(), source("customer"), source.raw("supplier"), SECOND_LOAD, seed=7, base=0)
 
 
 def dq_declared(spark, folder):

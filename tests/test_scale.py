@@ -97,7 +97,7 @@ def test_hot_key_and_moment_are_spread_in_the_as_of_join(spark, conf):
     got = op.as_of_join(facts, dim, "k", "at", {"v": "v"}, "left")
     wrong = got.filter("v <> CASE WHEN k <> 7 THEN k WHEN id % 2 = 0 THEN 27 ELSE id END")
     assert got.count() == 90_000 and wrong.isEmpty()
-    for node in ("NestedLoop", "Cartesian", "SinglePartition"):
+    for node in ("NestedLoop", "Cartesian", "Python"):
         assert node not in plan(got)
 
 
