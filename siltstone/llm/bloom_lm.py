@@ -1,11 +1,17 @@
 """Language-model scores from a log-frequency Bloom filter (operator 8).
 
 The counts of words and of pairs of neighbouring words are quantised to levels (level q for counts from 2**(q-1)
-on), and each n-gram is put into one Bloom filter once for each level up to its own; a count comes back by
+on), and each n-gram is put into a Bloom filter once for each level up to its own; a count comes back by
 probing level after level until one is missing, as the mean of the level's counts. Errors are one-sided: a
-count may be read too high, never missed. The filter has 10 to 20 bits for each key at any size, so that the share
-of false levels doesn't grow. A filter of up to `filter_bytes` goes to the workers. A larger one stays a table
-of blocks: the texts' distinct n-grams, a batch at a time, meet their block, and the levels go back to the batch.
+count may be read too high, never missed.
+
+The filter grows with the corpus, 10 GB of text would make one of over 1 GB, so it isn't broadcast as a whole. It is dealt in blocks: the
+first bits of an n-gram's hash say its block, a block has BITS for each key in it, and there is a block for about each million
+tokens. So false levels stay as rare, and a block as large, at any size. Each batch of texts sends its distinct n-grams of a block, with
+their counts in what is learned from, to the worker that has the block; it sets them, probes them, and sends the levels back to the batch.
+
+Texts are split once: a batch of them is kept as its vocabulary and the places of its tokens in that. Counts, n-grams and
+scores come from these.
 
 The probability of a word w after v is (c(v w) + m * p(w)) / (c(v) + m), p(w) the add-half estimate from the word's own
 level. The score of a text is the sum of its log10, its end included.
@@ -19,8 +25,9 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +40,18 @@ from siltstone.llm import bloom
 from siltstone.llm.common import by_bytes, discard, materialize, prepared, raw, release
 
 END, START = b"\n", b"\t"  # can't be words
+BITS, PROBES = 14, 5  # bits of a block for each key, and places of a key
+BATCH = 8 << 20  # bytes of text in a batch, at about
+LONGEST = 64  # bytes of a word in the broadcast table
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
+_BEGIN = np.uint64(xxhash.xxh64_intdigest(START, 8))
 
 
 @dataclass(frozen=True)
 class Model:
-    """filter_bytes: size of the filter that is broadcast at most; a larger one is probed by a join. frequent: words in the broadcast
-    table of exact counts. weight: m above. Documents with crc32(doc_id) mod folds = held_out aren't learned from."""
+    """frequent: words in the broadcast table of exact counts. weight: m above. Documents with crc32(doc_id) mod folds = held_out
+    aren't learned from."""
 
-    filter_bytes: int = 64 << 20
     frequent: int = 200_000
     weight: float = 2.0
     folds: int = 5
@@ -58,19 +68,6 @@ def tokens(text: str | None) -> list[bytes]:
     return [*raw(text).lower().split(), END]
 
 
-def token_hashes(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-    for w in set(words).difference(known):
-        known[w] = xxhash.xxh64_intdigest(w, 8)
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-
-def pairs(hashes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-    """The hash of each token with the one before it; `firsts` are the places where a text begins."""
-    before = np.roll(hashes, 1)
-    before[firsts] = np.uint64(xxhash.xxh64_intdigest(START, 8))
-    return bloom.mix(hashes ^ before * _PAIR, 7)
-
-
 def levels(counts: np.ndarray) -> np.ndarray:
     """1 for 1, 2 for 2 and 3, 3 for 4 to 7 and so on."""
     return np.frexp(counts.astype(np.float64))[1]
@@ -80,215 +77,247 @@ def levels(counts: np.ndarray) -> np.ndarray:
 MEANS = np.concatenate([[0.0], (2.0 ** np.arange(0, 64) + 2.0 ** np.arange(1, 65) - 1) / 2])
 
 
-def probe(filled: bloom.Bloom, hashes: np.ndarray) -> np.ndarray:
-    """The levels of n-grams."""
-    found = np.zeros(len(hashes), np.uint8)
-    alive = np.arange(len(hashes))
-    level = 1
-    while len(alive) and level < 64:
-        alive = alive[filled.has(_leveled(hashes[alive], level))]
-        found[alive] = level
-        level += 1
-    return found
+# ---------------------------------------------------------------- blocks
 
+class Block:
+    """The part of the filter that n-grams with the same first bits share: `size` bits, 8 in a byte."""
 
-STAY = 24  # first bits of an n-gram's hash that all of its levels share, so many at most say its block
+    def __init__(self, data: np.ndarray) -> None:
+        self.data, self.size = data, np.uint64(8 * len(data))
 
+    @classmethod
+    def of(cls, keys: np.ndarray, most: np.ndarray) -> Block:
+        """The block of the n-grams `keys` with the levels `most`."""
+        leveled = [_leveled(keys[most >= level], level) for level in range(1, int(most.max(initial=0)) + 1)]
+        out = cls(np.zeros(max(8, BITS * sum(map(len, leveled)) // 8), np.uint8))
+        bits = np.zeros(int(out.size), bool)
+        for found in leveled:
+            for spot in out._spots(found):
+                bits[spot] = True
+        return cls(np.packbits(bits, bitorder="little"))
 
-def _leveled(hashes: np.ndarray, level: int) -> np.ndarray:
-    """The key of an n-gram at a level; it stays in the n-gram's block."""
-    low = np.uint64((1 << 64 - STAY) - 1)
-    return (hashes & ~low) | (bloom.mix(hashes, 100 + level) & low)
+    def _spots(self, keys: np.ndarray) -> Iterator[np.ndarray]:
+        x, y = bloom.mix(keys, 1), bloom.mix(keys, 2) | np.uint64(1)
+        for probe in range(PROBES):
+            yield ((x + np.uint64(probe) * y) % self.size).astype(np.int64)
 
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        out = np.ones(len(keys), bool)
+        for spot in self._spots(keys):
+            out &= (self.data[spot >> 3] >> (spot & 7).astype(np.uint8) & 1).astype(bool)
+        return out
 
-def _count_words(model: Model):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, "_text"):
-            counts: Counter = Counter()
-            for doc_id, text in zip(batch.column("_id").to_pylist(), batch.column("_text").to_pylist(), strict=True):
-                if not is_held_out(doc_id, model):
-                    counts.update(tokens(text))
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["token", "n"])
-    return run
+    def probe(self, keys: np.ndarray) -> np.ndarray:
+        """The levels of n-grams: level after level until one is missing."""
+        found, alive, level = np.zeros(len(keys), np.uint8), np.arange(len(keys)), 1
+        while len(alive) and level < 64:
+            alive = alive[self.has(_leveled(keys[alive], level))]
+            found[alive] = level
+            level += 1
+        return found
+
+
+def _leveled(keys: np.ndarray, level: int) -> np.ndarray:
+    return bloom.mix(keys, 100 + level)
+
+
+def _cuts(keys: np.ndarray, block_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The blocks of sorted keys, and where each one's keys begin and the last one's end."""
+    block = (keys >> np.uint64(64 - block_bits)).astype(np.int64)
+    cuts = np.concatenate([[0], np.nonzero(np.diff(block))[0] + 1, [len(keys)]]) if len(keys) else np.zeros(1, np.int64)
+    return block[cuts[:-1]], cuts
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """The numbers byte by byte, all first bytes in front: sorted keys and small counts are then mostly runs, which shuffles compress."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+
+
+def _numbers(data: bytes, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+# ---------------------------------------------------------------- batches
+
+_TOKENS = "sizes binary, places binary, words array<binary>, held binary"
 
 
-def _count_ngrams(model: Model):
+class Tokens:
+    """The tokens of a batch of texts: how many each has, their places in the vocabulary, and which texts are held out."""
+
+    def __init__(self, row: dict[str, Any]) -> None:
+        self.sizes, self.places = np.frombuffer(row["sizes"], np.int64), np.frombuffer(row["places"], np.uint32)
+        self.words, self.held = row["words"], np.frombuffer(row["held"], bool)
+        self.first = np.cumsum([0, *self.sizes], dtype=np.int64)[:-1]
+
+    @property
+    def learned(self) -> np.ndarray:
+        """Which tokens are learned from."""
+        return np.repeat(~self.held, self.sizes)
+
+    def word_counts(self) -> np.ndarray:
+        return np.bincount(self.places[self.learned], minlength=len(self.words))
+
+    def ngrams(self) -> np.ndarray:
+        """The words of the vocabulary alone, the start of a text, and each token with the one before it."""
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
+        here = hashes[self.places]
+        before = np.roll(here, 1)
+        before[self.first] = _BEGIN
+        return np.concatenate([bloom.mix(hashes, 3), bloom.mix(np.full(1, _BEGIN, np.uint64), 3), bloom.mix(here ^ before * _PAIR, 7)])
+
+    def counts(self) -> np.ndarray:
+        """How often each of `ngrams` is learned, with those of several places counted at each."""
+        return np.concatenate([self.word_counts(), [np.count_nonzero(~self.held)], self.learned])
+
+
+def _pack(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        for batch in by_bytes(batches, "_text"):
-            if len(known) > 500_000:
-                known.clear()
-            words: list[bytes] = []
-            firsts = []
-            for doc_id, text in zip(batch.column("_id").to_pylist(), batch.column("_text").to_pylist(), strict=True):
-                if not is_held_out(doc_id, model):
-                    firsts.append(len(words))
-                    words += tokens(text)
-            ones = token_hashes(words, known)
-            start = np.full(len(firsts), xxhash.xxh64_intdigest(START, 8), np.uint64)
-            keys, counts = np.unique(np.concatenate([bloom.mix(ones, 3), bloom.mix(start, 3), pairs(ones, np.array(firsts, np.int64))]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts.astype(np.int64))], names=["key", "n"])
+        number = TaskContext.get().partitionId() << 33
+        for number, batch in enumerate(_gathered(by_bytes(batches, "_text", BATCH)), number):
+            texts = [tokens(t) for t in batch.column("_text").to_pylist()]
+            flat = [w for own in texts for w in own]
+            index = {w: i for i, w in enumerate(dict.fromkeys(flat))}
+            places = np.fromiter(map(index.__getitem__, flat), np.uint32, len(flat))
+            held = np.array([is_held_out(i, model) for i in batch.column("_id").to_pylist()], bool)
+            ids = batch.column("_id")
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                 pa.array([np.array([len(t) for t in texts], np.int64).tobytes()], pa.binary()), pa.array([places.tobytes()], pa.binary()),
+                 pa.array([list(index)], pa.list_(pa.binary())), pa.array([held.tobytes()], pa.binary())],
+                names=["batch", "ids", "sizes", "places", "words", "held"])
     return run
 
 
-def _spread(batch: pa.RecordBatch) -> np.ndarray:
-    """One key for each level of each n-gram."""
-    hashes, most = batch.column("key").to_numpy().view(np.uint64), levels(batch.column("n").to_numpy())
-    return np.concatenate([_leveled(hashes[most >= level], level) for level in range(1, int(most.max(initial=0)) + 1)] or [hashes[:0]])
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbouring batches put together up to about BATCH bytes of text."""
+    held, size = [], 0
+    for batch in batches:
+        more = batch.column("_text").nbytes
+        if held and size + more > BATCH:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+        if batch.num_rows:
+            held, size = [*held, batch], size + more
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, Any]]:
+    """The rows of packed batches, one at a time."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
 
 
-def _hashed(texts: list[str | None], known: dict[bytes, int]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    """The words of each text, their hashes, and the place at which each text begins."""
-    if len(known) > 300_000:
-        known.clear()
-    words = [tokens(t) for t in texts]
-    first = np.cumsum([0, *map(len, words)], dtype=np.int64)[:-1]
-    return words, token_hashes([w for own in words for w in own], known), first
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for row in _rows(batches):
+        batch = Tokens(row)
+        counts = batch.word_counts()
+        yield pa.RecordBatch.from_arrays([pa.array(batch.words, pa.binary()), pa.array(counts)], names=["token", "n"]).filter(pa.array(counts > 0))
 
 
-def _start() -> np.ndarray:
-    return bloom.mix(np.full(1, xxhash.xxh64_intdigest(START, 8), np.uint64), 3)
+def _by_block(block_bits: int):
+    """For each batch and block its n-grams, each once and in order, with their counts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            batch = Tokens(row)
+            keys, each = batch.ngrams(), batch.counts()
+            order = np.argsort(keys)
+            keys, first = _distinct(keys[order])
+            counts = np.add.reduceat(each[order], first).astype(np.uint32)
+            block, cuts = _cuts(keys, block_bits)
+            parts = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row["batch"]] * len(block), pa.int64()), pa.array(block, pa.int32()), pa.array([_planes(keys[a:b]) for a, b in parts], pa.binary()),
+                 pa.array([_planes(counts[a:b]) for a, b in parts], pa.binary())], names=["batch", "block", "keys", "counts"])
+    return run
 
 
-def _wanted(ones: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """All n-grams of a batch, each once, in order."""
-    return np.unique(np.concatenate([bloom.mix(np.unique(ones), 3), _start(), pairs(ones, first)]))
+def _distinct(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different ones of sorted keys, and where each begins."""
+    first = np.nonzero(np.concatenate([np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]]))[0]
+    return ordered[first], first
 
 
-def _scored(ids: pa.Array, texts: list[str | None], hashed: tuple, count: Callable[[np.ndarray], np.ndarray], logs: dict[bytes, float],
-            below: float, model: Model) -> list[pa.Array]:
-    """The columns of _SCORED for the texts of a batch; `count` gives the counts of n-grams."""
-    words, ones, first = hashed
-    rows = []
-    for doc_id, own in zip(ids.to_pylist(), words, strict=True):
-        found = [logs[w] for w in own if w in logs]
-        rest = Counter(w for w in own if w not in logs) if len(found) < len(own) else {}
-        rows.append((is_held_out(doc_id, model), len(own), len(found), float(sum(found)), [{"token": w, "n": n} for w, n in rest.items()]))
-    keys, back = np.unique(ones, return_inverse=True)
-    single = count(bloom.mix(keys, 3))
-    alone = ((single + 0.5) / below)[back]
-    before = np.roll(single[back], 1)
-    before[first] = count(_start())[0]
-    both = np.minimum(count(pairs(ones, first)), before)
-    chance = np.log10((both + model.weight * alone) / (before + model.weight))
-    sums = np.add.reduceat(chance, first) if len(first) else chance
-    types = (pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())])))
-    return [ids, *[pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], pa.array(sums, pa.float64())]
+def _fill_and_probe(found: pa.Table) -> pa.Table:
+    """The levels of the n-grams that each batch has of a block, by the block that all their counts make."""
+    parts = [_numbers(k, np.uint64) for k in found.column("keys").to_pylist()]
+    counts = np.concatenate([_numbers(c, np.uint32) for c in found.column("counts").to_pylist()])
+    every = np.concatenate(parts)
+    order = np.argsort(every, kind="stable")
+    keys, first = _distinct(every[order])
+    sums = np.add.reduceat(counts[order].astype(np.int64), first)
+    block = Block.of(keys[sums > 0], levels(sums[sums > 0]))
+    answers = np.zeros(len(every), np.uint8)
+    answers[order] = np.repeat(block.probe(keys), np.diff([*first, len(every)]))
+    cuts = np.cumsum([len(p) for p in parts])[:-1]
+    return pa.table({"batch": found.column("batch"), "block": found.column("block"), "levels": pa.array([a.tobytes() for a in np.split(answers, cuts)], pa.binary())})
 
 
 _SCORED = ["doc_id", "held_out", "n_tokens", "found", "part", "rest", "score"]
-_BATCH = 4 << 20
 
 
-def _by_blocks(given: DataFrame, filled: DataFrame, bits: int, block_bits: int, finish: Callable, id_type: str, schema: str) -> DataFrame:
-    """What `finish` makes of each batch of texts and the levels of its n-grams. `filled` are the blocks of the filter.
-
-    A batch sends each of its n-grams once, so that a frequent one is as many rows as there are batches; a block's group
-    holds its part of them and 2**bits bits.
-    """
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, size, type_ = TaskContext.get().partitionId() << 33, 0, None
-        ids: list = []
-        texts: list[str | None] = []
-
-        def packed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([ids], pa.list_(type_)), pa.array([texts], pa.list_(pa.string()))],
-                                              names=["batch", "ids", "texts"])
-
-        for batch in by_bytes(batches, "_text", _BATCH):
-            type_, more = batch.schema.field("_id").type, batch.column("_text").nbytes
-            if ids and size + more > 2 * _BATCH:
-                yield packed()
-                number, size, ids, texts = number + 1, 0, [], []
-            size += more
-            ids, texts = ids + batch.column("_id").to_pylist(), texts + batch.column("_text").to_pylist()
-        if ids:
-            yield packed()
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
-        for given_ in batches:
-            for number, texts in zip(given_.column("batch"), given_.column("texts"), strict=True):
-                keys = _wanted(*_hashed(texts.as_py(), known)[1:])
-                block = (keys >> np.uint64(64 - block_bits)).astype(np.int64)
-                cuts = np.concatenate([[0], np.nonzero(np.diff(block))[0] + 1, [len(keys)]])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([number.as_py()] * (len(cuts) - 1), pa.int64()), pa.array(block[cuts[:-1]], pa.int32()),
-                     pa.array([keys[lo:hi].tobytes() for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], names=["batch", "block", "keys"])
-
-    def answer(asked: pa.Table, found: pa.Table) -> pa.Table:
-        block = np.zeros(1 << bits - 3, np.uint8)
-        for part in found.column("bits").to_pylist():
-            block |= np.frombuffer(part, np.uint8)
-        keys = [np.frombuffer(k, np.uint64) for k in asked.column("keys").to_pylist()]
-        levels_ = probe(bloom.Bloom(block, bits, 0), np.concatenate([*keys, np.zeros(0, np.uint64)]))
-        parts = np.split(levels_, np.cumsum([len(k) for k in keys])[:-1]) if keys else []
-        return pa.table({"batch": asked.column("batch"), "block": asked.column("block"), "levels": pa.array([p.tobytes() for p in parts], pa.binary())})
-
-    # Written first, as batches must hold the same texts at every reading; their n-grams only pass a shuffle.
-    texts = materialize(given.mapInArrow(pack, f"batch long, ids array<{id_type}>, texts array<string>"), "op8-batches")
-    asked = texts.select("batch", "texts").mapInArrow(ask, "batch long, block int, keys binary")
-    answers = asked.groupBy("block").cogroup(filled.groupBy("block")).applyInArrow(answer, "batch long, block int, levels binary")
-    answers = materialize(answers, "op8-levels")
-    release(given.sparkSession)
-    return texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(finish, schema)
+def _scored(ids: pa.Array, batch: Tokens, levels_: np.ndarray, logs: dict[bytes, float], below: float, model: Model) -> list[pa.Array]:
+    """The columns of _SCORED for the texts of a batch; `levels_` are those of its different n-grams, in order."""
+    keys = batch.ngrams()
+    order = np.argsort(keys)
+    first = _distinct(keys[order])[1]
+    counts = np.empty(len(keys))
+    counts[order] = np.repeat(MEANS[levels_], np.diff([*first, len(keys)]))
+    single, start, both = counts[:len(batch.words)], counts[len(batch.words)], counts[len(batch.words) + 1:]
+    alone, before = ((single + 0.5) / below)[batch.places], np.roll(single[batch.places], 1)
+    before[batch.first] = start
+    both = np.minimum(both, before)
+    scores = np.add.reduceat(np.log10((both + model.weight * alone) / (before + model.weight)), batch.first)
+
+    exact = np.fromiter((logs.get(w, np.nan) for w in batch.words), np.float64, len(batch.words))[batch.places]
+    is_known = ~np.isnan(exact)
+    found = np.add.reduceat(is_known.astype(np.int64), batch.first)
+    part = np.add.reduceat(np.where(is_known, exact, 0.0), batch.first)
+    rest: list[list[dict]] = [[] for _ in batch.sizes]
+    for at in np.nonzero(found < batch.sizes)[0]:
+        lo, hi = batch.first[at], batch.first[at] + batch.sizes[at]
+        unknown = Counter(batch.places[lo:hi][~is_known[lo:hi]].tolist())
+        rest[at] = [{"token": batch.words[w], "n": n} for w, n in unknown.items()]
+    return [ids, pa.array(batch.held), pa.array(batch.sizes), pa.array(found), pa.array(part),
+            pa.array(rest, pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int64())]))), pa.array(scores)]
 
 
 def score(docs: DataFrame, model: Model = Model()) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of `docs`.
 
-    Null and empty texts are their end alone. Repeated rows count and are scored like any other. Where no
-    document is learned from, N and V are 0, no token is known, and words share the probability 1 of half a count. An empty
-    table gives no rows. `docs` needs doc_id and text.
+    Null and empty texts are their end alone. A text of any length is split whole, and lies in one batch. Repeated rows count and are scored
+    like any other. Where no document is learned from, N and V are 0, no token is known, and words share the probability 1 of
+    half a count. An empty table gives no rows. `docs` needs doc_id and text; other columns, whatever their names, aren't read.
     """
     spark = prepared(docs.sparkSession)
-    given = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    counts = given.mapInArrow(_count_words(model), "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    counts = materialize(counts, "op8-counts")
+    given = docs.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
+    packed = materialize(given.mapInArrow(_pack(model), f"batch long, ids array<{id_type}>, {_TOKENS}"), "op8-batches")
+    tokens_ = packed.drop("ids")
+
+    counts = materialize(tokens_.mapInArrow(_count_words, "token binary, n long").groupBy("token").agg(F.sum("n").alias("n")), "op8-counts")
     kinds, total = counts.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     below = total + 0.5 * (kinds + 1)
-    common = counts.orderBy(F.desc("n"), "token").limit(model.frequent)  # model.frequent rows at most
+    common = counts.where(F.octet_length("token") <= LONGEST).orderBy(F.desc("n"), "token").limit(model.frequent)  # so many rows of so many bytes
     frequent = spark.sparkContext.broadcast({bytes(token): math.log10((n + 0.5) / below) for token, n in common.toLocalIterator()})
 
-    grams = given.mapInArrow(_count_ngrams(model), "key long, n long")
-    # The tasks grow with the tokens, and so do the first bits by which they are dealt.
-    dealt, by = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total >> 23), max(bloom.BLOCK_BITS, (total >> 20).bit_length())
-    grams = grams.withColumn("block", F.shiftright("key", 64 - by)).repartition(dealt, "block").groupBy("block", "key").agg(F.sum("n").alias("n")).select("key", "n")
-    grams = materialize(grams, "op8-grams")
+    block_bits = max(6, (total >> 20).bit_length())  # a block for about each million tokens
+    spread = tokens_.mapInArrow(_by_block(block_bits), "batch long, block int, keys binary, counts binary")
+    answers = materialize(spread.groupBy("block").applyInArrow(_fill_and_probe, "batch long, block int, levels binary"), "op8-levels")
     release(spark)
-    keys = grams.agg(F.coalesce(F.sum(F.length(F.bin("n"))), F.lit(0))).first()[0]  # levels of all n-grams
-    whole = bloom.bits_for(keys)
-    schema = f"doc_id {id_type}, held_out boolean, n_tokens long, found long, part double, rest array<struct<token:binary,n:bigint>>, score double"
 
-    if 1 << whole - 3 <= model.filter_bytes:
-        bits = whole - bloom.BLOCK_BITS
-        shared = spark.sparkContext.broadcast(bloom.collect(grams, bits, _spread))  # model.filter_bytes at most
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            logs, filter_, known = frequent.value, bloom.Bloom(shared.value, bits), {}
-            for batch in by_bytes(batches, "_text", _BATCH):
-                texts = batch.column("_text").to_pylist()
-                yield pa.RecordBatch.from_arrays(
-                    _scored(batch.column("_id"), texts, _hashed(texts, known), lambda h: MEANS[probe(filter_, h)], logs, below, model), names=_SCORED)
-
-        discard(grams)
-        out = given.mapInArrow(run, schema)
-    else:
-        block_bits = min(max(bloom.BLOCK_BITS, whole - 23), STAY)  # a block is 1 MB at most
-        filled = bloom.blocks(grams, whole - block_bits, _spread, block_bits)
-        discard(grams)
-
-        def finish(batch: pa.Table, answers: pa.Table) -> pa.Table:
-            ids, texts = batch.column("ids").chunk(0).flatten(), batch.column("texts").to_pylist()[0]
-            hashed = _hashed(texts, {})
-            ordered, found = _wanted(*hashed[1:]), np.frombuffer(b"".join(answers.sort_by("block").column("levels").to_pylist()), np.uint8)
-            return pa.Table.from_arrays(
-                _scored(ids, texts, hashed, lambda h: MEANS[found[np.searchsorted(ordered, h)]], frequent.value, below, model), names=_SCORED)
-
-        out = _by_blocks(given, filled, whole - block_bits, block_bits, finish, id_type, schema)
+    def finish(one: pa.Table, found: pa.Table) -> pa.Table:
+        levels_ = np.frombuffer(b"".join(found.sort_by("block").column("levels").to_pylist()), np.uint8)
+        ids = one.column("ids").combine_chunks().flatten()
+        return pa.Table.from_arrays(_scored(ids, Tokens(one.drop_columns(["ids"]).to_pylist()[0]), levels_, frequent.value, below, model), names=_SCORED)
 
+    schema = f"doc_id {id_type}, held_out boolean, n_tokens long, found long, part double, rest array<struct<token:binary,n:bigint>>, score double"
+    out = packed.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(finish, schema)
     scored = materialize(out.withColumn("row", F.monotonically_increasing_id()), "op8-scored")
+    discard(packed, answers)
     rare = scored.select("row", F.explode("rest").alias("t")).select("row", "t.token", F.col("t.n").alias("times")).join(counts, "token", "left")
     rare = rare.groupBy("row").agg(F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more"),
                                    F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(below))).alias("also"))
