@@ -12,7 +12,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,6 +51,12 @@ def _terms(text: Column, stem: int) -> Column:
     return F.concat(F.array(F.lit(_EVERY)), words, stems)
 
 
+def _vocabulary(rows: DataFrame, training: Training, count: int) -> list[str]:
+    """The terms of most documents, of equally frequent ones the smaller, so that the model doesn't depend on how rows are dealt."""
+    found = rows.select(F.explode("_t").alias("term")).groupBy("term").agg(F.count("*").alias("n")).where(F.col("n") >= min(training.min_documents, count))
+    return [r.term for r in found.orderBy(F.desc("n"), "term").limit(training.vocabulary).collect()]  # so many terms of the sample
+
+
 def _with_inputs(rows: DataFrame, place: int) -> DataFrame:
     """The column `x`: word features and the probabilities p0 ... of the categories before `place`."""
     return VectorAssembler(inputCols=["_f", *[f"p{i}" for i in range(place)]], outputCol="_x").transform(rows)
@@ -62,7 +68,10 @@ def _predict(model: LogisticRegressionModel, rows: DataFrame, place: int) -> Dat
 
 
 def fit(texts: DataFrame, categories: list[str], training: Training = Training()) -> Chain:
-    """A chain over the 0/1 columns `categories` of `texts` (doc_id, text and those; null labels count as 0)."""
+    """A chain over the 0/1 columns `categories` of `texts` (doc_id, text and those; null labels count as 0).
+
+    Null and empty texts are rows without words. Which rows are sampled and in which fold they are is decided by their id, so repeated
+    rows stay together; ties at the end of the vocabulary go to the smaller term. Without rows the chain has no models."""
     prepared(texts.sparkSession)
     chain, count = Chain(categories), texts.count()
     if not count:
@@ -75,8 +84,7 @@ def fit(texts: DataFrame, categories: list[str], training: Training = Training()
     rows_there = rows.count()
     if not rows_there:
         return chain
-    chain.terms = CountVectorizer(inputCol="_t", outputCol="_f", binary=True, vocabSize=training.vocabulary,
-                                  minDF=float(min(training.min_documents, rows_there))).fit(rows)
+    chain.terms = CountVectorizerModel.from_vocabulary(_vocabulary(rows, training, rows_there), "_t", "_f", binary=True)
     rows = materialize(chain.terms.transform(rows).drop("_t"), "op1-features")
     for place in range(len(categories)):
         learner = LogisticRegression(featuresCol="_x", labelCol=f"y{place}", predictionCol="_prediction", probabilityCol="_probability",

@@ -55,6 +55,40 @@ def test_chain_learns_categories_and_stems(spark):
         assert sum(r[f"is_{category}"] == r[category] for r in found) >= 0.97 * len(found)
 
 
+def test_chain_against_plain_arithmetic(spark, docs, texts):
+    """Vocabulary by (count, term), whatever the partitions; each probability from words, stems and the earlier probabilities."""
+    rng, names = random.Random(7), "lamp stone river cloud paper grumble".split()
+    rows = [(i, " ".join(rng.choices(names, k=6)) + f" tie{i % 40}", int(i % 3 == 0), int(i % 5 == 0)) for i in range(400)]
+    data = spark.createDataFrame(rows, "doc_id long, text string, a int, b int")
+    training = classifier_chain.Training(vocabulary=20)
+    chains = [classifier_chain.fit(data.repartition(n), ["a", "b"], training) for n in (1, 7)]
+
+    def terms(text):
+        ws = set(re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")))
+        return {"\n"} | ws | {w[:4] + "*" for w in ws if len(w) > 4}
+    often = Counter(t for _, text, *_ in rows for t in terms(text))
+    assert chains[0].terms.vocabulary == chains[1].terms.vocabulary == sorted(often, key=lambda t: (-often[t], t))[:20]
+    chain = chains[0]
+    got = {r.doc_id: r for r in classifier_chain.score(docs, chain).collect() if r.doc_id is not None}
+    for i, text in texts:
+        if i is not None:
+            x = [float(t in terms(text)) for t in chain.terms.vocabulary]
+            for name, model in zip(chain.categories, chain.models, strict=True):
+                z = model.intercept + sum(w * v for w, v in zip(model.coefficients.toArray(), x, strict=True))
+                x.append(1 / (1 + math.exp(-z)))
+                assert got[i][f"p_{name}"] == pytest.approx(x[-1]) and got[i][f"is_{name}"] == (got[i][f"p_{name}"] >= 0.5)
+
+
+def test_earlier_probabilities_are_out_of_fold(spark):
+    """A first category that can't be learned from words gives, out of fold, probabilities that tell nothing of it: the second model,
+    whose category equals the first, mustn't trust them as it would trust fitted ones."""
+    rng = random.Random(3)
+    rows = [(i, f"own{i} " * 3, y := rng.randrange(2), y) for i in range(300)]
+    data = spark.createDataFrame(rows, "doc_id long, text string, a int, b int")
+    chain = classifier_chain.fit(data, ["a", "b"], classifier_chain.Training(min_documents=1))
+    assert abs(chain.models[1].coefficients.toArray()[-1]) < 10 and chain.models[0].numFeatures + 1 == chain.models[1].numFeatures
+
+
 def test_chain_on_odd_rows_and_without_labels(spark, docs, none):
     labels = docs.withColumns({"toxic": F.when(F.col("doc_id") % 2 == 0, 1), "junk": F.lit(None).cast("int")})
     chain = classifier_chain.fit(labels, ["junk", "toxic"])
@@ -433,6 +467,22 @@ def test_decontamination_against_brute_force(spark, docs, none):
     assert {(r.doc_id, r.item_id) for r in blocks.collect()} >= {k for k, e in want.items() if k[0] < 40 and e == 0}
 
 
+def test_short_repeated_and_very_long_items(spark):
+    """Short items are found word by word; equal items once under each id; an item of very many words with a few edits, beside short texts."""
+    rng, names = random.Random(12), [f"{a}{b}{c}" for a in "bdfgklmn" for b in "aeiou" for c in "dglmnr"]
+    long = rng.choices(names, k=800)
+    items = [(1, "zip zap"), (2, "Zip, zap!"), (3, "zop"), (4, " ".join(long)), (5, " ".join(long)), (6, "..."), (7, None), (8, " ".join(names[:9])), (9, "zip zap zup")]
+    worn = [w for k, w in enumerate(long) if k % 100] + ["tail"]
+    rows = [(1, "so zip zap and zip zap"), (2, "zip a zap"), (3, " ".join(["head", *worn])), (4, " ".join(rng.choices(names, k=40))), (5, None), (6, ""),
+            (7, "x " + " ".join(names[:9]).upper()), (8, "zip zap zup zop")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(3)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    for search in (cgk_decontamination.Search(), cgk_decontamination.Search(block_items=2), cgk_decontamination.Search(block_bytes=100)):
+        found = sorted(map(tuple, cgk_decontamination.contaminations(docs, benchmark, search).collect()))
+        assert [f for f in found if f[0] != 3] == [(1, 1, 1, 2, 0), (1, 2, 1, 2, 0), (7, 8, 1, 9, 0), (8, 1, 0, 2, 0), (8, 2, 0, 2, 0), (8, 3, 3, 1, 0), (8, 9, 0, 3, 0)]
+        assert [(f[1], f[4]) for f in found if f[0] == 3] == [(4, 8), (5, 8)]
+
+
 # --- 10 -----------------------------------------------------------------------------------------
 
 ODD = ["", " ", "  a  b ", "a\n\n b\t", "▁▁x ▁", "<s>hi</s> <0x0A> <unk>", "日本語 \U0001F600", "é" * 300, "\x00a", " leading", "trail  ", "　 \xa0x", "a" * 500]

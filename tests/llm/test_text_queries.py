@@ -2,6 +2,7 @@
 
 import pytest
 from compare import differences, duck
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from siltstone.llm import queries
@@ -47,6 +48,22 @@ def _stored(df):
     return materialize(df, "stage")
 
 
+def test_stages_keep_columns_of_any_name(spark, docs, none, folder):
+    """Columns named as an operator's results keep their own values, and rows that stay are whole rows."""
+    own = {"kept": "mine", "n_lines": 77, "n_words": -1, "n_removed_lines": 5, "class_distance": "far", "_own_0": "zero"}
+    given = docs.withColumns({c: F.lit(v) for c, v in own.items()})
+    rows = {(r.doc_id, r.id): r for r in given.collect()}
+    frame = given
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        frame = _stored(stage(spark, frame, folder))
+        assert frame.columns == given.columns
+        for r in frame.collect():
+            before = rows[r.doc_id, r.id]
+            assert all(r[c] == before[c] for c in given.columns if c not in ("text", "n_chars")) and (r.text == before.text or name != "quality")
+    assert 0 < frame.count() < len(rows)
+    assert all(stage(spark, none, folder).count() == 0 for _, stage in corpus_pipeline.STAGES)
+
+
 def test_pipeline_on_odd_rows(spark, docs, none, folder):
     for frame in (docs, none):
         for _, stage in corpus_pipeline.STAGES:
