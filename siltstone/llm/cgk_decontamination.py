@@ -35,8 +35,8 @@ _GAPS = bytes(c if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256))
 
 @dataclass(frozen=True)
 class Search:
-    """similarity: 1 - edits / words of the item, at least. Items of fewer than `min_words` words are
-    ordinary phrases and aren't searched for. block_items items are searched for in one pass over the
+    """similarity: 1 - edits / words of the item, at least. Items of fewer than `min_words` words have too few of them to sample;
+    they are searched for word by word, without edits. block_items items, of block_bytes in all, are searched for in one pass over the
     documents and sent to the executors; more of them take more passes."""
 
     similarity: float = 0.8
@@ -45,6 +45,7 @@ class Search:
     tables: int = 4
     bits: int = 3
     block_items: int = 20000
+    block_bytes: int = 8 << 20
     seed: int = 9
 
     def edits(self, n: int) -> int:
@@ -58,6 +59,16 @@ def words_of(text: str | None) -> list[bytes]:
 def edit_distance(item: list, run: list, most: int) -> tuple[int, int] | None:
     """(edits, words of `run`) for the start of `run` that is nearest to `item`; None if over `most` edits."""
     n, far = len(item), most + 1
+    if n > 100:  # a row at once: what a step to the right costs is a running minimum
+        wanted, given = np.array(item), np.array(run[:n + most])
+        places = np.arange(len(given) + 1)
+        row = places
+        for i in range(n):
+            best = np.concatenate([[i + 1], np.minimum(row[:-1] + (given != wanted[i]), row[1:] + 1)])
+            row = np.minimum.accumulate(best - places) + places
+            if row.min() > most:
+                return None
+        return int(row.min()), int(row.argmin())
     row = list(range(min(len(run), n + most) + 1))
     width = len(row)
     for i in range(1, n + 1):
@@ -74,8 +85,7 @@ class Index:
     """The items of a block: vocabulary, and their sampled embeddings as sorted keys."""
 
     def __init__(self, items: list[tuple[object, list[bytes]]], search: Search) -> None:
-        self.search = search
-        self.items = [(key, words) for key, words in items if len(words) >= search.min_words]
+        self.search, self.items = search, items
         self.vocabulary: dict[bytes, int] = {}
         for _, words in self.items:
             for w in words:
@@ -174,8 +184,9 @@ class Index:
         starts, sizes = np.concatenate(starts), np.concatenate(sizes)
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         text_of = np.searchsorted(np.array(bounds), starts, side="right") - 1
-        for lo in range(0, len(starts), 2000):
-            first, size, owner = starts[lo:lo + 2000], sizes[lo:lo + 2000], text_of[lo:lo + 2000]
+        step = max(1, min(2000, WIDE // self.longest))
+        for lo in range(0, len(starts), step):
+            first, size, owner = starts[lo:lo + step], sizes[lo:lo + step], text_of[lo:lo + step]
             place = np.arange(self.longest)
             rows = np.where(place < size[:, None], code[np.minimum(first[:, None] + place, len(code) - 1)], self.pad)
             keys = self.keys(rows, size)
@@ -198,28 +209,78 @@ class Index:
             yield where, item, start, length, edits
 
 
+class Phrases:
+    """Short items, found where their words stand consecutively."""
+
+    def __init__(self, items: list[tuple[int, list[bytes]]]) -> None:
+        self.items: dict[tuple[bytes, ...], list[int]] = defaultdict(list)
+        self.lengths: dict[bytes, set[int]] = defaultdict(set)
+        for key, words in items:
+            self.items[tuple(words)].append(key)
+            self.lengths[words[0]].add(len(words))
+
+    def search_texts(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, int]]:
+        """(text, item, first word, words, 0) for the first place of each item in each text."""
+        for where, text in enumerate(texts if self.items else ()):
+            found: dict[int, tuple[int, int]] = {}
+            words = words_of(text)
+            for at, word in enumerate(words):
+                for n in self.lengths.get(word, ()):
+                    for item in self.items.get(tuple(words[at:at + n]), ()):
+                        found.setdefault(item, (at, n))
+            for item, (at, n) in sorted(found.items()):
+                yield where, item, at, n, 0
+
+
+WIDE = 1 << 19  # symbols of the windows that are embedded together
+TOGETHER = 512  # items of up to so many words have one index; longer ones have one for lengths that differ by 4 at most
+
+
+class Searcher:
+    """All items of a block, by (item, words): short ones as phrases, the others by indexes for about their length."""
+
+    def __init__(self, items: list[tuple[int, list[bytes]]], search: Search) -> None:
+        classes: dict[int, list[tuple[int, list[bytes]]]] = defaultdict(list)
+        for item in items:
+            if len(item[1]) >= search.min_words:
+                classes[0 if len(item[1]) <= TOGETHER else len(item[1]).bit_length() // 2].append(item)
+        self.phrases = Phrases([item for item in items if 0 < len(item[1]) < search.min_words])
+        self.indexes = [Index(own, search) for own in classes.values()]
+
+    def search_texts(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, int]]:
+        yield from self.phrases.search_texts(texts)
+        for index in self.indexes:
+            # A text that is too short for every item of an index is left out: it would be padded to the longest.
+            least = min(index.lengths) - max(map(index.search.edits, index.lengths))
+            chosen = [i for i, t in enumerate(texts) if t and 2 * least <= len(t.encode("utf-8", "surrogatepass")) + 1] if least > TOGETHER // 2 else range(len(texts))
+            for where, item, *rest in () if not chosen else index.search_texts([texts[i] for i in chosen]):
+                yield chosen[where], index.items[item][0], *rest
+
+
 def contaminations(docs: DataFrame, benchmark: DataFrame, search: Search = Search(), keep: list[str] | None = None) -> DataFrame:
     """The columns `keep` (default doc_id), item_id, first_word, n_run_words and n_edits: a row for each document row and item found in it.
 
     first_word counts words from 0. Where several runs are as near, the first is given. Null, empty and shorter
-    texts hold no item; null, empty and short items aren't searched for; a repeated item is found under each of its ids,
-    a repeated document once for each row. Empty tables give no rows. Other columns don't matter.
+    texts hold no item; null items and items without words aren't searched for; short items only without edits. A repeated item is
+    found under each of its ids, a repeated document once for each row. Texts and items of any length are searched whole. Empty tables
+    give no rows. Other columns don't matter.
     """
     spark = prepared(docs.sparkSession)
     items = benchmark.select("item_id", "text").where(F.col("text").isNotNull())
-    blocks = -(-items.count() // search.block_items)
+    texts = items.select(F.col("text").alias("_item")).distinct()  # equal items are searched for once
+    count, size = texts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("_item")), F.lit(0))).first()
+    blocks = max(1, -(-count // search.block_items), -(-size // search.block_bytes))
     keep = ["doc_id"] if keep is None else keep
     given = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)], F.col("text").alias("_text"))
-    kind = benchmark.schema["item_id"].dataType.simpleString()
     schema = ", ".join([f"_k{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(keep)]
                        + ["item int, first_word long, n_run_words long, n_edits long"])
     out = None
-    for block in range(max(blocks, 1)):
-        rows = items.where(F.pmod(F.xxhash64("text"), F.lit(max(blocks, 1))) == block).collect()
-        searched = [(r[0], words) for r in rows if len(words := words_of(r[1])) >= search.min_words]
-        shared = spark.sparkContext.broadcast(searched)
+    for block in range(blocks):
+        found_texts = [r[0] for r in texts.where(F.pmod(F.xxhash64("_item"), F.lit(blocks)) == block).collect()]
+        shared = spark.sparkContext.broadcast([(i, words) for i, t in enumerate(found_texts) if (words := words_of(t))])  # about block_bytes
         found = given.mapInArrow(_searcher(shared, search, len(keep)), schema)
-        ids = spark.createDataFrame(list(enumerate(k for k, _ in searched)), f"item int, item_id {kind}")
+        ids = spark.createDataFrame(list(enumerate(found_texts)), "item int, _item string").join(
+            items.select("item_id", F.col("text").alias("_item")), "_item").select("item", "item_id")
         part = found.join(ids, "item").select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)], "item_id", "first_word", "n_run_words", "n_edits")
         out = part if out is None else out.unionByName(part)
     return out
@@ -227,7 +288,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, search: Search = Searc
 
 def _searcher(shared, search: Search, number: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(shared.value, search)
+        index = Searcher(shared.value, search)
         for batch in by_bytes(batches, "_text", 2 << 20):
             found = list(index.search_texts(batch.column("_text").to_pylist()))
             rows = pa.array([f[0] for f in found], pa.int64())
