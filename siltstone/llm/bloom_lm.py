@@ -41,6 +41,7 @@ from siltstone.llm.common import by_bytes, discard, materialize, prepared, raw,
 
 END, START = b"\n", b"\t"  # can't be words
 BITS, PROBES = 14, 5  # bits of a block for each key, and places of a key
+KEPT = 40  # bits of an n-gram's hash behind those of its block
 BATCH = 8 << 20  # bytes of text in a batch, at about
 LONGEST = 64  # bytes of a word in the broadcast table
 _PAIR = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -159,13 +160,15 @@ class Tokens:
     def word_counts(self) -> np.ndarray:
         return np.bincount(self.places[self.learned], minlength=len(self.words))
 
-    def ngrams(self) -> np.ndarray:
-        """The words of the vocabulary alone, the start of a text, and each token with the one before it."""
+    def ngrams(self, block_bits: int) -> np.ndarray:
+        """The words of the vocabulary alone, the start of a text, and each token with the one before it, by their hashes' first bits: those
+        of the block and KEPT more, by which a block's million n-grams hardly ever fall together."""
         hashes = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words))
         here = hashes[self.places]
         before = np.roll(here, 1)
         before[self.first] = _BEGIN
-        return np.concatenate([bloom.mix(hashes, 3), bloom.mix(np.full(1, _BEGIN, np.uint64), 3), bloom.mix(here ^ before * _PAIR, 7)])
+        keys = np.concatenate([bloom.mix(hashes, 3), bloom.mix(np.full(1, _BEGIN, np.uint64), 3), bloom.mix(here ^ before * _PAIR, 7)])
+        return keys & ~np.uint64((1 << max(0, 64 - block_bits - KEPT)) - 1)
 
     def counts(self) -> np.ndarray:
         """How often each of `ngrams` is learned, with those of several places counted at each."""
@@ -223,7 +226,7 @@ def _by_block(block_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
             batch = Tokens(row)
-            keys, each = batch.ngrams(), batch.counts()
+            keys, each = batch.ngrams(block_bits), batch.counts()
             order = np.argsort(keys)
             keys, first = _distinct(keys[order])
             counts = np.add.reduceat(each[order], first).astype(np.uint32)
@@ -259,9 +262,8 @@ def _fill_and_probe(found: pa.Table) -> pa.Table:
 _SCORED = ["doc_id", "held_out", "n_tokens", "found", "part", "rest", "score"]
 
 
-def _scored(ids: pa.Array, batch: Tokens, levels_: np.ndarray, logs: dict[bytes, float], below: float, model: Model) -> list[pa.Array]:
-    """The columns of _SCORED for the texts of a batch; `levels_` are those of its different n-grams, in order."""
-    keys = batch.ngrams()
+def _scored(ids: pa.Array, batch: Tokens, keys: np.ndarray, levels_: np.ndarray, logs: dict[bytes, float], below: float, model: Model) -> list[pa.Array]:
+    """The columns of _SCORED for the texts of a batch; `keys` are its n-grams, `levels_` those of the different ones, in order."""
     order = np.argsort(keys)
     first = _distinct(keys[order])[1]
     counts = np.empty(len(keys))
@@ -307,12 +309,14 @@ def score(docs: DataFrame, model: Model = Model()) -> DataFrame:
     block_bits = max(6, (total >> 20).bit_length())  # a block for about each million tokens
     spread = tokens_.mapInArrow(_by_block(block_bits), "batch long, block int, keys binary, counts binary")
     answers = materialize(spread.groupBy("block").applyInArrow(_fill_and_probe, "batch long, block int, levels binary"), "op8-levels")
+    del spread
     release(spark)
 
     def finish(one: pa.Table, found: pa.Table) -> pa.Table:
         levels_ = np.frombuffer(b"".join(found.sort_by("block").column("levels").to_pylist()), np.uint8)
         ids = one.column("ids").combine_chunks().flatten()
-        return pa.Table.from_arrays(_scored(ids, Tokens(one.drop_columns(["ids"]).to_pylist()[0]), levels_, frequent.value, below, model), names=_SCORED)
+        batch = Tokens(one.drop_columns(["ids"]).to_pylist()[0])
+        return pa.Table.from_arrays(_scored(ids, batch, batch.ngrams(block_bits), levels_, frequent.value, below, model), names=_SCORED)
 
     schema = f"doc_id {id_type}, held_out boolean, n_tokens long, found long, part double, rest array<struct<token:binary,n:bigint>>, score double"
     out = packed.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(finish, schema)
