@@ -1,15 +1,19 @@
 """Whole loads: three batches through a store, invariants, reruns, and key ranges."""
 
+import threading
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from siltstone import operators as op
 from siltstone.functions import timestamp
-from siltstone.plans import WarehouseStore, marts, run_corporate, run_star, run_vault
+from siltstone.plans import WarehouseStore, common, marts, run_corporate, run_star, run_vault
 from siltstone.plans import star as star_plan
 from siltstone.plans.catalog import fact_payment_star, fact_rental_star
 from siltstone.plans.checks import check_state
 from siltstone.schemas import CORPORATE, STAR, VAULT, columns, not_null
+from siltstone.session import release
 from siltstone.sources import RetailSource
 from siltstone.streaming import apply_feed
 
@@ -294,3 +298,37 @@ def test_feed_goes_on_after_a_crash(spark, folder, tmp_path, crash):
     feed()
     assert len(tries) == (2 if crash == "before" else 1)
     assert bag(store.state()["ods.payment"], *rows.columns) == bag(rows, *rows.columns)
+
+
+def test_steps_release_the_driver_and_loads_take_turns(spark, folder, tmp_path, monkeypatch):
+    """What a step leaves behind goes before the next one begins, and few loads of a step are held by the driver at once."""
+    events, running, lock = [], [], threading.Lock()
+    monkeypatch.setattr(common, "release", lambda s: events.append("release"))
+    load = WarehouseStore(spark, str(tmp_path), VAULT).load(B1)
+
+    def save(df, table):
+        with lock:
+            running.append(table)
+            events.append((table.split("_")[0], len(running)))
+        try:
+            return load(df, table)
+        finally:
+            running.remove(table)
+
+    run_vault(RetailSource(spark, folder, 1), WarehouseStore(spark, str(tmp_path), VAULT).state(), B1, save)
+    steps = [[]]
+    for e in events:
+        steps.append([]) if e == "release" else steps[-1].append(e)
+    assert [{table for table, _ in step} for step in steps] == [{"staging.film", "staging.inventory", "staging.rental", "staging.last"}, {"edw.hub"}, {"edw.link"}, {"edw.sat"}, {"mart.rented"}, set()]
+    assert max(n for step in steps for _, n in step) <= common.SIDE_BY_SIDE < 8
+
+
+def test_release_frees_what_nothing_holds(spark):
+    jvm = spark.sparkContext._jvm
+    weak = jvm.java.lang.ref.WeakReference(jvm.java.util.ArrayList())
+    for _ in range(20):  # Python tells the JVM a little later what it has dropped
+        release(spark)
+        if weak.refersTo(None):
+            break
+        time.sleep(0.2)
+    assert weak.refersTo(None)
