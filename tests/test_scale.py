@@ -1,5 +1,7 @@
 """Plans: filters and columns reach the scan, hot keys are split, nothing runs in one task."""
 
+import importlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -265,6 +267,22 @@ def test_few_surrogates_are_broadcast_to_the_facts(spark, conf, monkeypatch):
     assert again["ref.staff"].count() == 50
 
 
+def test_many_keys_are_not_broadcast_however_small_their_files(spark, monkeypatch):
+    """The bounds count keys. Files of keys that follow each other are a fiftieth of what the driver would hold of them."""
+    state = reset(spark, CORPORATE)
+    state["ods.staff"] = spark.range(50).select(F.col("id").alias("staff_id"))
+    facts = spark.range(100).select(F.col("id").alias("payment_id"), (F.col("id") % 50).alias("staff_id"))
+    for bound, merged in ((10, True), (500_000, False)):
+        monkeypatch.setattr(common, "SMALL", bound)
+        monkeypatch.setattr(importlib.import_module("siltstone.operators.upsert"), "MANY", bound)
+        done = state | corporate.load_registries(state, common.lazily, ["staff"])
+        given = op.replace_keys(facts, {"staff_id": corporate.registry(done, "staff")})
+        assert ("BroadcastHashJoin [staff_id" not in plan(given)) is merged and given.count() == 100
+        for few in (True, False):
+            kept = op.upsert(facts, facts.filter("payment_id < 20"), "payment_id", few=few)
+            assert ("BroadcastHashJoin [payment_id" not in plan(kept)) is merged and kept.count() == 100
+
+
 def _payments(spark, tmp_path, keys, staged_keys, disc="1L"):
     """A fact of live payments with these keys, and staged ones that change their amounts."""
     span = list(_span("effective_date", "1900-01-01", "2199-01-01").items())
